@@ -24,3 +24,8 @@ def hash_int(hex_digits: Column) -> Column:
 def hash_unit(hex_digits: Column) -> Column:
     """The first eight hex digits as a number in [0, 1)."""
     return hash_int(hex_digits) / F.lit(4294967296.0)
+
+
+def hash_long(hex_digits: Column) -> Column:
+    """The first fifteen hex digits as an integer in [0, 2^60), wide enough to pick among any number of rows."""
+    return F.conv(F.substring(hex_digits, 1, 15), 16, 10).cast("long")
