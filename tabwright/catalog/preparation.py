@@ -209,13 +209,16 @@ def _(spark, sf):
     return encode.DesignMatrix(METRIC, ["status", "nation"]).fit(df).map_frame(df)
 
 
-@query(
-    "design_matrix_long",
-    f"""SELECT id, position, x AS value FROM (
+LONG_SQL = f"""SELECT id, position, x AS value FROM (
     SELECT id, 0 AS position, coalesce(price, 0) AS x FROM ({CLASS_SQL}) AS t
     UNION ALL SELECT id, 1, coalesce(acctbal, 0) FROM ({CLASS_SQL}) AS t
     UNION ALL SELECT id, m.position, 1.0 FROM ({CLASS_SQL}) AS t JOIN ({MAP_SQL}) AS m
-    ON (m.variable = 'status' AND m.value = t.status) OR (m.variable = 'nation' AND m.value = t.nation)) AS u WHERE x <> 0""",
+    ON (m.variable = 'status' AND m.value = t.status) OR (m.variable = 'nation' AND m.value = t.nation)) AS u WHERE x <> 0"""
+
+
+@query(
+    "design_matrix_long",
+    LONG_SQL,
     num="value",
     digits=2,
 )
@@ -224,7 +227,12 @@ def _(spark, sf):
     return encode.DesignMatrix(METRIC, ["status", "nation"]).fit(df).long(df, "id")
 
 
-@query("design_matrix_vector")
+@query(
+    "design_matrix_vector",
+    f"SELECT position, sum(value) AS total, count(*) AS n FROM ({LONG_SQL}) AS l GROUP BY position",
+    num="total",
+    digits=1,
+)
 def _(spark, sf):
     from pyspark.ml.functions import vector_to_array
 

@@ -140,7 +140,12 @@ def hashed_head(
 
 
 def mean_rank(df: DataFrame, value: str, keys: Sequence[str] = (), weight: Column | None = None) -> DataFrame:
-    """Rank of each distinct (keys, value), ties at their mean rank. Columns: keys, value, `n`, `rank`."""
+    """Rank of each distinct (keys, value), ties at their mean rank.
+
+    Columns: keys, value, `n`, `rank`, and `centred`, the rank minus the mean of all ranks.
+    """
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    ranked = cumulate(df, value, {"n": n}, keys)
-    return ranked.select(*keys, value, "n", (F.col("n_before") + (F.col("n") + 1) / 2).alias("rank"))
+    rank = F.col("n_before") + (F.col("n") + 1) / 2
+    return cumulate(df, value, {"n": n}, keys).select(
+        *keys, value, "n", rank.alias("rank"), (rank - (F.col("n_total") + 1) / 2).alias("centred")
+    )

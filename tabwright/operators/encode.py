@@ -287,10 +287,9 @@ class DesignMatrixModel(_Stage, Model):
         many = {c: v for c, v in levels.items() if len(v) > 1}
         if many:
             index, hot = [f"_{c}_index" for c in many], [f"_{c}_hot" for c in many]
-            indexer = StringIndexerModel.from_arrays_of_labels(
-                list(many.values()), inputCols=list(many), outputCols=index, handleInvalid="error"
-            )
-            df = _one_hot_model(df, index, hot, [len(v) for v in many.values()]).transform(indexer.transform(df))
+            for c, v in many.items():
+                df = StringIndexerModel.from_labels(v, c, f"_{c}_index", "error").transform(df)
+            df = _one_hot_model(df, index, hot, [len(v) for v in many.values()]).transform(df)
         for c, v in levels.items():
             if len(v) <= 1:
                 error = F.raise_error(F.concat(F.lit(f"unseen label of {c}: "), F.coalesce(F.col(c), F.lit("null"))))
