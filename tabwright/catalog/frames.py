@@ -136,3 +136,32 @@ def search_frame(spark: SparkSession, sf: str) -> DataFrame:
         )
         .agg(F.avg("l_discount").alias("scorer_value"))
     )
+
+
+ORDER_SQL = """SELECT l_orderkey AS id, sum(l_quantity) AS qty, CAST(count(*) AS DOUBLE) AS lines, max(l_tax) AS tax, max(l_discount) AS discount,
+  max(l_returnflag) AS flag, min(l_linestatus) AS status, sum(l_extendedprice) AS y,
+  CAST(CASE WHEN sum(l_extendedprice) > 200000 THEN 1 ELSE 0 END AS INTEGER) AS target,
+  CAST(CASE WHEN sum(l_extendedprice) > 250000 THEN 2 WHEN sum(l_extendedprice) > 120000 THEN 1 ELSE 0 END AS INTEGER) AS target3,
+  CASE WHEN l_orderkey % 4 = 0 THEN 'test' ELSE 'train' END AS fold
+FROM lineitem GROUP BY l_orderkey"""
+
+
+def order_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items summed per order, with a unique id, a binary, a three-class and a numeric target, and a fold."""
+    total = F.sum("l_extendedprice")
+    return (
+        table(spark, sf, "lineitem")
+        .groupBy(F.col("l_orderkey").alias("id"))
+        .agg(
+            F.sum("l_quantity").alias("qty"),
+            F.count(F.lit(1)).cast("double").alias("lines"),
+            F.max("l_tax").alias("tax"),
+            F.max("l_discount").alias("discount"),
+            F.max("l_returnflag").alias("flag"),
+            F.min("l_linestatus").alias("status"),
+            total.alias("y"),
+            F.when(total > 200000, 1).otherwise(0).alias("target"),
+            F.when(total > 250000, 2).when(total > 120000, 1).otherwise(0).alias("target3"),
+        )
+        .withColumn("fold", F.when(F.col("id") % 4 == 0, "test").otherwise("train"))
+    )

@@ -19,7 +19,7 @@ def round_columns(df: DataFrame, num: str, digits: int) -> DataFrame:
 def round_sql(sql: str, num: str, digits: int) -> str:
     if not num:
         return sql
-    parts = ", ".join(f"CAST(round(CAST({c} AS DOUBLE), {digits}) + 0.0 AS DOUBLE) AS {c}" for c in num.split())
+    parts = ", ".join(f'CAST(round(CAST("{c}" AS DOUBLE), {digits}) + 0.0 AS DOUBLE) AS "{c}"' for c in num.split())
     return f"SELECT * REPLACE ({parts}) FROM ({sql}) AS result"
 
 
