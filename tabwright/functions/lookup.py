@@ -1,10 +1,14 @@
 """Join a keyed table onto rows, by a plan that fits the size of the table and the skew of its keys."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.session import settle
+
 BROADCAST_ROWS = 500_000  # a table of at most this many rows is sent to every executor
 HOT_ROWS = 5_000_000  # a key with more rows than this is joined apart from the others
 
@@ -14,18 +18,26 @@ def attach(
 ) -> DataFrame:
     """Join `table`, unique on `on`, to `df`. `weight` names its column with the number of `df` rows per key.
 
-    A small table is broadcast after its size was counted. A large one is shuffled; its hot keys are few
-    by construction (each stands for more than HOT_ROWS rows), so they are broadcast and never shuffled.
+    The table is settled once and counted. A small one is broadcast. A large one is shuffled, but its hot keys
+    are few by construction (each stands for more than HOT_ROWS rows): they are broadcast and their rows never
+    shuffled. Rows without a key match nothing and skip the shuffle as well.
     """
     on = list(on)
-    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    table = settle(table)
+    if table.count() <= BROADCAST_ROWS:
         return df.join(F.broadcast(table), on, how)
-    if weight is None:
-        return df.join(table, on, how)
-    hot = table.filter(F.col(weight) > HOT_ROWS)
-    if hot.isEmpty():
-        return df.join(table, on, how)
-    keys = F.broadcast(hot.select(*on))
-    hot_rows = df.join(F.broadcast(hot), on, "inner")
-    cold_rows = df.join(keys, on, "left_anti").join(table, on, how)
-    return hot_rows.unionByName(cold_rows)
+    empty = reduce(or_, [F.col(c).isNull() for c in on])
+    parts = [df.filter(~empty)]
+    if weight is not None:
+        hot = table.filter(F.col(weight) > HOT_ROWS)
+        if not hot.isEmpty():
+            parts = [
+                parts[0].join(F.broadcast(hot.select(*on)), on, "left_anti"),
+                parts[0].join(F.broadcast(hot), on, "inner"),
+            ]
+    out = parts[0].join(table, on, how)
+    for joined in parts[1:]:
+        out = out.unionByName(joined)
+    if how == "left":
+        out = out.unionByName(df.filter(empty), allowMissingColumns=True)
+    return out

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.ranks import cumulate
 from tabwright.operators.reshape import melt
+from tabwright.session import settle
 
 DIRECT_ROWS = 1_000_000  # longest group for the built-in aggregate
 SKETCH_ACCURACY = 10_000
@@ -44,7 +45,7 @@ def _bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: S
         low = F.col("_min") if p <= 2 * slack else F.col("_low")[i]
         high = F.col("_max") if p >= 1 - 2 * slack else F.col("_high")[i]
         brackets.append(F.struct(F.lit(i).alias("i"), low.alias("low"), high.alias("high")))
-    sketch = sketch.select(*group, "_n", F.array(*brackets).alias("_brackets")).persist()
+    sketch = settle(sketch.select(*group, "_n", F.array(*brackets).alias("_brackets")))
     small = sketch.count() <= BROADCAST_ROWS
     located = long.join(F.broadcast(sketch) if small else sketch, group)
     below = located.groupBy(*group).agg(

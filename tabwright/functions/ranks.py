@@ -5,16 +5,19 @@ the order into ranges, take one small total per range, and add the running total
 ranges to a window that runs inside each range.
 """
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwright.functions.hashing import hash_hex
 from tabwright.session import settle
 
 HEX_DIGITS = 3  # 4096 ranges of the hash space
+MAX_RANGES = 2_000_000  # range counts that may come to the driver, enough for about 500 groups
 
 
 def _ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -80,37 +83,31 @@ def ordered_index(
     )
 
 
-def _hash_ranges(df: DataFrame, key, seed, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    hashed = df.withColumn("_hash", hash_hex(key, seed)).withColumn(
-        "_range", F.substring("_hash", 1, HEX_DIGITS)
-    )
-    earlier = W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    counts = hashed.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        *by,
-        "_range",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(W.partitionBy(*by)).alias("_size"),
-    )
-    return hashed, offsets
+def _hashed(df: DataFrame, key: str | Sequence[str], seed: int | str) -> DataFrame:
+    hashed = df.withColumn("_hash", hash_hex(key, seed))
+    return hashed.withColumn("_range", F.substring("_hash", 1, HEX_DIGITS))
 
 
 def hashed_index(
-    df: DataFrame,
-    key: str | Sequence[str],
-    seed: int | str,
-    by: Sequence[str] = (),
-    name: str = "idx",
-    size: str | None = None,
+    df: DataFrame, key: str | Sequence[str], seed: int | str, by: Sequence[str] = (), name: str = "idx", size: str | None = None
 ) -> DataFrame:
     """Add the zero-based position of each row in a seeded random order, counted inside each `by` group.
 
-    The hash is uniform, so its leading digits are ready-made ranges: no sampling pass and one
-    shuffle of the rows, shared by the join and the window. `size` names a column for the group size.
+    The hash is uniform, so its leading digits are ready-made ranges: no sampling pass and one shuffle of
+    the rows, shared by the join and the window. Where only a cut of the order is needed use `hash_cuts`,
+    which moves no rows at all. `size` names a column for the group size.
     """
     by = list(by)
     keys = [key] if isinstance(key, str) else list(key)
-    hashed, offsets = _hash_ranges(df, keys, seed, by)
+    hashed = _hashed(df, keys, seed)
+    earlier = W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = hashed.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = offsets.select(
+        *by,
+        "_range",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
+        F.sum("_n").over(W.partitionBy(*by)).alias("_size"),
+    )
     inside = W.partitionBy(*by, "_range").orderBy("_hash", *keys)
     out = hashed.join(offsets, [*by, "_range"]).withColumn(
         name, F.row_number().over(inside) - 1 + F.col("_offset")
@@ -120,23 +117,74 @@ def hashed_index(
     return out.drop("_hash", "_range", "_offset", "_size")
 
 
-def hashed_head(
-    df: DataFrame, key: str | Sequence[str], seed: int | str, n: int, by: Sequence[str] = ()
-) -> DataFrame:
-    """Exactly the first `n` rows per `by` group of the seeded random order (all rows of smaller groups).
-
-    Hash ranges that start beyond `n` are dropped before the shuffle; only about `n` rows per group move.
+def hash_cuts(
+    df: DataFrame,
+    key: str | Sequence[str],
+    seed: int | str,
+    counts: Callable[[int], Sequence[int]],
+    by: str | None = None,
+) -> dict[Any, list[str]]:
+    """Hash values that cut a seeded random order exactly: rows with `hash <= cut` are the first `count` rows.
+
+    `counts` gives the wanted row counts for a group size. Two light passes read the key only: one counts the
+    hash ranges, one ranks the few ranges in which a cut falls. The caller then selects rows by comparing
+    hashes, a narrow filter without any shuffle of the rows. The key must be unique. The result maps each
+    group (None without `by`) to one cut per count; "" selects nothing, "g" everything.
     """
-    by = list(by)
     keys = [key] if isinstance(key, str) else list(key)
-    hashed, offsets = _hash_ranges(df, keys, seed, by)
-    inside = W.partitionBy(*by, "_range").orderBy("_hash", *keys)
-    return (
-        hashed.join(offsets.filter(F.col("_offset") < n), [*by, "_range"])
-        .withColumn("_idx", F.row_number().over(inside) - 1 + F.col("_offset"))
-        .filter(F.col("_idx") < n)
-        .drop("_hash", "_range", "_offset", "_size", "_idx")
-    )
+    group = [by] if by else []
+    hashed = _hashed(df.select(*dict.fromkeys([*group, *keys])), keys, seed)
+    sizes = hashed.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    rows = sizes.limit(MAX_RANGES + 1).collect()
+    if len(rows) > MAX_RANGES:
+        raise ValueError(f"{by} has too many groups to cut a random order in each of them")
+    ranges: dict[Any, list[tuple[str, int]]] = {}
+    for r in rows:
+        ranges.setdefault(r[by] if by else None, []).append((r["_range"], r["_n"]))
+
+    cuts: dict[Any, list[str]] = {}
+    wanted: dict[tuple[Any, str, int], list[tuple[Any, int]]] = {}
+    for g, parts in ranges.items():
+        total = sum(n for _, n in parts)
+        cuts[g] = []
+        for i, count in enumerate(counts(total)):
+            cuts[g].append("" if count <= 0 else "g")
+            if 0 < count < total:
+                seen = 0
+                for name, n in sorted(parts):
+                    if count <= seen + n:
+                        wanted.setdefault((g, name, count - seen), []).append((g, i))
+                        break
+                    seen += n
+    if wanted:
+        fields = [*([df.schema[by]] if by else []), T.StructField("_range", T.StringType()), T.StructField("_rn", T.IntegerType())]
+        places = [(*([g] if by else []), name, rn) for g, name, rn in wanted]
+        places = df.sparkSession.createDataFrame(places, T.StructType(fields))
+        needed = F.broadcast(places.select(*group, "_range").distinct())  # at most one row per cut
+        inside = W.partitionBy(*group, "_range").orderBy("_hash", *keys)
+        ranked = hashed.join(needed, [*group, "_range"], "left_semi").withColumn("_rn", F.row_number().over(inside))
+        for r in ranked.join(F.broadcast(places), [*group, "_range", "_rn"]).collect():
+            for g, i in wanted[(r[by] if by else None, r["_range"], r["_rn"])]:
+                cuts[g][i] = r["_hash"]
+    return cuts
+
+
+def cut_code(hashed: Column, cuts: Sequence[str]) -> Column:
+    """Number of the first cut that a hash does not exceed; the number of cuts when it exceeds all."""
+    out = F.when(F.lit(False), 0)
+    for i, c in enumerate(cuts):
+        out = out.when(hashed <= F.lit(c), i)
+    return out.otherwise(len(cuts))
+
+
+def cut_codes(hashed: Column, cuts: dict[Any, list[str]], by: str | None = None) -> Column:
+    """`cut_code` with the cuts of the row's group."""
+    if by is None:
+        return cut_code(hashed, cuts.get(None, []))
+    out = F.when(F.lit(False), 0)
+    for g, c in cuts.items():
+        out = out.when(F.col(by).eqNullSafe(F.lit(g)), cut_code(hashed, c))
+    return out
 
 
 def mean_rank(df: DataFrame, value: str, keys: Sequence[str] = (), weight: Column | None = None) -> DataFrame:

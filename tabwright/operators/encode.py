@@ -13,7 +13,7 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader,
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.lookup import BROADCAST_ROWS
+from tabwright.functions.lookup import BROADCAST_ROWS, attach
 from tabwright.functions.ranks import ordered_index
 from tabwright.operators.prepare import _Stage
 from tabwright.operators.profile import level_table, too_many_levels, top_values
@@ -61,10 +61,12 @@ class _LevelModel(_Stage, Model):
         return _StateReader(cls)
 
     def _level_join(self, df: DataFrame, feature: str, payload: str) -> DataFrame:
-        """Left join the level table of one feature; `payload` becomes `_payload`. Broadcast if it is small."""
-        table = self.levels.filter(F.col("variable") == feature).select(F.col("value").alias(feature), F.col(payload).alias("_payload"))
-        small = self.getOrDefault("sizes").get(feature, 0) <= BROADCAST_ROWS
-        return df.join(F.broadcast(table) if small else table, feature, "left")
+        """Left join the level table of one feature; `payload` becomes `_payload`."""
+        table = self.levels.filter(F.col("variable") == feature)
+        table = table.select(F.col("value").alias(feature), F.col(payload).alias("_payload"), F.col("n").alias("_rows"))
+        if self.getOrDefault("sizes").get(feature, 0) <= BROADCAST_ROWS:
+            return df.join(F.broadcast(table.drop("_rows")), feature, "left")
+        return attach(df, table, [feature], weight="_rows").drop("_rows")
 
 
 # --- lumping -----------------------------------------------------------------------------------------
@@ -134,11 +136,11 @@ class TargetEncoding(_Stage, Estimator):
             melt(used, ["_y"], names)
             .filter(F.col("value").isNotNull())
             .groupBy("variable", "value")
-            .agg(F.avg("_y").alias("_mean"))
+            .agg(F.avg("_y").alias("_mean"), F.count(F.lit(1)).alias("n"))
             .withColumn("_falling", -F.col("_mean"))
         )
         ranked = ordered_index(means, ["_falling", "value"], keys=["variable"])
-        levels = settle(ranked.select("variable", "value", (F.col("idx") + 1).cast("double").alias("code")))
+        levels = settle(ranked.select("variable", "value", "n", (F.col("idx") + 1).cast("double").alias("code")))
         sizes = {r["variable"]: r["n"] for r in levels.groupBy("variable").agg(F.count(F.lit(1)).alias("n")).collect()}
         return TargetEncodingModel(names, levels, sizes, flag, self._value("remove_burned"))
 
@@ -186,7 +188,7 @@ class MapUnseen(_Stage, Estimator):
         ).collect()
         return MapUnseenModel(
             self._names(),
-            levels.filter(F.col("value").isNotNull()).select("variable", "value", F.col("value").alias("same")),
+            levels.filter(F.col("value").isNotNull()).select("variable", "value", "n", F.col("value").alias("same")),
             {r["variable"]: r["n"] for r in stats},
             {r["variable"]: r["mode"] for r in stats},
             [r["variable"] for r in stats if r["null_seen"]],

@@ -12,7 +12,6 @@ from tabwright.operators.metrics import auc_from_counts, spear
 from tabwright.operators.prepare import Binning
 from tabwright.operators.reshape import melt
 from tabwright.schema import BINNED, MISSING
-from tabwright.session import settle
 
 
 def _leveled(df: DataFrame, features: Sequence[str], target: str, n_bins: int) -> DataFrame:
@@ -56,10 +55,7 @@ def _importance_regression(df, features, target) -> DataFrame:
         parts.append(melt(df, [target], cells, variable="feature", value="score"))
     if categorical:
         long = melt(df, [target], categorical, variable="feature", value="level").filter(F.col("level").isNotNull())
-        # rows with the same level and target are one weighted row, so a hot level stays small
-        means = settle(
-            long.groupBy("feature", "level").agg(F.avg(target).alias("score"), F.count(F.lit(1)).alias("_rows"))
-        )
+        means = long.groupBy("feature", "level").agg(F.avg(target).alias("score"), F.count(F.lit(1)).alias("_rows"))
         parts.append(attach(long, means, ["feature", "level"], weight="_rows", how="inner").select(target, "feature", "score"))
     scored = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return spear(scored, target, "score", ["feature"]).select("feature", F.abs("spear").alias("importance"))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tabwright.functions.lookup import attach
 from tabwright.functions.quantiles import quantile_frame
 from tabwright.operators.reshape import melt
-from tabwright.session import settle
 
 DROP_SHARE = 0.95  # fixed value: columns with a larger share of missing values are dropped
 
@@ -87,7 +86,7 @@ def group_transform(df: DataFrame, key: str, value: str, stat: str, name: str) -
     groups = df.filter(F.col(key).isNotNull()).groupBy(key).agg(
         F.avg(value).alias("_mean"), F.count(value).alias("_count"), F.count(F.lit(1)).alias("_rows")
     )
-    out = attach(df, settle(groups), [key], weight="_rows")
+    out = attach(df, groups, [key], weight="_rows")
     result = F.col("_mean") if stat == "mean" else F.try_divide(F.col(value), F.col("_count"))
     return out.withColumn(name, result).select(*df.columns, name)
 

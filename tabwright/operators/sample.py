@@ -1,6 +1,7 @@
 """Samples of exact size, folds and random imputation, all driven by a hash of the row key."""
 
 from collections.abc import Sequence
+from math import floor
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params
@@ -8,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.hashing import hash_hex, hash_long, hash_unit
-from tabwright.functions.ranks import hashed_head, hashed_index
+from tabwright.functions.ranks import cut_codes, hash_cuts, hashed_index
 from tabwright.operators.prepare import _Stage
 from tabwright.operators.profile import bottom_and_top
 from tabwright.operators.reshape import melt
@@ -23,21 +24,18 @@ def assign_fold(
     labels: Sequence[str] = ("util", "train", "test"),
 ) -> DataFrame:
     """Add `fold` with the exact shares given, on a random permutation of the rows."""
-    indexed = hashed_index(df, key, seed, name="_idx", size="_total")
-    edge, fold = 0.0, None
-    for frac, label in zip(fracs[:-1], labels[:-1]):
-        edge = round(edge + frac, 12)
-        inside = F.col("_idx") <= F.lit(edge) * (F.col("_total") - 1)
-        fold = F.when(inside, label) if fold is None else fold.when(inside, label)
-    return indexed.withColumn("fold", fold.otherwise(labels[-1])).drop("_idx", "_total")
+    edges = [round(sum(fracs[: i + 1]), 12) for i in range(len(fracs) - 1)]
+    cuts = hash_cuts(df, key, seed, lambda n: [floor(e * (n - 1)) + 1 for e in edges])
+    code = cut_codes(hash_hex(key, seed), cuts)
+    return df.withColumn("fold", F.array(*[F.lit(x) for x in labels])[code])
 
 
 def time_fold(df: DataFrame, is_test: Column, key: str, seed: int, util_frac: float = 0.1) -> DataFrame:
     """Add `fold`: test by a time condition, the rest train, of which a random share becomes util."""
     flagged = df.withColumn("fold", F.when(is_test, "test").otherwise("train"))
-    indexed = hashed_index(flagged, key, seed, by=["fold"], name="_idx", size="_total")
-    util = (F.col("fold") == "train") & (F.col("_idx") < F.rint(F.lit(util_frac) * F.col("_total")))
-    return indexed.withColumn("fold", F.when(util, "util").otherwise(F.col("fold"))).drop("_idx", "_total")
+    cuts = hash_cuts(flagged.filter("fold = 'train'"), key, seed, lambda n: [round(util_frac * n)])
+    util = (F.col("fold") == "train") & (cut_codes(hash_hex(key, seed), cuts) == 0)
+    return flagged.withColumn("fold", F.when(util, "util").otherwise(F.col("fold")))
 
 
 def bernoulli_flag(df: DataFrame, key: str, seed: int, p: float = 0.2, name: str = "encode_flag") -> DataFrame:
@@ -58,7 +56,8 @@ def remove_burned(df: DataFrame) -> DataFrame:
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """Exactly min(n, rows) random rows."""
-    return hashed_head(df, key, seed, n)
+    cuts = hash_cuts(df, key, seed, lambda _: [n])
+    return df.filter(cut_codes(hash_hex(key, seed), cuts) == 0)
 
 
 def worst_best_random(df: DataFrame, value: str, key: str, n: int, n_random: int, seed: int) -> DataFrame:
@@ -116,7 +115,9 @@ class UndersampleModel(_Stage, Model):
         return list(self._value("prior_sample"))
 
     def sample(self, df: DataFrame) -> DataFrame:
-        return hashed_head(df, self._value("key"), self._value("seed"), self._value("n_max_per_level"), by=[self._value("target")])
+        key, seed, target, n = (self._value(p) for p in ("key", "seed", "target", "n_max_per_level"))
+        cuts = hash_cuts(df.filter(F.col(target).isNotNull()), key, seed, lambda _: [n], by=target)
+        return df.filter(cut_codes(hash_hex(key, seed), cuts, target) == 0)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return dataset

@@ -52,7 +52,7 @@ class Problem:
 
     def splits(self, k: int = 1, seed: int = 42) -> list[Split]:
         """Separate-fold splits: train rows only from the train fold, test rows only from the test fold."""
-        rows = settle(with_chunks(self.df.filter(F.col(self.fold).isin("train", "test")), self.key, k, seed, by=[self.fold]))
+        rows = settle(with_chunks(self.df.filter(F.col(self.fold).isin("train", "test")), self.key, k, seed, by=self.fold))
         return [separate_split(rows, i, k, self.fold) for i in range(k)]
 
     def inner_split(self, df: DataFrame, test_size: float = 0.2, seed: int = 999) -> Split:

@@ -1,34 +1,28 @@
 """Train and test splits as columns or long tables; rows are never listed on the driver."""
 
 from collections.abc import Sequence
+from math import ceil, floor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.hashing import hash_hex, hash_long
-from tabwright.functions.ranks import hashed_index
+from tabwright.functions.ranks import cut_codes, hash_cuts, hashed_index
 from tabwright.session import settle
 
 # The training shares of a learning curve.
 LEARNING_SHARES = (0.05, 0.0625, 0.075, 0.0875, 0.1, 0.2, 0.4, 0.6, 0.8, 1.0)
 
 
-def chunk_of(idx: Column, size: Column, k: int) -> Column:
-    """Chunk 0..k-1 of position idx when `size` rows are cut into k parts, the first `size mod k` one longer."""
-    short = F.floor(size / k)
-    longer = size % k
-    border = longer * (short + 1)
-    return (
-        F.when(idx < border, F.floor(idx / (short + 1)))
-        .otherwise(longer + F.floor((idx - border) / F.nullif(short, F.lit(0))))
-        .cast("int")
-    )
+def chunk_counts(n: int, k: int) -> list[int]:
+    """Running row counts at the ends of k chunks of n rows, the first `n mod k` chunks one row longer."""
+    return [(i + 1) * (n // k) + min(i + 1, n % k) for i in range(k - 1)]
 
 
-def with_chunks(df: DataFrame, key: str, k: int, seed: int, by: Sequence[str] = (), name: str = "chunk") -> DataFrame:
-    """Add the random chunk 0..k-1 of each row, inside each `by` group."""
-    indexed = hashed_index(df, key, seed, by=by, name="_idx", size="_total")
-    return indexed.withColumn(name, chunk_of(F.col("_idx"), F.col("_total"), k)).drop("_idx", "_total")
+def with_chunks(df: DataFrame, key: str, k: int, seed: int, by: str | None = None, name: str = "chunk") -> DataFrame:
+    """Add the random chunk 0..k-1 of each row, inside each `by` group; a narrow step after two key-only passes."""
+    cuts = hash_cuts(df, key, seed, lambda n: chunk_counts(n, k), by)
+    return df.withColumn(name, cut_codes(hash_hex(key, seed), cuts, by))
 
 
 def separate_split(df: DataFrame, split: int, k: int, fold: str = "fold", chunk: str = "chunk") -> tuple[DataFrame, DataFrame]:
@@ -44,7 +38,7 @@ def separate_split(df: DataFrame, split: int, k: int, fold: str = "fold", chunk:
 
 def separate_split_table(df: DataFrame, key: str, k: int, seed: int = 42, fold: str = "fold") -> DataFrame:
     """All splits in long form: (split, role, key)."""
-    rows = with_chunks(df.filter(F.col(fold).isin("train", "test")).select(key, fold), key, k, seed, by=[fold])
+    rows = with_chunks(df.filter(F.col(fold).isin("train", "test")).select(key, fold), key, k, seed, by=fold)
     split = F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
     other = F.col("chunk") != F.col("split") if k > 1 else F.lit(True)
     member = F.when(F.col(fold) == "test", F.col("chunk") == F.col("split")).otherwise(other)
@@ -74,23 +68,19 @@ def k_fold(df: DataFrame, key: str, k: int = 5, seed: int = 42, name: str = "fol
 
 
 def repeated_k_fold(df: DataFrame, key: str, k: int = 5, n_rep: int = 10, seed: int = 42) -> DataFrame:
-    """Fold of every row in every repetition: (rep, fold, key)."""
+    """Fold 1..k of every row in every repetition: (rep, fold, key)."""
     reps = df.select(key, F.explode(F.sequence(F.lit(1), F.lit(n_rep))).alias("rep"))
-    indexed = hashed_index(reps, [key, "rep"], seed, by=["rep"], name="_idx", size="_total")
-    return indexed.select("rep", (chunk_of(F.col("_idx"), F.col("_total"), k) + 1).alias("fold"), key)
+    cuts = hash_cuts(reps, [key, "rep"], seed, lambda n: chunk_counts(n, k), "rep")
+    return reps.select("rep", (cut_codes(hash_hex([key, "rep"], seed), cuts, "rep") + 1).alias("fold"), key)
 
 
 def shuffle_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 999, name: str = "role") -> DataFrame:
     """Add `role`: a random test share rounded up, the rest train."""
-    indexed = hashed_index(df, key, seed, name="_idx", size="_total")
-    test = F.col("_idx") < F.ceil(F.lit(test_size) * F.col("_total"))
-    return indexed.withColumn(name, F.when(test, "test").otherwise("train")).drop("_idx", "_total")
+    cuts = hash_cuts(df, key, seed, lambda n: [ceil(test_size * n)])
+    return df.withColumn(name, F.when(cut_codes(hash_hex(key, seed), cuts) == 0, "test").otherwise("train"))
 
 
 def learning_subsets(df: DataFrame, key: str, seed: int = 42, shares: Sequence[float] = LEARNING_SHARES) -> DataFrame:
     """Add `step`, the first share whose nested prefix holds the row: subset s is `step <= s`."""
-    indexed = hashed_index(df, key, seed, name="_idx", size="_total")
-    step = F.when(F.lit(False), 0)
-    for i, share in enumerate(shares):
-        step = step.when(F.col("_idx") < F.floor(F.lit(share) * F.col("_total")), i)
-    return indexed.withColumn("step", step).filter(F.col("step").isNotNull()).drop("_idx", "_total")
+    cuts = hash_cuts(df, key, seed, lambda n: [floor(s * n) for s in shares])
+    return df.withColumn("step", cut_codes(hash_hex(key, seed), cuts)).filter(F.col("step") < len(shares))

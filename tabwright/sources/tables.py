@@ -1,6 +1,7 @@
 """Readers and writers for the input tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.functions.ranks import ordered_index
@@ -58,15 +59,30 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def row_slice(df: DataFrame, order: list[str], start: int = 0, stop: int | None = None) -> DataFrame:
-    """Rows start..stop-1 of the order given, without sorting in one task."""
-    indexed = ordered_index(df, order, name="_row")
-    keep = indexed["_row"] >= start
-    if stop is not None:
-        keep = keep & (indexed["_row"] < stop)
-    return indexed.filter(keep).drop("_row")
+    """Rows start..stop-1 of the order given, whose columns identify a row.
+
+    Only the order columns are ranked; the rows are then picked by comparing with the two border rows.
+    """
+    ends = [i for i in (start, stop) if i]
+    keys = ordered_index(df.select(*order), order, name="_row")
+    border = {r["_row"]: r for r in keys.filter(F.col("_row").isin(*ends)).collect()} if ends else {}
+    place = F.struct(*order)
+
+    def value(i: int) -> Column:
+        return F.struct(*[F.lit(border[i][c]).cast(df.schema[c].dataType).alias(c) for c in order])
+
+    out = df
+    if start:
+        out = out.filter(place >= value(start)) if start in border else out.filter(F.lit(False))
+    if stop is not None and (stop in border or stop == 0):
+        out = out.filter(place < value(stop)) if stop else out.filter(F.lit(False))
+    return out
 
 
 def with_row_id(df: DataFrame, order: list[str], name: str = "id") -> DataFrame:
-    """Add a consecutive id from 1 in the order given."""
-    indexed = ordered_index(df, order, name=name)
-    return indexed.withColumn(name, indexed[name] + 1)
+    """Add a consecutive id from 1 in the order given, whose columns identify a row.
+
+    The ranking works on the order columns alone; the full rows are shuffled once, for the join.
+    """
+    ids = ordered_index(df.select(*order), order, name=name)
+    return df.join(ids.withColumn(name, F.col(name) + 1), order)
