@@ -477,25 +477,50 @@ def _(spark, sf):
 
 
 @query(
-    "distribution_profile",
-    f"""SELECT 'price' AS feature, 'histogram' AS frame, target || '/' || bin AS item, density AS value FROM ({histogram_sql(CLASS_SQL, 'price', 'target')}) AS h
-    UNION ALL SELECT 'price', 'box', CAST(target AS VARCHAR), median FROM ({box_sql(CLASS_SQL, 'price', 'target')}) AS b
-    UNION ALL SELECT 'status', 'crosstab', status, avg(target) FROM ({CLASS_SQL}) AS c GROUP BY status
-    UNION ALL SELECT 'status', 'profile', status, avg(target) FROM ({CLASS_SQL}) AS c GROUP BY status""",
+    "distribution_profile_class",
+    f"""SELECT 'histogram' AS frame, '{METRIC[0]}' AS variable, target || '/' || bin AS item, density AS value FROM ({histogram_sql(CLASS_SQL, METRIC[0], 'target')}) AS h
+    UNION ALL SELECT 'histogram', '{METRIC[1]}', target || '/' || bin, density FROM ({histogram_sql(CLASS_SQL, METRIC[1], 'target')}) AS h
+    UNION ALL SELECT 'box', '{METRIC[0]}', CAST(target AS VARCHAR), median FROM ({box_sql(CLASS_SQL, METRIC[0], 'target')}) AS b
+    UNION ALL SELECT 'box', '{METRIC[1]}', CAST(target AS VARCHAR), median FROM ({box_sql(CLASS_SQL, METRIC[1], 'target')}) AS b
+    UNION ALL SELECT 'levels', 'status', status, avg(target) FROM ({CLASS_SQL}) AS c GROUP BY status
+    UNION ALL SELECT 'levels', 'segment', segment, avg(target) FROM ({CLASS_SQL}) AS c WHERE segment IS NOT NULL GROUP BY segment""",
     num="value",
     digits=9,
 )
 def _(spark, sf):
-    found = density.distribution_profile(class_frame(spark, sf), ["price", "status"], labels=[0, 1])
+    found = density.distribution_profile(class_frame(spark, sf), [*METRIC, "status", "segment"], labels=[0, 1])
 
-    def item(feature, frame, key, value):
-        return found[feature][frame].select(F.lit(feature).alias("feature"), F.lit(frame).alias("frame"), key.alias("item"), F.col(value).alias("value"))
+    def item(frame, key, value):
+        return found[frame].select(F.lit(frame).alias("frame"), "variable", key.alias("item"), F.col(value).alias("value"))
+
+    return union_rows(
+        item("histogram", F.concat_ws("/", "target", "bin"), "density"),
+        item("box", F.col("target").cast("string"), "median"),
+        item("levels", F.col("level"), "share_1"),
+    )
+
+
+@query(
+    "distribution_profile_regression",
+    f"""SELECT 'hexbin' AS frame, v AS variable, lattice || '/' || i || '/' || j AS item, CAST(n AS DOUBLE) AS value FROM (
+      SELECT 'quantity' AS v, * FROM ({hexbin_sql(ITEM_SQL, 'quantity', 'price')}) AS a UNION ALL SELECT 'discount', * FROM ({hexbin_sql(ITEM_SQL, 'discount', 'price')}) AS b) AS h
+    UNION ALL SELECT 'trend', 'discount', bin, avg(price) FROM (SELECT *, {bin_sql('discount', ITEM_SQL, 20)} AS bin FROM ({ITEM_SQL}) AS s WHERE discount IS NOT NULL) AS t GROUP BY bin
+    UNION ALL SELECT 'trend', 'quantity', bin, avg(price) FROM (SELECT *, {bin_sql('quantity', ITEM_SQL, 20)} AS bin FROM ({ITEM_SQL}) AS s) AS t GROUP BY bin
+    UNION ALL SELECT 'levels', 'linenumber', linenumber, avg(price) FROM ({ITEM_SQL}) AS l GROUP BY linenumber
+    UNION ALL SELECT 'level_box', 'linenumber', linenumber, median FROM ({box_sql(ITEM_SQL, 'price', 'linenumber')}) AS b""",
+    num="value",
+)
+def _(spark, sf):
+    found = density.distribution_profile(item_frame(spark, sf), ["quantity", "discount", "linenumber"], "price", "REGR")
+
+    def item(frame, key, value):
+        return found[frame].select(F.lit(frame).alias("frame"), "variable", key.alias("item"), F.col(value).cast("double").alias("value"))
 
     return union_rows(
-        item("price", "histogram", F.concat_ws("/", "target", "bin"), "density"),
-        item("price", "box", F.col("target").cast("string"), "median"),
-        item("status", "crosstab", F.col("level"), "share_1"),
-        item("status", "profile", F.col("level"), "h"),
+        item("hexbin", F.concat_ws("/", "lattice", "i", "j"), "n"),
+        item("trend", F.col("bin"), "y_mean"),
+        item("levels", F.col("level"), "h"),
+        item("level_box", F.col("level"), "median"),
     )
 
 

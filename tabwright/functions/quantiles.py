@@ -19,17 +19,17 @@ SKETCH_ACCURACY = 10_000
 BROADCAST_ROWS = 100_000
 
 
-def _direct(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+def _direct(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str], label: str) -> DataFrame:
     grid = F.array(*[F.lit(float(p)) for p in probs])
     wide = df.groupBy(*by).agg(*[F.percentile(F.col(c), grid).alias(c) for c in cols])
-    pairs = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("quantiles")) for c in cols])
-    return wide.select(*by, F.explode(pairs).alias("_p")).select(*by, "_p.variable", "_p.quantiles")
+    pairs = F.array(*[F.struct(F.lit(c).alias(label), F.col(c).alias("quantiles")) for c in cols])
+    return wide.select(*by, F.explode(pairs).alias("_p")).select(*by, f"_p.{label}", "_p.quantiles")
 
 
-def _bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+def _bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str], label: str) -> DataFrame:
     by = list(by)
-    group = [*by, "variable"]
-    long = melt(df, by, [(c, F.col(c).cast("double")) for c in cols]).filter(F.col("value").isNotNull())
+    group = [*by, label]
+    long = melt(df, by, [(c, F.col(c).cast("double")) for c in cols], label).filter(F.col("value").isNotNull())
     slack = 4.0 / SKETCH_ACCURACY
     lows = F.array(*[F.lit(max(0.0, p - slack)) for p in probs])
     highs = F.array(*[F.lit(min(1.0, p + slack)) for p in probs])
@@ -86,15 +86,15 @@ def _bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: S
 
 
 def quantile_frame(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), label: str = "variable"
 ) -> DataFrame:
-    """Exact quantiles per group and column: (by…, variable, quantiles array in the order of `probs`)."""
+    """Exact quantiles per group and column: (by…, label, quantiles array in the order of `probs`)."""
     by = list(by)
     sizes = df.groupBy(*by).agg(*[F.count(c).alias(c) for c in cols])
     longest = sizes.agg(F.max(F.greatest(*cols) if len(cols) > 1 else F.col(cols[0])).alias("n")).first()["n"]
     if (longest or 0) <= DIRECT_ROWS:
-        return _direct(df, cols, probs, by)
-    return _bracketed(df, cols, probs, by)
+        return _direct(df, cols, probs, by, label)
+    return _bracketed(df, cols, probs, by, label)
 
 
 def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:

@@ -169,22 +169,28 @@ def hash_cuts(
     return cuts
 
 
-def cut_code(hashed: Column, cuts: Sequence[str]) -> Column:
-    """Number of the first cut that a hash does not exceed; the number of cuts when it exceeds all."""
+def _cut_code(hashed: Column, cuts: Sequence[str]) -> Column:
     out = F.when(F.lit(False), 0)
     for i, c in enumerate(cuts):
         out = out.when(hashed <= F.lit(c), i)
     return out.otherwise(len(cuts))
 
 
-def cut_codes(hashed: Column, cuts: dict[Any, list[str]], by: str | None = None) -> Column:
-    """`cut_code` with the cuts of the row's group."""
+def with_cut_code(
+    df: DataFrame, key: str | Sequence[str], seed: int | str, cuts: dict[Any, list[str]], name: str, by: str | None = None
+) -> DataFrame:
+    """Add the number of the first cut that the row's hash does not exceed; the number of cuts when it exceeds all.
+
+    The cuts are those of the row's `by` group; rows of other groups get null.
+    """
+    hashed = df.withColumn("_hash", hash_hex(key, seed))
     if by is None:
-        return cut_code(hashed, cuts.get(None, []))
-    out = F.when(F.lit(False), 0)
-    for g, c in cuts.items():
-        out = out.when(F.col(by).eqNullSafe(F.lit(g)), cut_code(hashed, c))
-    return out
+        code = _cut_code(F.col("_hash"), cuts.get(None, []))
+    else:
+        code = F.when(F.lit(False), 0)
+        for g, c in cuts.items():
+            code = code.when(F.col(by).eqNullSafe(F.lit(g)), _cut_code(F.col("_hash"), c))
+    return hashed.withColumn(name, code).drop("_hash")
 
 
 def mean_rank(df: DataFrame, value: str, keys: Sequence[str] = (), weight: Column | None = None) -> DataFrame:

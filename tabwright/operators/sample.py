@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.hashing import hash_hex, hash_long, hash_unit
-from tabwright.functions.ranks import cut_codes, hash_cuts, hashed_index
+from tabwright.functions.ranks import hash_cuts, hashed_index, with_cut_code
 from tabwright.operators.prepare import _Stage
 from tabwright.operators.profile import bottom_and_top
 from tabwright.operators.reshape import melt
@@ -26,16 +26,17 @@ def assign_fold(
     """Add `fold` with the exact shares given, on a random permutation of the rows."""
     edges = [round(sum(fracs[: i + 1]), 12) for i in range(len(fracs) - 1)]
     cuts = hash_cuts(df, key, seed, lambda n: [floor(e * (n - 1)) + 1 for e in edges])
-    code = cut_codes(hash_hex(key, seed), cuts)
-    return df.withColumn("fold", F.array(*[F.lit(x) for x in labels])[code])
+    coded = with_cut_code(df, key, seed, cuts, "_code")
+    return coded.withColumn("fold", F.array(*[F.lit(x) for x in labels])[F.col("_code")]).drop("_code")
 
 
 def time_fold(df: DataFrame, is_test: Column, key: str, seed: int, util_frac: float = 0.1) -> DataFrame:
     """Add `fold`: test by a time condition, the rest train, of which a random share becomes util."""
     flagged = df.withColumn("fold", F.when(is_test, "test").otherwise("train"))
     cuts = hash_cuts(flagged.filter("fold = 'train'"), key, seed, lambda n: [round(util_frac * n)])
-    util = (F.col("fold") == "train") & (cut_codes(hash_hex(key, seed), cuts) == 0)
-    return flagged.withColumn("fold", F.when(util, "util").otherwise(F.col("fold")))
+    util = (F.col("fold") == "train") & (F.col("_code") == 0)
+    coded = with_cut_code(flagged, key, seed, cuts, "_code")
+    return coded.withColumn("fold", F.when(util, "util").otherwise(F.col("fold"))).drop("_code")
 
 
 def bernoulli_flag(df: DataFrame, key: str, seed: int, p: float = 0.2, name: str = "encode_flag") -> DataFrame:
@@ -57,7 +58,7 @@ def remove_burned(df: DataFrame) -> DataFrame:
 def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """Exactly min(n, rows) random rows."""
     cuts = hash_cuts(df, key, seed, lambda _: [n])
-    return df.filter(cut_codes(hash_hex(key, seed), cuts) == 0)
+    return with_cut_code(df, key, seed, cuts, "_code").filter("_code = 0").drop("_code")
 
 
 def worst_best_random(df: DataFrame, value: str, key: str, n: int, n_random: int, seed: int) -> DataFrame:
@@ -117,7 +118,7 @@ class UndersampleModel(_Stage, Model):
     def sample(self, df: DataFrame) -> DataFrame:
         key, seed, target, n = (self._value(p) for p in ("key", "seed", "target", "n_max_per_level"))
         cuts = hash_cuts(df.filter(F.col(target).isNotNull()), key, seed, lambda _: [n], by=target)
-        return df.filter(cut_codes(hash_hex(key, seed), cuts, target) == 0)
+        return with_cut_code(df, key, seed, cuts, "_code", target).filter("_code = 0").drop("_code")
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return dataset

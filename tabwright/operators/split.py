@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.hashing import hash_hex, hash_long
-from tabwright.functions.ranks import cut_codes, hash_cuts, hashed_index
+from tabwright.functions.ranks import hash_cuts, hashed_index, with_cut_code
 from tabwright.session import settle
 
 # The training shares of a learning curve.
@@ -22,7 +22,7 @@ def chunk_counts(n: int, k: int) -> list[int]:
 def with_chunks(df: DataFrame, key: str, k: int, seed: int, by: str | None = None, name: str = "chunk") -> DataFrame:
     """Add the random chunk 0..k-1 of each row, inside each `by` group; a narrow step after two key-only passes."""
     cuts = hash_cuts(df, key, seed, lambda n: chunk_counts(n, k), by)
-    return df.withColumn(name, cut_codes(hash_hex(key, seed), cuts, by))
+    return with_cut_code(df, key, seed, cuts, name, by)
 
 
 def separate_split(df: DataFrame, split: int, k: int, fold: str = "fold", chunk: str = "chunk") -> tuple[DataFrame, DataFrame]:
@@ -71,16 +71,18 @@ def repeated_k_fold(df: DataFrame, key: str, k: int = 5, n_rep: int = 10, seed:
     """Fold 1..k of every row in every repetition: (rep, fold, key)."""
     reps = df.select(key, F.explode(F.sequence(F.lit(1), F.lit(n_rep))).alias("rep"))
     cuts = hash_cuts(reps, [key, "rep"], seed, lambda n: chunk_counts(n, k), "rep")
-    return reps.select("rep", (cut_codes(hash_hex([key, "rep"], seed), cuts, "rep") + 1).alias("fold"), key)
+    coded = with_cut_code(reps, [key, "rep"], seed, cuts, "fold", "rep")
+    return coded.select("rep", (F.col("fold") + 1).alias("fold"), key)
 
 
 def shuffle_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 999, name: str = "role") -> DataFrame:
     """Add `role`: a random test share rounded up, the rest train."""
     cuts = hash_cuts(df, key, seed, lambda n: [ceil(test_size * n)])
-    return df.withColumn(name, F.when(cut_codes(hash_hex(key, seed), cuts) == 0, "test").otherwise("train"))
+    coded = with_cut_code(df, key, seed, cuts, name)
+    return coded.withColumn(name, F.when(F.col(name) == 0, "test").otherwise("train"))
 
 
 def learning_subsets(df: DataFrame, key: str, seed: int = 42, shares: Sequence[float] = LEARNING_SHARES) -> DataFrame:
     """Add `step`, the first share whose nested prefix holds the row: subset s is `step <= s`."""
     cuts = hash_cuts(df, key, seed, lambda n: [floor(s * n) for s in shares])
-    return df.withColumn("step", cut_codes(hash_hex(key, seed), cuts)).filter(F.col("step") < len(shares))
+    return with_cut_code(df, key, seed, cuts, "step").filter(F.col("step") < len(shares))
