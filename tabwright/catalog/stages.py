@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 from tabwright.catalog.frames import CATEGORICAL, CLASS_SQL, METRIC, class_frame, order_frame
 from tabwright.catalog.modelling import CATE, METR, TREES
 from tabwright.catalog.preparation import TOP_SQL, encoding_sql
+from tabwright.catalog.projections import scratch
 from tabwright.catalog.registry import query
 from tabwright.operators.models import ModelSpec
 from tabwright.plans.compare import compare
 from tabwright.plans.explore import explore
 from tabwright.plans.interpret import interpret
+from tabwright.sources.handoff import load_stage
 
 EXPLORE_SQL = f"""WITH base AS (SELECT * FROM ({CLASS_SQL}) AS t),
 folded AS (SELECT id, CASE WHEN idx <= 0.1 * (n - 1) THEN 'util' WHEN idx <= 0.8 * (n - 1) THEN 'train' ELSE 'test' END AS fold
@@ -39,12 +41,14 @@ def _(spark, sf):
 @query("compare_stage")
 def _(spark, sf):
     df = order_frame(spark, sf).withColumn("fold", F.when(F.col("id") % 10 == 1, "util").otherwise(F.col("fold")))
-    done = explore(df, METR, CATE)
+    path = scratch(spark)
+    explore(df, METR, CATE).save(path)
+    prepared, features = load_stage(spark, path)
     candidates = {
         "elastic": (ModelSpec("elastic_net"), {"alpha": [0.01], "l1_ratio": [1.0]}),
         "trees": (TREES, {"n_estimators": [4, 8]}),
     }
-    return compare(done.table, done.features, candidates, "elastic", k=2)["comparison_runs"]
+    return compare(prepared, features, candidates, "elastic", k=2)["comparison_runs"]
 
 
 @query("interpret_stage")

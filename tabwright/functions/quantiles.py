@@ -41,9 +41,10 @@ def _bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: S
         F.percentile_approx("value", highs, SKETCH_ACCURACY).alias("_high"),
     )
     brackets = []
+    short = F.col("_n") * slack < 4  # the slack must span a few ranks; a short group is its own bracket
     for i, p in enumerate(probs):
-        low = F.col("_min") if p <= 2 * slack else F.col("_low")[i]
-        high = F.col("_max") if p >= 1 - 2 * slack else F.col("_high")[i]
+        low = F.when(short | F.lit(p <= 2 * slack), F.col("_min")).otherwise(F.col("_low")[i])
+        high = F.when(short | F.lit(p >= 1 - 2 * slack), F.col("_max")).otherwise(F.col("_high")[i])
         brackets.append(F.struct(F.lit(i).alias("i"), low.alias("low"), high.alias("high")))
     sketch = settle(sketch.select(*group, "_n", F.array(*brackets).alias("_brackets")))
     small = sketch.count() <= BROADCAST_ROWS

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tabwright.functions.lookup import BROADCAST_ROWS, attach
 from tabwright.functions.ranks import ordered_index
 from tabwright.operators.prepare import _Stage
-from tabwright.operators.profile import level_table, too_many_levels, top_values
+from tabwright.operators.profile import level_table, most_frequent
 from tabwright.operators.reshape import melt
 from tabwright.schema import ENCODED, OTHER
 from tabwright.session import settle
@@ -84,10 +84,14 @@ class LumpLevels(_Stage, Estimator):
 
     def _fit(self, dataset: DataFrame) -> "LumpLevelsModel":
         names, n = self._names(), self._value("n_top")
-        toomany = too_many_levels(dataset, names, n, count_null=True)
-        kept: dict[str, list[str]] = {c: [] for c in toomany}
-        if toomany:
-            for r in top_values(dataset, toomany, n).orderBy("variable", "rank").collect():
+        if not names:
+            return LumpLevelsModel([], {}, self._value("other_label"))
+        levels = settle(level_table(dataset, names))
+        counts = levels.groupBy("variable").agg(F.count(F.lit(1)).alias("levels"))
+        toomany = {r["variable"] for r in counts.filter(F.col("levels") > n).collect()}
+        kept: dict[str, list[str]] = {c: [] for c in names if c in toomany}
+        if kept:
+            for r in most_frequent(levels.filter(F.col("variable").isin(*kept)), n).orderBy("variable", "rank").collect():
                 kept[r["variable"]].append(r["value"])
         return LumpLevelsModel(names, kept, self._value("other_label"))
 

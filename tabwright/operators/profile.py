@@ -55,15 +55,16 @@ def describe_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def most_frequent(levels: DataFrame, n: int) -> DataFrame:
+    """The n most frequent levels per variable of a level table, with their rank; the smaller level wins a tie."""
+    by_count = W.partitionBy("variable").orderBy(F.desc("n"), F.asc("value"))
+    present = levels.filter(F.col("value").isNotNull())
+    return present.withColumn("rank", F.row_number().over(by_count)).filter(F.col("rank") <= n)
+
+
 def top_values(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     """The n most frequent levels per column, long form with their rank."""
-    by_count = W.partitionBy("variable").orderBy(F.desc("n"), F.asc("value"))
-    return (
-        level_table(df, columns)
-        .filter(F.col("value").isNotNull())
-        .withColumn("rank", F.row_number().over(by_count))
-        .filter(F.col("rank") <= n)
-    )
+    return most_frequent(level_table(df, columns), n)
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
