@@ -14,16 +14,21 @@ HOT_ROWS = 5_000_000  # a key with more rows than this is joined apart from the
 
 
 def attach(
-    df: DataFrame, table: DataFrame, on: Sequence[str], weight: str | None = None, how: str = "left"
+    df: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    weight: str | None = None,
+    how: str = "left",
+    settled: bool = False,
 ) -> DataFrame:
     """Join `table`, unique on `on`, to `df`. `weight` names its column with the number of `df` rows per key.
 
-    The table is settled once and counted. A small one is broadcast. A large one is shuffled, but its hot keys
+    The table is settled once (unless the caller did) and counted. A small one is broadcast. A large one is shuffled, but its hot keys
     are few by construction (each stands for more than HOT_ROWS rows): they are broadcast and their rows never
     shuffled. Rows without a key match nothing and skip the shuffle as well.
     """
     on = list(on)
-    table = settle(table)
+    table = table if settled else settle(table)
     if table.count() <= BROADCAST_ROWS:
         return df.join(F.broadcast(table), on, how)
     empty = reduce(or_, [F.col(c).isNull() for c in on])

@@ -7,10 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabwright.functions.lookup import attach
 from tabwright.functions.ranks import mean_rank
 from tabwright.functions.scalars import columns_with_missing
-from tabwright.operators.metrics import spear
+from tabwright.operators.metrics import attach_ranks, spear
 from tabwright.operators.profile import level_counts, missing_share
 from tabwright.operators.reshape import melt
 from tabwright.session import settle
@@ -107,11 +106,8 @@ def _complete_spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     ranks = settle(mean_rank(melt(data, [], list(columns)), "value", ["variable"]))
     for c in columns:
-        table = ranks.filter(F.col("variable") == c).select(
-            F.col("value").alias(c), F.col("n").alias("_w"), F.col("centred").alias(f"_r_{c}")
-        )
-        data = attach(data, table, [c], weight="_w", how="inner").drop("_w")
-    wide = data.agg(*[F.corr(f"_r_{x}", f"_r_{y}").alias(f"{i}") for i, (x, y) in enumerate(combinations(columns, 2))])
+        data = attach_ranks(data, ranks.filter(F.col("variable") == c), "value", c)
+    wide = data.agg(*[F.corr(f"_r{x}", f"_r{y}").alias(f"{i}") for i, (x, y) in enumerate(combinations(columns, 2))])
     cells = [
         F.struct(F.lit(x).alias("var1"), F.lit(y).alias("var2"), F.abs(F.col(f"`{i}`")).alias("value"))
         for i, (x, y) in enumerate(combinations(columns, 2))

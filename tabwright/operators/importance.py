@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.lookup import attach
 from tabwright.functions.predictions import label_codes
-from tabwright.functions.ranks import cumulate
-from tabwright.operators.metrics import auc_from_counts, spear
+from tabwright.functions.ranks import cumulate, mean_rank
+from tabwright.functions.scalars import columns_with_missing
+from tabwright.operators.metrics import attach_ranks, auc_from_counts, rank_correlation, spear
 from tabwright.operators.prepare import Binning
 from tabwright.operators.reshape import melt
 from tabwright.schema import BINNED, MISSING
+from tabwright.session import settle
 
 
 def _leveled(df: DataFrame, features: Sequence[str], target: str, n_bins: int) -> DataFrame:
@@ -46,19 +48,45 @@ def _importance_multiclass(df, features, target, n_bins) -> DataFrame:
 
 
 def _importance_regression(df, features, target) -> DataFrame:
+    df = df.filter(F.col(target).isNotNull()).withColumn("_y", F.col(target).cast("double"))
     types = dict(df.dtypes)
-    metric = [f for f in features if types[f] != "string"]
+    means = _level_means(df, [f for f in features if types[f] == "string"], "_y")
+    partial = columns_with_missing(df, features)
+    complete = [f for f in features if f not in partial]
+    parts = []
+    if complete:
+        # without missing values all features share the ranks of the target
+        ranks = settle(mean_rank(_scores(df, complete, [], means), "score", ["feature"]))
+        ranked = attach_ranks(df, settle(mean_rank(df, "_y")), "_y", "_y")
+        scores = attach_ranks(_scores(ranked, complete, ["_r_y"], means), ranks, "score", "score", ["feature"])
+        parts.append(rank_correlation(scores, "_r_y", "_rscore", ["feature"]))
+    if partial:
+        parts.append(spear(_scores(df, partial, ["_y"], means), "_y", "score", ["feature"]))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.select("feature", F.abs("spear").alias("importance"))
+
+
+def _level_means(df: DataFrame, features: Sequence[str], y: str) -> DataFrame | None:
+    """(feature, level, score, _rows): mean target per level of categorical features, settled."""
+    if not features:
+        return None
+    long = melt(df, [y], list(features), "feature", "level").filter(F.col("level").isNotNull())
+    return settle(long.groupBy("feature", "level").agg(F.avg(y).alias("score"), F.count(F.lit(1)).alias("_rows")))
+
+
+def _scores(df: DataFrame, features: Sequence[str], keep: Sequence[str], means: DataFrame | None) -> DataFrame:
+    """(keep…, feature, score): a metric feature itself, the level mean of the target for a categorical one."""
+    types = dict(df.dtypes)
+    metric = [(f, F.col(f).cast("double")) for f in features if types[f] != "string"]
     categorical = [f for f in features if types[f] == "string"]
     parts = []
     if metric:
-        cells = [(f, F.col(f).cast("double")) for f in metric]
-        parts.append(melt(df, [target], cells, variable="feature", value="score"))
+        parts.append(melt(df, keep, metric, "feature", "score").filter(F.col("score").isNotNull()))
     if categorical:
-        long = melt(df, [target], categorical, variable="feature", value="level").filter(F.col("level").isNotNull())
-        means = long.groupBy("feature", "level").agg(F.avg(target).alias("score"), F.count(F.lit(1)).alias("_rows"))
-        parts.append(attach(long, means, ["feature", "level"], weight="_rows", how="inner").select(target, "feature", "score"))
-    scored = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return spear(scored, target, "score", ["feature"]).select("feature", F.abs("spear").alias("importance"))
+        long = melt(df, keep, categorical, "feature", "level").filter(F.col("level").isNotNull())
+        found = attach(long, means, ["feature", "level"], weight="_rows", how="inner", settled=True)
+        parts.append(found.select(*keep, "feature", "score"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def univariate_importance(

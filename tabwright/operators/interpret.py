@@ -12,7 +12,7 @@ from tabwright.functions.lookup import attach
 from tabwright.functions.quantiles import fit_quantiles
 from tabwright.functions.ranks import hashed_index
 from tabwright.functions.scalars import fixed_cut
-from tabwright.operators.metrics import SCORERS, score, score_value
+from tabwright.operators.metrics import METRICS, SCORERS, score, score_value
 from tabwright.operators.profile import running_share, spread, target_profile
 from tabwright.operators.reshape import melt, union_rows
 from tabwright.schema import CLASS, MULTICLASS, REGR
@@ -79,7 +79,10 @@ def permutation_importance(
     for start in range(0, len(features), batch):
         names = features[start : start + batch]
         scored = scorer(permuted_copies(joined.drop(*[f"_donor_{f}" for f in features if f not in names]), names))
-        parts.append(score(scored.select("feature", target, "yhat"), metric, target, keys=["feature"]))
+        scored = scored.select("feature", target, "yhat")
+        if METRICS[metric].several_passes:
+            scored = settle(scored)
+        parts.append(score(scored, metric, target, keys=["feature"]))
     drops = settle(union_rows(*parts).select("feature", (F.lit(original) - F.col("value")).alias("perf_diff")))
     return normalise_importance(drops)
 

@@ -9,33 +9,34 @@ from pyspark.sql import functions as F
 from tabwright.functions.lookup import attach
 from tabwright.functions.predictions import argmax
 from tabwright.functions.ranks import cumulate, mean_rank
+from tabwright.operators.reshape import melt
 from tabwright.session import settle
 
 
 def spear(df: DataFrame, y: str = "target", yhat: str = "yhat", keys: Sequence[str] = ()) -> DataFrame:
-    """Spearman correlation: Pearson correlation of mean ranks over rows where both values are present."""
+    """Spearman correlation: Pearson correlation of mean ranks over rows where both values are present.
+
+    One range shuffle ranks the distinct values of both sides; the ranks are then looked up by the rows.
+    """
     keys = list(keys)
-    pairs = (
-        df.select(*keys, F.col(y).cast("double").alias("_a"), F.col(yhat).cast("double").alias("_b"))
-        .filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
-        .groupBy(*keys, "_a", "_b")
-        .agg(F.count(F.lit(1)).alias("_w"))
-    )
-    pairs = settle(pairs)
-    ranked = pairs
+    data = df.select(*keys, F.col(y).cast("double").alias("_a"), F.col(yhat).cast("double").alias("_b"))
+    data = data.filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    ranks = settle(mean_rank(melt(data, keys, ["_a", "_b"], "_side", "_v"), "_v", [*keys, "_side"]))
     for side in ("_a", "_b"):
-        table = mean_rank(pairs, side, keys, weight=F.col("_w"))
-        table = table.select(*keys, side, F.col("n").alias(f"_n{side}"), F.col("centred").alias(f"_r{side}"))
-        ranked = attach(ranked, table, [*keys, side], weight=f"_n{side}", how="inner")
+        data = attach_ranks(data, ranks.filter(F.col("_side") == side), "_v", side, keys)
+    return rank_correlation(data, "_r_a", "_r_b", keys)
 
-    def moment(left: str, right: str) -> Column:
-        return F.sum(F.col("_w") * F.col(left) * F.col(right))
 
-    return ranked.groupBy(*keys).agg(
-        F.try_divide(
-            moment("_r_a", "_r_b"), F.sqrt(moment("_r_a", "_r_a") * moment("_r_b", "_r_b"))
-        ).alias("spear")
-    )
+def attach_ranks(df: DataFrame, ranks: DataFrame, value: str, column: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Add `_r<column>`, the centred rank of a column, from a settled `mean_rank` table."""
+    table = ranks.select(*keys, F.col(value).alias(column), F.col("n").alias("_n"), F.col("centred").alias(f"_r{column}"))
+    return attach(df, table, [*keys, column], weight="_n", how="inner", settled=True).drop("_n")
+
+
+def rank_correlation(df: DataFrame, a: str, b: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Correlation of two columns whose mean is zero: (keys…, spear)."""
+    ab, aa, bb = (F.sum(F.col(x) * F.col(y)) for x, y in ((a, b), (a, a), (b, b)))
+    return df.groupBy(*keys).agg(F.try_divide(ab, F.sqrt(aa) * F.sqrt(bb)).alias("spear"))
 
 
 def rmse(df: DataFrame, y: str = "target", yhat: str = "yhat", keys: Sequence[str] = ()) -> DataFrame:
@@ -108,17 +109,18 @@ def _n_classes(df: DataFrame, yhat: str) -> int:
 
 @dataclass(frozen=True)
 class Metric:
-    """A scorer and the direction in which it is better."""
+    """A scorer, the direction in which it is better, and whether it reads its input more than once."""
 
     name: str
     compute: Callable[[DataFrame, str, str, Sequence[str]], DataFrame]
     greater_is_better: bool = True
+    several_passes: bool = False
 
 
 METRICS = {
     "auc": Metric("auc", _auc_any),
     "acc": Metric("acc", acc),
-    "spear": Metric("spear", spear),
+    "spear": Metric("spear", spear, several_passes=True),
     "rmse": Metric("rmse", rmse, greater_is_better=False),
 }
 
