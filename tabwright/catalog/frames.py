@@ -85,13 +85,17 @@ def scored_frame(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-SCORED3_SQL = """SELECT target, a / (a + b + c) AS p0, b / (a + b + c) AS p1, c / (a + b + c) AS p2
+SCORED3_SQL = """SELECT target, floor(a / (a + b + c) * 1000000) / 1000000 AS p0, floor(b / (a + b + c) * 1000000) / 1000000 AS p1,
+  floor(c / (a + b + c) * 1000000) / 1000000 AS p2
 FROM (SELECT CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS INTEGER) AS target,
   0.5 + l_discount * 4.0 AS a, 0.4 + l_quantity / 50.0 AS b, 0.6 + l_tax * 5.0 AS c FROM lineitem) AS raw"""
 
 
 def scored3_frame(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items with fixed probabilities of the three return flags (array `yhat`)."""
+    """Line items with fixed probabilities of the three return flags (array `yhat`).
+
+    They are cut to six digits, so no two scores differ by a rounding error only.
+    """
     flag = F.col("l_returnflag")
     raw = table(spark, sf, "lineitem").select(
         F.when(flag == "A", 0).when(flag == "N", 1).otherwise(2).alias("target"),
@@ -101,7 +105,7 @@ def scored3_frame(spark: SparkSession, sf: str) -> DataFrame:
     )
     total = F.col("a") + F.col("b") + F.col("c")
     return raw.select(
-        "target", F.array(F.col("a") / total, F.col("b") / total, F.col("c") / total).alias("yhat")
+        "target", F.array(*[F.floor(F.col(c) / total * 1000000) / 1000000 for c in "abc"]).alias("yhat")
     )
 
 

@@ -46,9 +46,9 @@ def _(spark, sf):
     prepared, features = load_stage(spark, path)
     candidates = {
         "elastic": (ModelSpec("elastic_net"), {"alpha": [0.01], "l1_ratio": [1.0]}),
-        "trees": (TREES, {"n_estimators": [4, 8]}),
+        "trees": (TREES, {"n_estimators": [2, 4]}),
     }
-    return compare(prepared, features, candidates, "elastic", k=2)["comparison_runs"]
+    return compare(prepared, features, candidates, "elastic", k=2, shares=(1.0,))["comparison_runs"]
 
 
 @query("interpret_stage")

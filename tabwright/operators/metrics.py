@@ -57,23 +57,29 @@ def auc_from_counts(table: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return table.groupBy(*keys).agg(F.try_divide(wins, pairs).alias("auc"))
 
 
-def class_scores(df: DataFrame, y: str = "target", yhat: str = "yhat", keys: Sequence[str] = ()) -> DataFrame:
-    """One row per row and class: keys, class, is_class (0/1), p."""
-    return df.select(*keys, F.col(y).alias("_y"), F.posexplode(yhat).alias("class", "p")).select(
+def class_scores(
+    df: DataFrame, y: str = "target", yhat: str = "yhat", keys: Sequence[str] = (), binary_once: bool = False
+) -> DataFrame:
+    """One row per row and class: keys, class, is_class (0/1), p.
+
+    With `binary_once` two probabilities give class 1 only, since class 0 mirrors it.
+    """
+    cells = F.transform(yhat, lambda p, i: F.struct(i.alias("class"), p.alias("p")))
+    if binary_once:
+        cells = F.filter(cells, lambda c: (F.size(yhat) != 2) | (c["class"] == 1))
+    return df.select(*keys, F.col(y).alias("_y"), F.inline(cells)).select(
         *keys, "class", (F.col("_y") == F.col("class")).cast("int").alias("is_class"), "p"
     )
 
 
-def auc_per_class(df: DataFrame, y: str = "target", yhat: str = "yhat", keys: Sequence[str] = ()) -> DataFrame:
+def auc_per_class(
+    df: DataFrame, y: str = "target", yhat: str = "yhat", keys: Sequence[str] = (), binary_once: bool = False
+) -> DataFrame:
     """One-versus-rest AUC and number of rows of each class."""
     keys = list(keys)
-    scores = class_scores(df, y, yhat, keys)
-    table = cumulate(
-        scores.filter(F.col("is_class").isNotNull()),
-        "p",
-        {"pos": F.sum(F.col("is_class").cast("long")), "neg": F.sum(1 - F.col("is_class").cast("long"))},
-        [*keys, "class"],
-    )
+    scores = class_scores(df, y, yhat, keys, binary_once).filter(F.col("is_class").isNotNull())
+    is_class = F.col("is_class").cast("long")
+    table = cumulate(scores, "p", {"pos": F.sum(is_class), "neg": F.sum(1 - is_class)}, [*keys, "class"])
     wins = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2))
     return table.groupBy(*keys, "class").agg(
         F.try_divide(wins, F.max(F.col("pos_total").cast("double") * F.col("neg_total"))).alias("auc"),
@@ -96,15 +102,8 @@ def acc(df: DataFrame, y: str = "target", yhat: str = "yhat", keys: Sequence[str
 
 
 def _auc_any(df: DataFrame, y: str, yhat: str, keys: Sequence[str]) -> DataFrame:
-    """AUC of a probability array: P(y = 1) for two classes, one-versus-rest otherwise."""
-    if _n_classes(df, yhat) == 2:
-        return auc(df.withColumn("_p1", F.col(yhat)[1]), y, "_p1", keys)
-    return auc_multiclass(df, y, yhat, keys).select(*keys, "auc")
-
-
-def _n_classes(df: DataFrame, yhat: str) -> int:
-    row = df.select(F.size(yhat).alias("k")).filter(F.col("k") > 0).limit(1).collect()
-    return row[0]["k"] if row else 0
+    """AUC of a probability array: of P(y = 1) for two classes, the one-versus-rest mean otherwise."""
+    return auc_per_class(df, y, yhat, keys, binary_once=True).groupBy(*keys).agg(F.avg("auc").alias("auc"))
 
 
 @dataclass(frozen=True)

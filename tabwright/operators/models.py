@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tabwright.functions.predictions import scale_predictions
 from tabwright.operators.encode import DesignMatrixModel
 from tabwright.schema import MULTICLASS, REGR
+from tabwright.session import settle
 
 # Parameter names users know, and the name of the matching Spark parameter.
 TREE_PARAMS = {
@@ -166,6 +167,7 @@ def fit_model(
     n_inputs = len(design.positions())
     if spec.kind == "boosted_trees" and target_type == MULTICLASS:
         models = []
+        ready = settle(ready)  # every ensemble reads it
         for k in range(n_classes):
             part = ready.withColumn(f"_is_{k}", (F.col("_label") == k).cast("double"))
             models.append(_named(_estimator(spec, *args, f"_is_{k}", n_rows, n_inputs, n_classes), k).fit(part))
