@@ -1,0 +1,251 @@
+"""Secret scans: candidate strings judged by a random forest trained on labelled findings."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tabwright.llm.texts import spare, text_slices
+
+DICTIONARY = 20_000  # most frequent words of the corpus that count as known
+TRAIN_FINDINGS = 20_000  # labelled findings the forest is fitted on
+TREES, DEPTH = 30, 8
+CONTEXT = 40  # characters on either side that are looked at
+MASK = "[SECRET]"
+
+# Shapes of credentials with a published prefix, and words that name one.
+KINDS = {
+    "aws_key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
+    "github_token": r"\bgh[pousr]_[A-Za-z0-9]{36,}\b",
+    "slack_token": r"\bxox[abprs]-[A-Za-z0-9-]{10,}",
+    "jwt": r"\beyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}",
+    "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]*PRIVATE KEY-----)?",
+    "assigned": r"(?i:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|credential)s?[\"']?\s*[:=]{1,2}>?\s*[\"']?(?P<value>[^\s\"',;]{8,})",
+    "long_string": r"(?<![\w+/=.-])(?=[A-Za-z_+/=.-]*[0-9])[\w+/=.-]{16,}",
+}
+NAMES = ("token", "secret", "passw", "pwd", "key", "auth", "cred", "bearer")
+HARMLESS = ("commit", "sha", "hash", "md5", "uuid", "guid", "id", "version", "checksum", "digest", "http", "mail", "phone", "card", "path", "file", "example", "test", "sample")
+PLACEHOLDERS = ("example", "placeholder", "changeme", "your", "xxxx", "dummy", "test", "sample", "redacted", "none", "null", "1234")
+PATHS = ("test", "example", "sample", "doc", "lock", "vendor", "fixture")
+
+_CANDIDATE = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS.items()))
+_WORD = re.compile(r"[^\W\d_]{3,20}")
+FEATURES = 22
+
+
+def candidates(text: str) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of strings that may be secrets, from left to right without overlap."""
+    for m in _CANDIDATE.finditer(text):
+        kind = m.lastgroup if m.lastgroup != "value" else "assigned"
+        kind = "assigned" if m.group("value") is not None else kind
+        start, end = m.span("value") if kind == "assigned" else m.span()
+        value = text[start:end].rstrip(".,:;!?)")
+        if len(value) >= 8:
+            yield kind, start, start + len(value)
+
+
+def _kind(c: str) -> int:
+    return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
+
+
+def covered(value: str, known: frozenset) -> float:
+    """Share of the characters in runs of letters that are, or are made of, known words."""
+    total = 0
+    for run in _WORD.findall(value.lower()):
+        at = 0
+        while at < len(run):
+            size = next((k for k in range(min(12, len(run) - at), 2, -1) if run[at : at + k] in known), 0)
+            total += size
+            at += size or 1
+    return total / len(value)
+
+
+def describe(kind: str, value: str, before: str, after: str, path: str, known: frozenset) -> list[float]:
+    """Length, character transitions, dictionary coverage, path and neighbouring words of a candidate."""
+    n, low, left = len(value), value.lower(), before.lower()
+    kinds = [_kind(c) for c in value]
+    counts = Counter(value)
+    moves = Counter(zip(kinds, kinds[1:]))
+    share = lambda k: kinds.count(k) / n
+    pairs = max(1, n - 1)
+    vowels = sum(c in "aeiou" for c in low) / n
+    near = re.findall(r"[a-z]+", left)[-3:]
+    return [
+        math.log(n),
+        -sum(c / n * math.log2(c / n) for c in counts.values()),
+        len(counts) / n,
+        share(0),
+        share(1),
+        share(2),
+        share(3),
+        moves[(0, 1)] / pairs + moves[(1, 0)] / pairs,
+        moves[(1, 2)] / pairs + moves[(2, 1)] / pairs,
+        moves[(0, 2)] / pairs + moves[(2, 0)] / pairs,
+        sum(v for (a, b), v in moves.items() if a == b) / pairs,
+        float(all(c in "0123456789abcdef" for c in low)),
+        vowels,
+        covered(value, known),
+        float(any(w in "".join(near[-1:]) for w in NAMES) or kind == "assigned"),
+        float(any(w in near for w in HARMLESS)),
+        float(any(w in low for w in PLACEHOLDERS)),
+        float(bool(re.search(r"[=:]\s*[\"']?$", before))),
+        float(after[:1] in "\"'" and bool(after)),
+        float("/" in value or low.rpartition(".")[2] in ("py", "js", "com", "org", "html", "txt", "json", "net")),
+        float(any(w in path.lower() for w in PATHS)),
+        float(kind not in ("assigned", "long_string")),
+    ]
+
+
+def labelled_examples(n: int = 6_000, seed: int = 17) -> Iterator[tuple[str, str, str, str, str, int]]:
+    """Labelled findings of the usual kinds, (kind, value, before, after, path, label), where none are at hand.
+
+    Half are credentials in the ways they are written down, half are what scans report wrongly: placeholders,
+    commit and file hashes, identifiers, numbers, paths, addresses and long words.
+    """
+    rng = random.Random(seed)
+    alphabets = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-")
+    drawn = lambda a, k: "".join(rng.choices(a, k=k))
+    syllables = "the an ing er tion on re at en or is ed ha nd ou ea st hi es nt".split()
+    word = lambda k: "".join(rng.choices(syllables, k=k))
+    names = ("token", "secret", "password", "api_key", "apikey", "access_key", "auth_token", "client_secret", "passwd")
+    for i in range(n):
+        text = " ".join(word(rng.randint(1, 4)) for _ in range(5)) + " "
+        path = rng.choice(("src1", "src7", "config/app", "service/main", "tests/data", "docs/guide", "web"))
+        if i % 2 == 0:
+            way = rng.random()
+            value = drawn(rng.choice(alphabets), rng.choice((16, 20, 24, 32, 36, 40, 48, 64)))
+            if way < 0.75:
+                quote = rng.choice(('"', "'", ""))
+                yield "assigned", value, f"{text}{rng.choice(names)}{rng.choice((' = ', '=', ': '))}{quote}", quote + " " + word(2), path, 1
+            elif way < 0.85:
+                yield "github_token", "ghp_" + drawn(alphabets[2], 36), text, " " + word(2), path, 1
+            elif way < 0.95:
+                yield "aws_key", "AKIA" + drawn(alphabets[1], 16), text, " " + word(2), path, 1
+            else:
+                yield "long_string", drawn(alphabets[3], rng.choice((32, 40, 64))), text + "bearer ", " ", path, 1
+        else:
+            way = rng.randint(0, 7)
+            if way == 0:
+                value = rng.choice(("your-token-here", "changeme123", "xxxxxxxxxxxxxxxx", "example_secret_key", "<your_api_key>", "placeholder1", "test1234test", "none-configured"))
+                yield "assigned", value, f"{text}{rng.choice(names)} = \"", "\"", path, 0
+            elif way == 1:
+                yield "long_string", drawn(alphabets[0], 40), text + rng.choice(("commit ", "sha ", "checksum ", "md5 ", "hash: ", "digest ")), " ", path, 0
+            elif way == 2:
+                yield "long_string", "-".join(drawn(alphabets[0], k) for k in (8, 4, 4, 4, 12)), text + rng.choice(("id ", "uuid: ", "guid ")), " ", path, 0
+            elif way == 3:
+                yield "long_string", drawn("0123456789", rng.choice((16, 16, 19, 24))), text, " " + word(3), path, 0
+            elif way == 4:
+                yield "long_string", "/".join(word(2) for _ in range(3)) + f"/v{rng.randint(1, 9)}.{rng.choice(('py', 'txt', 'json'))}", text, " ", path, 0
+            elif way == 5:
+                yield "long_string", f"{word(2)}.{rng.randint(1, 99)}{word(1)}.example.com", text, " " + word(2), path, 0
+            elif way == 6:
+                yield "assigned", word(rng.randint(3, 6)), f"{text}{rng.choice(names)}: ", " " + word(2), path, 0
+            else:
+                yield "long_string", f"{word(5)}{rng.randint(1, 2030)}", text, " " + word(2), path, 0
+
+
+def dictionary(docs: DataFrame, size: int = DICTIONARY) -> frozenset:
+    """The `size` most frequent words of three letters and more over all documents, ties by the word."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
+        flush = lambda: pa.RecordBatch.from_pydict({"word": list(total), "n": list(total.values())}, schema=pa.schema([("word", pa.string()), ("n", pa.int64())]))
+        for _, texts in text_slices(batches):
+            for t in texts:
+                total.update(_WORD.findall(t.lower()))
+            if len(total) > 500_000:
+                yield flush()
+                total.clear()
+        yield flush()
+
+    words = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return frozenset(r["word"] for r in words.orderBy(F.desc("n"), "word").limit(size).collect())
+
+
+def findings(docs: DataFrame, known: frozenset) -> DataFrame:
+    """All candidates of the whole texts with their features: doc_id, start, end, kind, value, before, x."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    path = F.col("source").cast("string") if "source" in docs.columns else F.lit("")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in text_slices(batches):
+            out = {"row": [], "start": [], "end": [], "kind": [], "value": [], "before": [], "x": []}
+            for r, (text, at) in enumerate(zip(texts, rows.column("path").to_pylist())):
+                for k, start, end in candidates(text):
+                    value, before = text[start:end], text[max(0, start - CONTEXT) : start]
+                    x = describe(k, value, before, text[end : end + CONTEXT], at or "", shared.value)
+                    for name, v in zip(out, (r, start, end, k, value, before, x)):
+                        out[name].append(v)
+            columns = [rows.column("doc_id").take(pa.array(out.pop("row"), pa.int64()))]
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(v, t) for v, t in zip(out.values(), kinds))], ["doc_id", *out])
+
+    return docs.select("doc_id", "text", path.alias("path")).mapInArrow(find, f"doc_id {kind}, start long, end long, kind string, value string, before string, x array<double>")
+
+
+def train(spark, known: frozenset, labelled: DataFrame | None = None, rows: int = TRAIN_FINDINGS):
+    """Random forest on labelled findings (kind, value, before, after, path, label), at most `rows` of them by least hash of the value.
+
+    Without any, on `labelled_examples`.
+    """
+    if labelled is None:
+        found = list(labelled_examples())
+    else:
+        cut = labelled.orderBy(F.xxhash64("value"), "value").limit(rows)
+        found = [tuple(r) for r in cut.select("kind", "value", "before", "after", "path", "label").collect()]
+    data = [(describe(k or "", v, b or "", a or "", p or "", known), float(y)) for k, v, b, a, p, y in found if v]
+    table = spark.createDataFrame(data, "x array<double>, label double").repartition(2)
+    forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=5)
+    return forest.fit(table.select(array_to_vector("x").alias("features"), "label"))
+
+
+def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """Every candidate of every whole text with the forest's verdict: doc_id, start, end, kind, value_sha256, score, is_secret.
+
+    start and end count characters. The value itself is not returned. Texts that are null, empty or without a
+    candidate have no row; a document with many has one for each; repeated rows repeat theirs. The forest is small
+    and fitted on a bounded number of labelled findings; the dictionary covers all documents.
+    """
+    known = dictionary(docs)
+    model = train(docs.sparkSession, known, labelled)
+    scored = model.transform(findings(docs, known).withColumn("features", array_to_vector("x")))
+    score = F.round(vector_to_array("probability")[1], 6)
+    return scored.select("doc_id", "start", "end", "kind", F.sha2("value", 256).alias("value_sha256"), score.alias("score"), (score >= 0.5).alias("is_secret"))
+
+
+def mask(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """The rows of `docs` with the secrets in `text` replaced by MASK, and n_chars, if present, set anew.
+
+    Only spans in documents with a secret are shuffled. Where a doc_id occurs with different texts, spans are
+    applied to the rows whose text holds the same value there.
+    """
+    spans = scan(docs, labelled).filter("is_secret").select("doc_id", "start", "end", "value_sha256").distinct()
+    spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "value_sha256")).alias("spans"))
+    name, at = spare(docs, "spans"), spare(docs, "span_id")
+    joined = docs.join(spans.select(F.col("doc_id").alias(at), F.col("spans").alias(name)), docs["doc_id"].eqNullSafe(F.col(at)), "left")
+    fields = joined.drop(at)
+
+    def replace(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in text_slices(batches):
+            out = []
+            for text, raw, found in zip(texts, rows.column("text").to_pylist(), rows.column(name).to_pylist()):
+                for s in sorted(found or [], key=lambda s: -s["start"]):
+                    if hashlib.sha256(text[s["start"] : s["end"]].encode()).hexdigest() == s["value_sha256"]:
+                        text = text[: s["start"]] + MASK + text[s["end"] :]
+                out.append(None if raw is None else text)
+            columns = [pa.array(out, pa.string()) if c == "text" else rows.column(c) for c in rows.schema.names]
+            yield pa.RecordBatch.from_arrays(columns, rows.schema.names)
+
+    changed = fields.filter(F.col(name).isNotNull()).mapInArrow(replace, fields.schema).drop(name)
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return fields.filter(F.col(name).isNull()).drop(name).unionByName(changed).select(*docs.columns)
