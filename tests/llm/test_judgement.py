@@ -73,7 +73,7 @@ def test_outliers_against_numpy(spark):
     """One language with one source: verdicts are those of the estimate made in numpy."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'en'").withColumn("source", F.lit("s"))
     judged = quality_rules.judge(docs).filter("not base_failed").orderBy("doc_id")
-    stats = quality_rules.base_statistics(docs).withColumn("failed", quality_rules.base_failed()).withColumns(quality_rules.transformed())
+    stats = quality_rules.settle(quality_rules.base_statistics(docs).withColumn("failed", quality_rules.base_failed()).withColumns(quality_rules.transformed()))
     x = np.array([[r[c] for c in quality_rules.VECTOR] for r in stats.filter("not failed").orderBy("doc_id").collect()])
     got = np.array([r["distance"] for r in judged.collect()])
     want = robust(x)
