@@ -57,7 +57,8 @@ def repeated_words(windows: Column) -> Column:
 def base_statistics(docs: DataFrame) -> DataFrame:
     """Counts of every whole text, without a shuffle: the columns of `docs` but text, and the counts.
 
-    Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines and n_capitals.
+    Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines and n_capitals. Settle the result
+    before filtering by a count: a filter pushed below would compute the words anew for every window.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     trimmed = F.btrim(text, F.lit(BLANKS))
