@@ -152,14 +152,13 @@ def signatures(docs: DataFrame, weights) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, content binary, samples array<int>")
 
 
-def verify(pairs: DataFrame, named: DataFrame, docs: DataFrame, weights) -> DataFrame:
-    """Similarity of candidate pairs from their whole texts: a, b, similar.
+def texts_of(contents: DataFrame, named: DataFrame, docs: DataFrame) -> DataFrame:
+    """content, text: one text for each of the contents.
 
-    Only texts that occur in a pair are moved. The text is found by one doc_id of its content and checked by its
-    key, so repeated doc_ids with different texts do no harm.
+    The text is found by one doc_id of its content and checked by its key, so repeated doc_ids with different texts
+    do no harm.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct()
-    wanted = ends.join(named, "content").select("content", F.col("doc_id").alias("_id"))
+    wanted = contents.join(named, "content").select("content", F.col("doc_id").alias("_id"))
     texts = wanted.join(docs.select(F.col("doc_id").alias("_d"), "text"), F.col("_id").eqNullSafe(F.col("_d"))).select("content", "text")
 
     def right(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +166,11 @@ def verify(pairs: DataFrame, named: DataFrame, docs: DataFrame, weights) -> Data
             keys = content_keys(word_hashes(found)[2])
             yield rows.filter(pa.array([k == c.as_py() for k, c in zip(keys, rows.column("content"))], pa.bool_()))
 
-    texts = settle(texts.mapInArrow(right, "content binary, text string").dropDuplicates(["content"]))
+    return settle(texts.mapInArrow(right, "content binary, text string").dropDuplicates(["content"]))
+
+
+def verify(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
+    """Similarity of candidate pairs from their whole texts: a, b, similar."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, one in text_slices(batches, column="text_a"):
@@ -234,7 +237,9 @@ def links(docs: DataFrame, signed: DataFrame, weights) -> DataFrame:
         return rows.filter("content != leader").select(F.col("leader").alias("a"), F.col("content").alias("b")).distinct()
 
     small, large = sized(banded)
-    checked = settle(verify(settle(within(small).unionByName(led(large)).distinct()), named, docs, weights))
+    # all later pairs are of these contents too: the documents are moved once
+    texts = texts_of(small.unionByName(large).select("content").distinct(), named, docs)
+    checked = settle(verify(settle(within(small).unionByName(led(large)).distinct()), texts, weights))
     if large.isEmpty():
         return checked.filter("similar").select("a", "b")
 
@@ -254,7 +259,7 @@ def links(docs: DataFrame, signed: DataFrame, weights) -> DataFrame:
     pairs = pairs.unionByName(within(small))
     for _ in range(ROUNDS):
         pairs = pairs.unionByName(led(large)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        checked = settle(verify(settle(pairs.join(total, ["a", "b"], "left_anti")), named, docs, weights))
+        checked = settle(verify(settle(pairs.join(total, ["a", "b"], "left_anti")), texts, weights))
         total = settle(total.unionByName(checked.filter("similar").select("a", "b")))
         if large.isEmpty():
             break
