@@ -8,6 +8,7 @@ the fastest one counts.
 import json
 import os
 import sys
+import tempfile
 import time
 
 from tabwright.catalog import QUERIES
@@ -48,7 +49,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
+    spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench", tempfile.mkdtemp(prefix="bench-"))
     timings = {}
     for name in names:
         best = None

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tabwright.catalog.frames import CATEGORICAL, CLASS_SQL, ITEM_SQL, METRIC, class_frame, item_frame, table
 from tabwright.catalog.projections import scratch
 from tabwright.catalog.registry import query
-from tabwright.operators import encode, prepare, sample, split
+from tabwright.operators import encode, prepare, profile, sample, split
 from tabwright.operators.features import feature_sets
 from tabwright.operators.profile import too_many_levels
 
@@ -124,6 +124,18 @@ def _(spark, sf):
     return out.select("id", "nation_ENCODED", "segment_ENCODED")
 
 
+@query(
+    "target_encoding_regression",
+    f"""SELECT id, coalesce(n.code, (SELECT median(code) FROM ({encoding_sql(FLAGGED, 'nation', 'price', 'encode_flag = 1 AND price IS NOT NULL')}) AS m1)) AS "nation_ENCODED"
+    FROM ({CLASS_SQL}) AS t
+    LEFT JOIN ({encoding_sql(FLAGGED, 'nation', 'price', 'encode_flag = 1 AND price IS NOT NULL')}) AS n ON t.nation = n.level""",
+)
+def _(spark, sf):
+    df = class_frame(spark, sf).withColumn("encode_flag", (F.col("id") % 5 == 0).cast("int"))
+    out = encode.TargetEncoding(["nation"], target="price", target_type="REGR").fit(df).transform(df)
+    return out.select("id", "nation_ENCODED")
+
+
 @query(
     "target_encoding_multiclass",
     f"""SELECT linenumber, n.code AS "linenumber_ENCODED", count(*) AS n FROM ({ITEM_SQL}) AS t
@@ -452,3 +464,16 @@ def _(spark, sf):
 def _(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return sample.worst_best_random(orders, "o_totalprice", "o_orderkey", 10, 11, 9)
+
+
+@query(
+    "worst_best_with_nulls",
+    """SELECT o_orderkey, v FROM (SELECT o_orderkey, v, row_number() OVER (ORDER BY v DESC NULLS LAST, o_orderkey) AS hi,
+    row_number() OVER (ORDER BY v NULLS LAST, o_orderkey) AS lo
+    FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS v FROM orders) AS o) AS i WHERE hi <= 10 OR lo <= 10""",
+    num="v",
+    digits=2,
+)
+def _(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice")).alias("v"))
+    return profile.bottom_and_top(orders, "v", "o_orderkey", 10)

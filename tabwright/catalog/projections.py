@@ -1,6 +1,6 @@
 """Queries on sources, projections, filters and scalar functions."""
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +33,7 @@ from tabwright.sources.tables import read_headerless, read_meta, read_names, rea
 def scratch(spark) -> str:
     """A new folder under the shared checkpoint folder."""
     base = checkpoint_dir(spark)
-    return f"{base}/{next(tempfile._get_candidate_names())}"
+    return f"{base}/scratch-{uuid.uuid4().hex}"
 
 
 CUSTOMER_SCHEMA = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -392,3 +392,20 @@ def _(spark, sf):
         F.col("o_totalprice").alias("fare"),
     )
     return DeriveFeatures().transform(passengers).select("o_orderkey", "deck", "familysize", "fare_pp")
+
+
+@query(
+    "read_missing_tokens",
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN ' ' || c_name || ' ' END AS c_name,
+    CASE WHEN c_custkey % 4 <> 0 THEN c_acctbal END AS c_acctbal FROM customer""",
+    num="c_acctbal",
+    digits=2,
+)
+def _(spark, sf):
+    path = scratch(spark)
+    key = F.col("c_custkey")
+    text = F.when(key % 3 == 0, F.element_at(F.array(*map(F.lit, ("NA", "NULL", "nan"))), (key % 9 / 3 + 1).cast("int"))).otherwise(F.concat(F.lit(" "), "c_name", F.lit(" ")))
+    number = F.when(key % 4 == 0, F.element_at(F.array(*map(F.lit, ("NA", "NaN"))), (key % 8 / 4 + 1).cast("int"))).otherwise(F.col("c_acctbal").cast("string"))
+    out = table(spark, sf, "customer").select("c_custkey", text.alias("c_name"), number.alias("c_acctbal"))
+    out.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_table(spark, path, "c_custkey long, c_name string, c_acctbal double")

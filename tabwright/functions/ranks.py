@@ -17,13 +17,11 @@ from tabwright.functions.hashing import hash_hex
 from tabwright.session import settle
 
 HEX_DIGITS = 3  # 4096 ranges of the hash space
-MAX_RANGES = 2_000_000  # range counts that may come to the driver, enough for about 500 groups
 
 
 def _ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Range-partition `df` and freeze the range number of each row as a column."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return settle(df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()))
+    return settle(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
 
 
 def cumulate(
@@ -128,44 +126,37 @@ def hash_cuts(
 
     `counts` gives the wanted row counts for a group size. Two light passes read the key only: one counts the
     hash ranges, one ranks the few ranges in which a cut falls. The caller then selects rows by comparing
-    hashes, a narrow filter without any shuffle of the rows. The key must be unique. The result maps each
+    hashes, a narrow filter without any shuffle of the rows. The driver gets one size per group and one hash per cut. The key must be unique. The result maps each
     group (None without `by`) to one cut per count; "" selects nothing, "g" everything.
     """
     keys = [key] if isinstance(key, str) else list(key)
     group = [by] if by else []
     hashed = _hashed(df.select(*dict.fromkeys([*group, *keys])), keys, seed)
     sizes = hashed.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    rows = sizes.limit(MAX_RANGES + 1).collect()
-    if len(rows) > MAX_RANGES:
-        raise ValueError(f"{by} has too many groups to cut a random order in each of them")
-    ranges: dict[Any, list[tuple[str, int]]] = {}
-    for r in rows:
-        ranges.setdefault(r[by] if by else None, []).append((r["_range"], r["_n"]))
-
+    sizes = settle(sizes.withColumn("_group", F.col(by) if by else F.lit(0)))
     cuts: dict[Any, list[str]] = {}
-    wanted: dict[tuple[Any, str, int], list[tuple[Any, int]]] = {}
-    for g, parts in ranges.items():
-        total = sum(n for _, n in parts)
+    wanted: list[tuple[Any, int, int]] = []
+    for r in sizes.groupBy("_group").agg(F.sum("_n").alias("_total")).collect():
+        g = r["_group"] if by else None
         cuts[g] = []
-        for i, count in enumerate(counts(total)):
+        for i, count in enumerate(counts(r["_total"])):
             cuts[g].append("" if count <= 0 else "g")
-            if 0 < count < total:
-                seen = 0
-                for name, n in sorted(parts):
-                    if count <= seen + n:
-                        wanted.setdefault((g, name, count - seen), []).append((g, i))
-                        break
-                    seen += n
+            if 0 < count < r["_total"]:
+                wanted.append((r["_group"], i, int(count)))
     if wanted:
-        fields = [*([df.schema[by]] if by else []), T.StructField("_range", T.StringType()), T.StructField("_rn", T.IntegerType())]
-        places = [(*([g] if by else []), name, rn) for g, name, rn in wanted]
-        places = df.sparkSession.createDataFrame(places, T.StructType(fields))
-        needed = F.broadcast(places.select(*group, "_range").distinct())  # at most one row per cut
+        # the range of each cut and its place there, by running counts over the ranges of its group
+        kind = T.StructType([T.StructField("_g", sizes.schema["_group"].dataType), T.StructField("_cut", T.IntegerType()), T.StructField("_count", T.LongType())])
+        seen = F.coalesce(F.sum("_n").over(W.partitionBy("_group").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        running = sizes.withColumn("_seen", seen)
+        places = running.join(df.sparkSession.createDataFrame(wanted, kind), F.col("_group").eqNullSafe(F.col("_g")))
+        places = places.filter((F.col("_count") > F.col("_seen")) & (F.col("_count") <= F.col("_seen") + F.col("_n")))
+        places = settle(places.select("_g", F.col("_range").alias("_r"), (F.col("_count") - F.col("_seen")).cast("int").alias("_place"), "_cut"))
+        own = F.col(by) if by else F.lit(0)
+        same = own.eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r"))
         inside = W.partitionBy(*group, "_range").orderBy("_hash", *keys)
-        ranked = hashed.join(needed, [*group, "_range"], "left_semi").withColumn("_rn", F.row_number().over(inside))
-        for r in ranked.join(F.broadcast(places), [*group, "_range", "_rn"]).collect():
-            for g, i in wanted[(r[by] if by else None, r["_range"], r["_rn"])]:
-                cuts[g][i] = r["_hash"]
+        ranked = hashed.join(places.select("_g", "_r").distinct(), same, "left_semi").withColumn("_rn", F.row_number().over(inside))
+        for r in ranked.join(places, same & (F.col("_rn") == F.col("_place"))).select("_g", "_cut", "_hash").collect():
+            cuts[r["_g"] if by else None][r["_cut"]] = r["_hash"]
     return cuts
 
 

@@ -117,24 +117,28 @@ class LumpLevelsModel(_Stage, Model):
 class TargetEncoding(_Stage, Estimator):
     """x_ENCODED = rank of the level by falling mean target on the rows kept for encoding.
 
-    Levels that were not seen get the median rank. A class target with more than two labels is
-    replaced by the indicator of its most frequent label.
+    Levels that were not seen get the median rank. A numeric target (`target_type` REGR) is averaged as it is; a
+    class target with more than two labels is replaced by the indicator of its most frequent one. Rows without
+    a target take no part.
     """
 
     flag = Param(Params._dummy(), "flag", "column that is 1 on rows used for encoding")
     target = Param(Params._dummy(), "target", "target column")
     remove_burned = Param(Params._dummy(), "remove_burned", "drop the rows used for encoding on transform")
+    target_type = Param(Params._dummy(), "target_type", "CLASS, MULTICLASS or REGR")
 
-    def __init__(self, features: Sequence[str] = (), flag: str = "encode_flag", target: str = "target", remove_burned: bool = False):
+    def __init__(self, features: Sequence[str] = (), flag: str = "encode_flag", target: str = "target", remove_burned: bool = False, target_type: str = "CLASS"):
         super().__init__()
-        self._store(features=list(features), flag=flag, target=target, remove_burned=remove_burned)
+        self._store(features=list(features), flag=flag, target=target, remove_burned=remove_burned, target_type=target_type)
 
     def _fit(self, dataset: DataFrame) -> "TargetEncodingModel":
         names, flag, target = self._names(), self._value("flag"), self._value("target")
-        top = dataset.groupBy(target).count().orderBy(F.desc("count"), F.asc(target)).limit(3).collect()
+        dataset = dataset.filter(F.col(target).isNotNull())
         y = F.col(target).cast("double")
-        if len([r for r in top if r[target] is not None]) > 2:
-            y = (F.col(target) == F.lit(top[0][target])).cast("double")
+        if self._value("target_type") != "REGR":
+            top = dataset.groupBy(target).count().orderBy(F.desc("count"), F.asc(target)).limit(3).collect()
+            if len(top) > 2:
+                y = (F.col(target) == F.lit(top[0][target])).cast("double")
         used = dataset.filter(F.col(flag) == 1).withColumn("_y", y)
         means = (
             melt(used, ["_y"], names)

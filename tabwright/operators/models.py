@@ -60,8 +60,20 @@ def _tree_params(params: Mapping[str, Any]) -> dict[str, Any]:
     return out
 
 
+# Parameters that each family has.
+KNOWN = {
+    "elastic_net": {"alpha", "l1_ratio", "max_iter"},
+    "l1_logistic": {"C", "max_iter"},
+    "random_forest": {"n_estimators", "num_leaves", *TREE_PARAMS},
+    "boosted_trees": {"n_estimators", "learning_rate", "num_leaves", *TREE_PARAMS},
+    "network": {"size", "epochs", "batch_size", "seed"},
+}
+
+
 def _estimator(spec: ModelSpec, target_type: str, features: str, label: str, n_rows: int, n_inputs: int, n_classes: int):
     p = dict(spec.params)
+    if unknown := sorted(set(p) - KNOWN.get(spec.kind, set(p))):
+        raise ValueError(f"{spec.kind} has no parameter {', '.join(unknown)}")
     io = dict(featuresCol=features, labelCol=label)
     regression = target_type == REGR
     if spec.kind == "elastic_net":

@@ -216,7 +216,7 @@ def running_share(df: DataFrame, value: str, order: Sequence[str | Column], name
 
 
 def bottom_and_top(df: DataFrame, value: str, key: str, n: int) -> DataFrame:
-    """The n rows with the largest and the n rows with the smallest value, each row once."""
-    worst = df.orderBy(F.desc(value), F.asc(key)).limit(n)
-    best = df.orderBy(F.asc(value), F.asc(key)).limit(n)
+    """The n rows with the largest and the n rows with the smallest value, each row once; rows without a value come last in both."""
+    worst = df.orderBy(F.desc_nulls_last(value), F.asc(key)).limit(n)
+    best = df.orderBy(F.asc_nulls_last(value), F.asc(key)).limit(n)
     return worst.unionByName(best).dropDuplicates([key])

@@ -12,7 +12,7 @@ from tabwright.operators.encode import DesignMatrix
 from tabwright.operators.metrics import SCORERS
 from tabwright.operators.models import ModelSpec
 from tabwright.operators.reshape import union_rows
-from tabwright.operators.sample import Undersample, sample_rows
+from tabwright.operators.sample import Undersample
 from tabwright.schema import REGR
 from tabwright.sources.handoff import FeatureSets
 
@@ -26,10 +26,10 @@ FEATURES_OF = {
 }
 
 
-def tuning_table(df: DataFrame, target_type: str, key: str = "id", target: str = "target", n_max: int = 5_000_000, n_regression: int = 5_000, seed: int = 42) -> DataFrame:
-    """Training rows undersampled per class plus all test rows; for regression a random sample."""
+def tuning_table(df: DataFrame, target_type: str, key: str = "id", target: str = "target", n_max: int = 5_000_000, seed: int = 42) -> DataFrame:
+    """Training rows, of a class target at most `n_max` per class, plus all test rows; for regression all rows."""
     if target_type == REGR:
-        return sample_rows(df, key, n_regression, seed)
+        return df
     train = df.filter(F.col("fold") == "train")
     sampled = Undersample(n_max, target, key, seed).fit(train).sample(train)
     return union_rows(sampled, df.filter(F.col("fold") == "test"))
@@ -54,7 +54,10 @@ def compare(
     shares: Sequence[float] = (0.1, 0.4, 1.0),
     n_max: int = 5_000_000,
 ) -> dict[str, DataFrame]:
-    """Search results and summary per candidate, the generalization gap, the comparison and the learning curve."""
+    """Search results and summary per candidate, the generalization gap, the comparison and the learning curve.
+
+    `n_max` bounds the rows per class that classifiers are fitted on; regressions and all test rows are used whole.
+    """
     metric = SCORERS[target_type][0]
     df = tuning_table(min_max_scale(table, sets.metr_encoded), target_type, key, target, n_max)
     out: dict[str, DataFrame] = {}

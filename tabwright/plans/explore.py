@@ -96,7 +96,7 @@ def explore(
     df = scalars.fill_level(df, cate)
     reports["describe_categorical"] = describe_categorical(df, cate)
     toomany = too_many_levels(df, cate, n_top)
-    df = TargetEncoding(cate, "encode_flag", target).fit(df).transform(df)
+    df = TargetEncoding(cate, "encode_flag", target, target_type=target_type).fit(df).transform(df)
     df = LumpLevels(toomany, n_top).fit(df).transform(df)
     levels = cate + [MISS + m for m in miss]
     reports["importance_categorical"] = univariate_importance(df, levels, target, target_type)

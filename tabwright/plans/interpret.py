@@ -14,7 +14,7 @@ from tabwright.operators.density import distribution_profile
 from tabwright.operators.encode import DesignMatrix
 from tabwright.operators.models import Fitted, ModelSpec, fit_model, gain_importance
 from tabwright.operators.reshape import union_rows
-from tabwright.operators.sample import Undersample, sample_rows, worst_best_random
+from tabwright.operators.sample import Undersample, worst_best_random
 from tabwright.operators.split import separate_split, with_chunks
 from tabwright.schema import REGR
 from tabwright.session import settle
@@ -38,26 +38,30 @@ def interpret(
     target_type: str = "CLASS",
     labels: Sequence[str] = ("0", "1"),
     n_max: int = 500,
-    n_regression: int = 5_000,
     k: int = 5,
     cut: float = 95.0,
     topn: int = 10,
     n_select: int = 10,
     seed: int = 42,
 ) -> Interpreted:
-    """Fit on (undersampled) training rows, then performance, importance, dependence and explanations on test rows."""
+    """Fit on training rows, then performance, importance, dependence and explanations.
+
+    `n_max` bounds the rows per class that a classifier is fitted on, in the fit on all training rows and in each
+    of the k cross-validation fits; a regression is fitted on all. Everything is measured on all rows of the train
+    or test part concerned. `n_select` rows are explained from the worst, the best and at random.
+    """
     metr, cate, frames = list(metr), list(cate), {}
     train, test = table.filter(F.col("fold") == "train"), table.filter(F.col("fold") == "test")
     b_sample = b_all = None
-    if target_type == REGR:
-        train = settle(sample_rows(train, key, n_regression, seed))
-    else:
+    if target_type != REGR:
         sampler = Undersample(n_max, target, key, seed).fit(train)
-        train, b_sample, b_all = settle(sampler.sample(train)), sampler.b_sample, sampler.b_all
+        b_sample, b_all = sampler.b_sample, sampler.b_all
     both = settle(with_chunks(union_rows(train, test), key, k, seed, by="fold"))
     design = DesignMatrix(metr, cate).fit(both)
 
     def fit(df: DataFrame, matrix=design) -> Fitted:
+        if target_type != REGR:
+            df = settle(Undersample(n_max, target, key, seed).fit(df).sample(df))
         return fit_model(spec, df, matrix, target, target_type, len(labels))
 
     def scorer(model: Fitted):
@@ -66,7 +70,7 @@ def interpret(
     fitted = fit(train)
     scored = settle(with_residuals(scorer(fitted)(test), target, "yhat", target_type))
     frames |= {f"performance_{n}": f for n, f in performance_report(scored, target_type, target, "yhat", labels).items()}
-    if target_type == REGR or spec.kind in ("random_forest", "boosted_trees"):
+    if spec.kind in ("random_forest", "boosted_trees"):
         frames["gain"] = gain_importance(fitted)
 
     # importance

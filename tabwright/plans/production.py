@@ -14,15 +14,18 @@ from tabwright.schema import CLASS, REGR
 from tabwright.session import settle
 
 
-def preparation_stages(metr: Sequence[str], cate: Sequence[str], target: str = "target", n_max_per_level: int = 500, key: str = "id", derive: Sequence = ()) -> list:
-    """Stages in their fixed order. Levels are collected before encoding, encoded before rare ones are lumped."""
+def preparation_stages(metr: Sequence[str], cate: Sequence[str], target: str = "target", n_max_per_level: int = 500, key: str = "id", derive: Sequence = (), target_type: str = CLASS) -> list:
+    """Stages in their fixed order. Levels are collected before encoding, encoded before rare ones are lumped.
+
+    `n_max_per_level` bounds the rows per class that a classifier is fitted on.
+    """
     return [
         *derive,
         Convert(cate, "str"),
         Convert(metr, "float"),
         SimpleImpute(cate, "constant"),
         MapUnseen(cate),
-        TargetEncoding(cate, target=target),
+        TargetEncoding(cate, target=target, target_type=target_type),
         LumpLevels(cate),
         SimpleImpute(metr, "median"),
         Undersample(n_max_per_level, target, key),
@@ -43,7 +46,7 @@ def train_and_save(
     n_classes: int = 2,
 ) -> Fitted:
     """Fit on `df` (it needs `encode_flag`) and save the preparation, the model and the class priors under `path`."""
-    stages = preparation_stages(metr, cate, target, n_max_per_level, key, derive)
+    stages = preparation_stages(metr, cate, target, n_max_per_level, key, derive, target_type)
     if target_type == REGR:
         stages = stages[:-1]
     etl = Pipeline(stages=stages).fit(df)

@@ -1,14 +1,13 @@
 """Session helpers: a local test session and the lineage cut used by multi-pass operators."""
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = 8, name: str = "tabwright") -> SparkSession:
-    """Session for tests and the bench; on a cluster the caller brings its own."""
+def local_session(cores: int | str = 8, name: str = "tabwright", checkpoints: str | None = None) -> SparkSession:
+    """Session for tests and the bench; on a cluster the caller brings its own. `checkpoints` names the folder for intermediate tables."""
+    builder = SparkSession.builder if checkpoints is None else SparkSession.builder.config("spark.checkpoint.dir", checkpoints)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
@@ -25,15 +24,13 @@ def local_session(cores: int | str = 8, name: str = "tabwright") -> SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints: the one the cluster names, a temporary one only in local mode."""
+    """Folder for checkpoints: the one the cluster names, else one below the warehouse, which all executors share too."""
     sc = spark.sparkContext
     folder = sc.getCheckpointDir()
     if folder is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tabwright-checkpoint-")
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
         sc.setCheckpointDir(folder)
         folder = sc.getCheckpointDir()
     return folder

@@ -1,5 +1,7 @@
 """Readers and writers for the input tables."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,17 +10,23 @@ from tabwright.functions.ranks import ordered_index
 from tabwright.schema import kept_metadata, normalise_names
 
 
+# Texts that stand for a missing value unless the caller names others.
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
 def read_table(
     spark: SparkSession,
     path: str,
     schema: T.StructType | str | None = None,
     sep: str = ",",
     header: bool = True,
-    trim: bool = True,
+    trim: bool = False,
+    missing: Sequence[str] = MISSING,
 ) -> DataFrame:
     """Delimited text with a header, or parquet by its extension.
 
-    Give a schema for text: without one every column is read as text, no extra pass infers types.
+    Give a schema for text: without one every column is read as text, no extra pass infers types. Texts listed in
+    `missing` are null, in number columns also what is no number; blanks around a text are kept unless `trim` is set.
     """
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path)
@@ -26,7 +34,10 @@ def read_table(
     reader = reader.option("ignoreLeadingWhiteSpace", trim).option("ignoreTrailingWhiteSpace", trim)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.csv(path)
+    df = reader.csv(path)
+    text = {f.name: F.when(~F.col(f"`{f.name}`").isin(*missing), F.col(f"`{f.name}`")) for f in df.schema if isinstance(f.dataType, T.StringType)}
+    number = {f.name: F.when(~F.isnan(f"`{f.name}`"), F.col(f"`{f.name}`")) for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return df.withColumns({**text, **number})
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

@@ -9,9 +9,9 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tabwright.session import local_session
 
-    session = local_session(4, "tests")
+    session = local_session(4, "tests", str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
