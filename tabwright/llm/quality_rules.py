@@ -17,6 +17,7 @@ GRANTED = (0.05, 0.20, 0.20, 0.20, 0.10)
 SUPPORT = 0.75  # share of a group's rows with the least distances that its estimate is made of
 STEPS = 3  # concentration steps
 LEAST_ROWS = 50  # groups with fewer rows use the estimate of their language, or else of all rows
+SALTS = 32  # parts that the rows of a group are dealt to for joins
 CUTOFF = 100.0  # squared distance beyond which a row is an outlier
 # Squared distances are spread wider by estimating from the inner SUPPORT of the rows: the 0.75 quantile of a
 # chi-squared variable with 5 degrees of freedom; the estimate is scaled so that this quantile of the distances meets it.
@@ -159,7 +160,7 @@ def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
     within = lambda c, q: F.percentile_approx(c, q, 2000)
     at = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(*[within(x, 0.5) for x in VECTOR]).alias("mean"))
     p = range(len(VECTOR))
-    own = rows.join(at, keys)
+    own = salted(rows, at, keys)
     parts = F.array(*[within(F.abs(F.col(VECTOR[i]) - F.get("mean", F.lit(i))), 0.5) for i in p])
     wide = own.groupBy(*keys).agg(parts.alias("mad"))
     square = lambda i, j: F.pow(1.4826 * F.get("mad", F.lit(i)), 2) + GRANTED[i] ** 2 if i == j else F.lit(0.0)
@@ -174,8 +175,13 @@ def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
     return settle(at.join(cut, keys).select(*keys, F.col("all").alias("n"), "mean", "white", scale.alias("scale")))
 
 
+def salted(rows: DataFrame, at: DataFrame, keys: list[str]) -> DataFrame:
+    """Join a table with one row per group to the rows, the rows of a group spread over SALTS parts by `_salt`."""
+    return rows.join(at.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*keys, "_salt"])
+
+
 def near(rows: DataFrame, at: DataFrame, keys: list[str], *more: str) -> DataFrame:
-    joined = rows.join(at.select(*keys, "mean", "white", *more), keys)
+    joined = salted(rows, at.select(*keys, "mean", "white", *more), keys)
     return joined.withColumn("d", distance()).drop("mean", "white")
 
 
@@ -193,7 +199,9 @@ def judge(docs: DataFrame) -> DataFrame:
     plain = docs.select("doc_id", group("lang").alias("_lang"), group("source").alias("_source"), "text")
     counted = base_statistics(plain).withColumn("base_failed", base_failed()).withColumns(transformed())
     counted = settle(counted)
-    passed = counted.filter(~F.col("base_failed")).select(F.explode(groups()).alias("group"), *VECTOR)
+    passed = counted.filter(~F.col("base_failed")).select(
+        F.explode(groups()).alias("group"), F.pmod(F.xxhash64("doc_id", *VECTOR), F.lit(SALTS)).cast("int").alias("_salt"), *VECTOR
+    )
     est = estimates(passed, ["group"]).filter(F.col("n") >= LEAST_ROWS)
     out = counted
     for level in range(3):  # the estimate of the first of a row's groups that has one
