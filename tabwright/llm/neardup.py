@@ -17,7 +17,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 4  # a pair at 0.8 shares no band with probability (1 - 0.8 ** 4) ** 20 = 3e-5
 BUCKET = 16  # up to so many texts of a bucket are compared with each other, beyond that with leaders
 SPLITS = 12  # samples by which the unlike texts of a large bucket are told apart
-ROUNDS = 3  # of leaders within what is then still large
+FINER = 10  # pairs of samples that cut what is then still large; similar texts share none with probability (1 - 0.8 ** 2) ** 10 = 4e-5
 DF_BITS = 17  # document frequencies are counted per word hash of so many bits
 DRAWS = 1 << 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -215,8 +215,10 @@ def links(docs: DataFrame, signed: DataFrame, weights) -> DataFrame:
     A bucket of up to BUCKET contents has its pairs checked. In a larger one every content is checked against the
     least one, its leader. Contents unlike their leader are told apart by SPLITS further samples, which similar
     texts share at least one of; within these, small buckets have all pairs of the unlike checked, larger ones
-    are checked against leaders in ROUNDS rounds, and each unlike content is checked against one content that
-    the leader did match. No step makes more pairs than a constant times the rows of the buckets.
+    are checked against a leader, and each unlike content is checked against one content that the leader did
+    match. What is unlike its leader again is cut by FINER pairs of other samples, and so on until no large bucket
+    is left: every round takes the leader and its like out of each. No round makes more pairs than a constant
+    times the rows of the buckets.
     """
     named = signed.filter(F.col("content").isNotNull()).groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.first("samples").alias("samples"))
     named = settle(named)
@@ -257,17 +259,21 @@ def links(docs: DataFrame, signed: DataFrame, weights) -> DataFrame:
     pairs = led(fine.filter("failed").join(matched, "key"))
     small, large = sized(fine.filter("failed").select("key", "content"))
     pairs = pairs.unionByName(within(small))
-    for _ in range(ROUNDS):
+    level = 0
+    while True:
         pairs = pairs.unionByName(led(large)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         checked = settle(verify(settle(pairs.join(total, ["a", "b"], "left_anti")), texts, weights))
         total = settle(total.unionByName(checked.filter("similar").select("a", "b")))
         if large.isEmpty():
-            break
+            return total
         unlike = checked.filter("not similar").select(F.col("a").alias("leader"), F.col("b").alias("content"))
         rest = large.join(unlike, ["leader", "content"], "left_semi").select("key", "content")
+        places = np.random.default_rng(level).permutation(BANDS * ROWS)[: 2 * FINER].tolist()
+        finer = [F.xxhash64("key", F.lit(j), F.col("samples")[x], F.col("samples")[y]) for j, (x, y) in enumerate(zip(places[::2], places[1::2]))]
+        rest = rest.join(named.select("content", "samples"), "content").select("content", F.explode(F.array(*finer)).alias("key"))
         small, large = sized(rest)
         pairs = within(small)
-    return total
+        level += 1
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

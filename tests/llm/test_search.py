@@ -81,6 +81,20 @@ def test_planted_classes(spark):
     assert got == {d: least[c] for (d, _), c in zip(docs, classes)}
 
 
+def test_links_in_a_hot_bucket(spark, monkeypatch):
+    """Pairs of like texts that share most of their words with hundreds of unlike ones are found, however large the buckets."""
+    rng = np.random.default_rng(8)
+    passage, docs, want = words(rng, 90), [], {}
+    for i in range(150):
+        own = words(rng, 60)
+        for j in range(2):
+            docs.append((2 * i + j, " ".join([*own[:59], f"copy{j}", *passage])))
+            want[2 * i + j] = 2 * i
+    monkeypatch.setattr(neardup, "BUCKET", 2)
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_all_links_found(spark, some):
     """Classes are those of all pairs at the weighted similarity, by brute force."""
     rows = [(r["doc_id"], r["text"]) for r in some.collect()]
