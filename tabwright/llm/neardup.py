@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.texts import MEMO_ENTRIES, learn, text_slices
+from tabwright.llm.texts import text_slices
 from tabwright.session import settle
 
 WORDS = 5  # per shingle
@@ -21,18 +21,39 @@ FINER = 10  # pairs of samples that cut what is then still large; similar texts
 DF_BITS = 17  # document frequencies are counted per word hash of so many bits
 DRAWS = 1 << 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
-_words: dict[str, int] = {}
+BLOCK, PLACES = 1 << 18, 1 << 12  # bytes hashed at once, places in a word told apart
+
+
+@lru_cache(maxsize=1)
+def letters() -> tuple[np.ndarray, np.ndarray]:
+    """Random odd numbers: one per byte value, one per place in a word (again from the start after PLACES)."""
+    rng = np.random.default_rng(22)
+    odd = [rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for n in (256, PLACES)]
+    return odd[0], odd[1]
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """64-bit hashes of all words (lower case, cut at white space), words per text, and the texts with single spaces."""
+    """64-bit hashes of all words (lower case, cut at white space), words per text, and the texts with single spaces.
+
+    A word's hash sums a mix of every byte with its place, for all words of a block of bytes at once.
+    """
     parts = [t.lower().split() for t in texts]
-    if len(_words) > MEMO_ENTRIES:
-        _words.clear()
-    learn(_words, parts, lambda new: [xxhash.xxh64_intdigest(w) for w in new])
-    known = _words.__getitem__
-    flat = np.fromiter((h for p in parts for h in map(known, p)), np.uint64, sum(map(len, parts)))
-    return flat, np.array([len(p) for p in parts], np.int64), [" ".join(p) for p in parts]
+    sizes = np.array([len(p) for p in parts], np.int64)
+    plain = [" ".join(p) for p in parts]
+    raw = np.frombuffer("".join(p + " " for p in plain if p).encode(), np.uint8)
+    start = np.r_[0, np.flatnonzero(raw == ord(" ")) + 1]  # of each word, and the end
+    bytes_, places = letters()
+    flat = np.empty(len(start) - 1, np.uint64)
+    cut = [0, *(np.flatnonzero(np.diff(start[:-1] // BLOCK)) + 1).tolist(), len(flat)] if len(flat) else [0]
+    for x, y in zip(cut, cut[1:]):
+        first = start[x:y] - start[x]
+        block = raw[start[x] : start[y]]
+        place = np.arange(len(block), dtype=np.int32) - np.repeat(first.astype(np.int32), np.diff(start[x : y + 1]))
+        value = bytes_[block] * places[place % PLACES]
+        value ^= value >> np.uint64(32)
+        flat[x:y] = np.add.reduceat(value, first)
+    flat = (flat ^ (flat >> np.uint64(29))) * MIX
+    return flat ^ (flat >> np.uint64(32)), sizes, plain
 
 
 def content_keys(plain: list[str]) -> list[bytes | None]:
@@ -48,7 +69,8 @@ def frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
         for _, texts in text_slices(batches):
             flat, sizes, _ = word_hashes(texts)
             owner = np.repeat(np.arange(len(texts), dtype=np.int64), sizes)
-            pairs = np.unique((owner << DF_BITS) | (flat >> np.uint64(64 - DF_BITS)).astype(np.int64))
+            pairs = np.sort((owner << DF_BITS) | (flat >> np.uint64(64 - DF_BITS)).astype(np.int64))
+            pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]] if len(pairs) else pairs
             total += np.bincount(pairs & ((1 << DF_BITS) - 1), minlength=1 << DF_BITS)
             texts_seen += int((sizes > 0).sum())
         found = np.flatnonzero(total)
@@ -96,11 +118,11 @@ def shingles(flat: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> tuple[
 
 
 @lru_cache(maxsize=1)
-def draws() -> tuple[np.ndarray, ...]:
-    """Tables of the random values of consistent weighted sampling: r and c from Gamma(2, 1), beta uniform."""
+def draws() -> np.ndarray:
+    """Random values of consistent weighted sampling, a row (r, 1 / r, ln c, beta) each: r and c from Gamma(2, 1), beta uniform."""
     rng = np.random.default_rng(20)
     r, c = rng.gamma(2, 1, DRAWS).astype(np.float32), rng.gamma(2, 1, DRAWS)
-    return r, (1 / r).astype(np.float32), np.log(c).astype(np.float32), rng.random(DRAWS, np.float32)
+    return np.stack([r, 1 / r, np.log(c), rng.random(DRAWS, np.float32)], axis=1).astype(np.float32)
 
 
 def samples(owner: np.ndarray, code: np.ndarray, weight: np.ndarray, texts: int, count: int = BANDS * ROWS) -> np.ndarray:
@@ -112,7 +134,7 @@ def samples(owner: np.ndarray, code: np.ndarray, weight: np.ndarray, texts: int,
     out = np.zeros((texts, count), np.int32)
     if not len(code):
         return out
-    r, r_inverse, log_c, beta = draws()
+    table = draws()
     start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
     length = np.diff(np.r_[start, len(owner)])
     log_w = np.log(weight)
@@ -120,9 +142,9 @@ def samples(owner: np.ndarray, code: np.ndarray, weight: np.ndarray, texts: int,
     multipliers = np.random.default_rng(21).integers(0, 1 << 31, (count, 2), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     for j in range(count):
         at = ((short * multipliers[j, 0] + multipliers[j, 1]) >> np.uint32(16)).astype(np.intp)
-        rj, bj = r[at], beta[at]
-        t = np.floor(log_w * r_inverse[at] + bj)
-        a = log_c[at] - rj * (t - bj + 1)
+        r, r_inverse, log_c, beta = table.take(at, axis=0).T
+        t = np.floor(log_w * r_inverse + beta)
+        a = log_c - r * (t - beta + 1)
         least = np.flatnonzero(a == np.repeat(np.minimum.reduceat(a, start), length))
         least = least[np.r_[True, owner[least[1:]] != owner[least[:-1]]]]
         value = code[least] * MIX + t[least].astype(np.int64).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -174,13 +196,13 @@ def verify(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, one in text_slices(batches, column="text_a"):
-            sets = []
-            for side in (one, rows.column("text_b").to_pylist()):
-                flat, sizes, _ = word_hashes(side)
-                owner, code, weight = shingles(flat, sizes, weights.value)
-                cut = np.searchsorted(owner, np.arange(len(side) + 1))
-                sets.append([(code[x:y], weight[x:y]) for x, y in zip(cut, cut[1:])])
-            close = [similarity(x, y) for x, y in zip(*sets)]
+            keys = [rows.column(c).to_pylist() for c in ("a", "b")]
+            known = dict(zip(keys[0] + keys[1], one + rows.column("text_b").to_pylist()))  # a leader is in many pairs
+            flat, sizes, _ = word_hashes([*known.values()])
+            owner, code, weight = shingles(flat, sizes, weights.value)
+            cut = np.searchsorted(owner, np.arange(len(sizes) + 1))
+            sets = {k: (code[x:y], weight[x:y]) for k, x, y in zip(known, cut, cut[1:])}
+            close = [similarity(sets[x], sets[y]) for x, y in zip(*keys)]
             yield pa.RecordBatch.from_arrays([rows.column("a"), rows.column("b"), pa.array(close, pa.float64())], ["a", "b", "similarity"])
 
     both = pairs.join(texts.select(F.col("content").alias("b"), F.col("text").alias("text_b")), "b")
