@@ -17,7 +17,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 4  # a pair at 0.8 shares no band with probability (1 - 0.8 ** 4) ** 20 = 3e-5
 BUCKET = 16  # up to so many texts of a bucket are compared with each other, beyond that with leaders
 SPLITS = 12  # samples by which the unlike texts of a large bucket are told apart
-FINER = 4  # keys of ROWS samples each that cut what is then still large: on average 1.6 of them stay shared at 0.8, 0.96 at 0.7
+FINER = 3  # keys of ROWS samples each that cut what is then still large: on average 1.2 of them stay shared at 0.8, 0.7 at 0.7
 DF_BITS = 17  # document frequencies are counted per word hash of so many bits
 DRAWS = 1 << 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -241,8 +241,8 @@ def links(docs: DataFrame, signed: DataFrame, weights) -> DataFrame:
     match. What is unlike its leader again is cut by FINER further keys, and so on until no large bucket is left:
     every round takes the leader and its like out of each. No round makes more pairs than a constant times the
     rows of the buckets. Which samples cut a bucket is drawn by its key, so each of the about 80 keys that two
-    texts at SIMILARITY share after the SPLITS lives on by itself (one dies out with probability 0.21), while the
-    rows of texts at 0.7 do not grow from round to round.
+    texts at SIMILARITY share after the SPLITS lives on by itself (one dies out with probability 0.6), while the
+    rows of texts at 0.7 get fewer from round to round.
     """
     named = signed.filter(F.col("content").isNotNull()).groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.first("samples").alias("samples"))
     named = settle(named)
