@@ -241,8 +241,8 @@ def links(docs: DataFrame, signed: DataFrame, weights) -> DataFrame:
     match. What is unlike its leader again is cut by FINER further keys, and so on until no large bucket is left:
     every round takes the leader and its like out of each. No round makes more pairs than a constant times the
     rows of the buckets. Which samples cut a bucket is drawn by its key, so each of the about 80 keys that two
-    texts at SIMILARITY share after the SPLITS lives on by itself (in eight rounds one dies out with probability 0.48), while the
-    rows of texts at 0.7 get fewer from round to round.
+    texts at SIMILARITY share after the SPLITS lives on by itself (in eight rounds one dies out with probability
+    0.48), while the rows of texts at 0.7 get fewer from round to round.
     """
     named = signed.filter(F.col("content").isNotNull()).groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.first("samples").alias("samples"))
     named = settle(named)
