@@ -16,8 +16,9 @@ WORDS = 5  # per shingle
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4  # a pair at 0.8 shares no band with probability (1 - 0.8 ** 4) ** 20 = 3e-5
 BUCKET = 16  # up to so many texts of a bucket are compared with each other, beyond that with leaders
-SPLITS = 12  # samples by which the unlike texts of a large bucket are told apart
-FINER = 3  # keys of ROWS samples each that cut what is then still large: on average 1.2 of them stay shared at 0.8, 0.7 at 0.7
+AGREE = 48  # samples that a pair of a larger bucket shares at least: a pair at 0.8 has fewer of its 80 with probability 1.2e-5
+LIMITS = (1, 8, 64, None)  # partners per text and cell that are checked in the rounds over larger buckets
+CELL = 512  # texts of a bucket on each side of one comparison of samples
 DF_BITS = 17  # document frequencies are counted per word hash of so many bits
 DRAWS = 1 << 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -235,14 +236,9 @@ def links(docs: DataFrame, signed: DataFrame, weights) -> DataFrame:
     """Verified pairs (a, b) of different contents that connect all texts linked through a shared bucket.
 
     A bucket of up to BUCKET contents has its pairs checked. In a larger one every content is checked against the
-    least one, its leader. Contents unlike their leader are told apart by SPLITS further samples, which similar
-    texts share at least one of; within these, small buckets have all pairs of the unlike checked, larger ones
-    are checked against a leader, and each unlike content is checked against one content that the leader did
-    match. What is unlike its leader again is cut by FINER further keys, and so on until no large bucket is left:
-    every round takes the leader and its like out of each. No round makes more pairs than a constant times the
-    rows of the buckets. Which samples cut a bucket is drawn by its key, so each of the about 80 keys that two
-    texts at SIMILARITY share after the SPLITS lives on by itself (in eight rounds one dies out with probability
-    0.48), while the rows of texts at 0.7 get fewer from round to round.
+    least one, its leader; then all pairs of the bucket that no links connect yet have their samples compared, and
+    those that share AGREE of them are checked, the closest first, as links found make further checks needless.
+    Matched contents stay partners of the others. After the last round every such pair is checked or connected.
     """
     named = signed.filter(F.col("content").isNotNull()).groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.first("samples").alias("samples"))
     named = settle(named)
@@ -269,37 +265,63 @@ def links(docs: DataFrame, signed: DataFrame, weights) -> DataFrame:
     if large.isEmpty():
         return checked.filter("similar").select("a", "b")
 
-    unlike = checked.filter("not similar").select(F.col("a").alias("leader"), F.col("b").alias("content"))
-    failed = settle(large.join(unlike, ["leader", "content"], "left_semi").select("key", "content"))
-    total = checked.filter("similar").select("a", "b")
-    if failed.isEmpty():
-        return total
-    touched = large.join(failed.select("key").distinct(), "key", "left_semi").select("key", "content")
-    flagged = touched.join(failed.withColumn("failed", F.lit(True)), ["key", "content"], "left")
-    fine = flagged.join(named.select("content", "samples"), "content")
-    split = F.explode(F.array(*[F.xxhash64("key", F.lit(j), F.col("samples")[(j * 7) % (BANDS * ROWS)]) for j in range(SPLITS)]))
-    fine = settle(fine.select("content", F.coalesce("failed", F.lit(False)).alias("failed"), split.alias("key")))
-    matched = fine.filter("not failed").groupBy("key").agg(F.min("content").alias("leader"))
-    pairs = led(fine.filter("failed").join(matched, "key"))
-    small, large = sized(fine.filter("failed").select("key", "content"))
-    pairs = pairs.unionByName(within(small))
-    level = 0
-    while True:
-        pairs = pairs.unionByName(led(large)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        checked = settle(verify(settle(pairs.join(total, ["a", "b"], "left_anti")), texts, weights))
+    total = settle(checked.filter("similar").select("a", "b"))
+    done = checked.select("a", "b")
+    hot = settle(large.select("key", "content").join(named.select("content", "samples"), "content"))
+    for limit in LIMITS:
+        found = settle(apart(hot, components(total), limit))
+        pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        checked = settle(verify(settle(pairs.join(done, ["a", "b"], "left_anti")), texts, weights))
         total = settle(total.unionByName(checked.filter("similar").select("a", "b")))
-        if large.isEmpty():
-            return total
-        unlike = checked.filter("not similar").select(F.col("a").alias("leader"), F.col("b").alias("content"))
-        rest = large.join(unlike, ["leader", "content"], "left_semi").select("key", "content")
-        finer = []
-        for j in range(FINER):
-            places = [F.pmod(F.xxhash64("key", F.lit(level), F.lit(j * ROWS + i)), F.lit(BANDS * ROWS)).cast("int") for i in range(ROWS)]
-            finer.append(F.xxhash64("key", F.lit(j), *[F.get("samples", x) for x in places]))
-        rest = rest.join(named.select("content", "samples"), "content").select("content", F.explode(F.array(*finer)).alias("key"))
-        small, large = sized(rest)
-        pairs = within(small)
-        level += 1
+        done = settle(done.unionByName(checked.select("a", "b")))
+        if found.filter("more").isEmpty():
+            break
+    return total
+
+
+def apart(hot: DataFrame, roots: DataFrame, limit: int | None) -> DataFrame:
+    """Pairs of a bucket that `roots` does not connect and that share AGREE samples: a, b, more.
+
+    The texts outside the largest connected part of a bucket are compared with all texts of it, in cells of about
+    CELL x CELL texts. A text gets the `limit` closest partners of each cell; `more` says that it had others.
+    """
+
+    def compare(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        own = cell.column("own").to_numpy()
+        part = cell.column("part").combine_chunks().dictionary_encode().indices.to_numpy()
+        values = cell.column("samples").combine_chunks().flatten().to_numpy().reshape(len(own), -1)
+        x, y = np.flatnonzero(own), np.flatnonzero(~own)
+        shared = np.zeros((len(x), len(y)), np.uint8)
+        for one, other in zip(values[x].T, values[y].T):
+            shared += one[:, None] == other
+        shared[part[x][:, None] == part[y]] = 0
+        open_ = shared >= AGREE
+        more = np.zeros(len(x), bool)
+        if limit is not None and limit < len(y):
+            more = open_.sum(axis=1) > limit
+            closest = np.argpartition(shared, len(y) - limit, axis=1)[:, len(y) - limit :]
+            picked = np.zeros_like(open_)
+            np.put_along_axis(picked, closest, True, axis=1)
+            open_ &= picked
+        i, j = np.nonzero(open_)
+        content = cell.column("content").combine_chunks()
+        return pa.table({"a": content.take(pa.array(x[i])), "b": content.take(pa.array(y[j])), "more": pa.array(more[i])})
+
+    rows = hot.join(roots.withColumnRenamed("node", "content"), "content", "left")
+    rows = settle(rows.select("key", "content", "samples", F.coalesce("root", "content").alias("part")))
+    parts = rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("key").agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("part", F.struct("n", "part")).alias("main"))
+    rows = settle(rows.join(sizes.filter("most < all"), "key"))
+    cells = lambda size: F.ceil(size / CELL).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("content"), n).cast("int")
+    across, down = cells(F.col("all")), cells(F.col("all") - F.col("most"))
+    names = ["key", "content", "samples", "part"]
+    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = rows.filter("part != main").select(*names, F.lit(True).alias("own"), place(down).alias("i"), upto(across).alias("j"))
+    right = rows.select(*names, F.lit(False).alias("own"), place(across).alias("j"), upto(down).alias("i"))
+    both = left.unionByName(right)
+    return both.groupBy("key", "i", "j").applyInArrow(compare, "a binary, b binary, more boolean")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

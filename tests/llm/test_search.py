@@ -72,6 +72,13 @@ def planted(rng):
     return docs, classes
 
 
+def shingle_sets(docs, texts):
+    flat, sizes, _ = neardup.word_hashes(texts)
+    owner, code, weight = neardup.shingles(flat, sizes, neardup.idf(*neardup.frequencies(docs)))
+    cut = np.searchsorted(owner, np.arange(len(texts) + 1))
+    return [(code[a:b], weight[a:b]) for a, b in zip(cut, cut[1:])]
+
+
 def test_planted_classes(spark):
     docs, classes = planted(np.random.default_rng(6))
     got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
@@ -95,6 +102,39 @@ def test_links_in_a_hot_bucket(spark, monkeypatch):
     assert got == want
 
 
+def test_close_links_in_a_hot_bucket(spark, monkeypatch):
+    """Pairs just over the threshold are found among hundreds of texts just under it, which took over 12 rounds of cuts."""
+    rng = np.random.default_rng(9)
+    passage, docs, want = words(rng, 300), [], {}
+    for i in range(150):
+        own, n = words(rng, 9), 6 + i % 4
+        for j in range(2):
+            docs.append((2 * i + j, " ".join([*own, *words(rng, n), *passage])))
+            want[2 * i + j] = 2 * i
+    monkeypatch.setattr(neardup, "BUCKET", 2)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    sets = shingle_sets(df, [t for _, t in docs])
+    pairs = [neardup.similarity(sets[2 * i], sets[2 * i + 1]) for i in range(150)]
+    others = [neardup.similarity(sets[0], sets[i]) for i in range(2, 300)]
+    assert 0.8 <= min(pairs) and max(pairs) < 0.86 and 0.7 < min(others) and max(others) < 0.8
+    assert {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(df).collect()} == want
+
+
+def test_links_through_matched_texts(spark):
+    """A text that is like one of the leader's many likes only is linked through it."""
+    rng = np.random.default_rng(10)
+    base, docs = words(rng, 400), []
+    for i in range(150):
+        at = int(rng.integers(0, 330))
+        like = [*base[:at], *words(rng, 8), *base[at + 8 :]]
+        docs.append((2 * i, " ".join(like)))
+        docs.append((2 * i + 1, " ".join([*like[: at + 8], *words(rng, 18), *like[at + 26 :]])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    sets = shingle_sets(df, [t for _, t in docs])
+    assert min(neardup.similarity(sets[2 * i], sets[2 * i + 1]) for i in range(150)) >= 0.8
+    assert {r["class_id"] for r in neardup.near_duplicates(df).collect()} == {0}
+
+
 def test_all_links_found(spark, some):
     """Classes are those of all pairs at the weighted similarity, by brute force."""
     rows = [(r["doc_id"], r["text"]) for r in some.collect()]
