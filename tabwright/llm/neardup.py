@@ -17,7 +17,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 4  # a pair at 0.8 shares no band with probability (1 - 0.8 ** 4) ** 20 = 3e-5
 BUCKET = 16  # up to so many texts of a bucket are compared with each other, beyond that with leaders
 AGREE = 48  # samples that a pair of a larger bucket shares at least: a pair at 0.8 has fewer of its 80 with probability 1.2e-5
-LIMITS = (1, 8, 64, None)  # partners per text and cell that are checked in the rounds over larger buckets
+LIMITS = (2, 32, None)  # partners per text and cell that are checked in the rounds over larger buckets
 CELL = 512  # texts of a bucket on each side of one comparison of samples
 DF_BITS = 17  # document frequencies are counted per word hash of so many bits
 DRAWS = 1 << 16
@@ -233,7 +233,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, signed: DataFrame, weights) -> DataFrame:
-    """Verified pairs (a, b) of different contents that connect all texts linked through a shared bucket.
+    """Pairs (a, b) of different contents that connect all texts linked by verified pairs of a shared bucket.
 
     A bucket of up to BUCKET contents has its pairs checked. In a larger one every content is checked against the
     least one, its leader; then all pairs of the bucket that no links connect yet have their samples compared, and
@@ -268,15 +268,17 @@ def links(docs: DataFrame, signed: DataFrame, weights) -> DataFrame:
     total = settle(checked.filter("similar").select("a", "b"))
     done = checked.select("a", "b")
     hot = settle(large.select("key", "content").join(named.select("content", "samples"), "content"))
+    roots = components(total)
     for limit in LIMITS:
-        found = settle(apart(hot, components(total), limit))
+        found = settle(apart(hot, roots, limit))
         pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         checked = settle(verify(settle(pairs.join(done, ["a", "b"], "left_anti")), texts, weights))
-        total = settle(total.unionByName(checked.filter("similar").select("a", "b")))
-        done = settle(done.unionByName(checked.select("a", "b")))
+        linked = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(linked.unionByName(checked.filter("similar").select("a", "b")))
         if found.filter("more").isEmpty():
             break
-    return total
+        done = settle(done.unionByName(checked.select("a", "b")))
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
 def apart(hot: DataFrame, roots: DataFrame, limit: int | None) -> DataFrame:
