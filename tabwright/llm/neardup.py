@@ -6,7 +6,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.texts import text_slices
@@ -161,8 +161,13 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return low / total if total else 0.0
 
 
+def mark() -> Column:
+    """Tells apart rows that share a doc_id, or have none, by their texts."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def signatures(docs: DataFrame, weights) -> DataFrame:
-    """content (null without a word) and its samples, for every row of `docs`, with doc_id."""
+    """content (null without a word) and its samples, for every row of `docs`, with doc_id and mark."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,9 +175,9 @@ def signatures(docs: DataFrame, weights) -> DataFrame:
             flat, sizes, plain = word_hashes(texts)
             found = samples(*shingles(flat, sizes, weights.value), len(texts))
             values = pa.ListArray.from_arrays(np.arange(0, found.size + 1, found.shape[1], dtype=np.int32), pa.array(found.ravel()))
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(content_keys(plain), pa.binary()), values], ["doc_id", "content", "samples"])
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("mark"), pa.array(content_keys(plain), pa.binary()), values], ["doc_id", "mark", "content", "samples"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, content binary, samples array<int>")
+    return docs.select("doc_id", "text", mark().alias("mark")).mapInArrow(sign, f"doc_id {kind}, mark long, content binary, samples array<int>")
 
 
 def texts_of(contents: DataFrame, named: DataFrame, docs: DataFrame) -> DataFrame:
@@ -335,30 +340,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shingle, so only its copies match. Repeated rows are copies; rows with a null doc_id take the class of their
     text, null if no row of it has an id. Other columns are not read.
     """
+    return marked_classes(docs).select("doc_id", "class_id", "class_size")
+
+
+def marked_classes(docs: DataFrame) -> DataFrame:
+    """`near_duplicates` with the mark of each row and the root of its class, null for a text without a word."""
     plain = docs.select("doc_id", "text")
     n, df = frequencies(plain)
     weights = docs.sparkSession.sparkContext.broadcast(idf(n, df))  # one number per word bucket
     signed = settle(signatures(plain, weights))
     roots = components(links(plain, signed, weights))
-    member = signed.select("doc_id", "content").join(roots.withColumnRenamed("node", "content"), "content", "left")
-    member = settle(member.select("doc_id", F.coalesce("root", "content").alias("root")))
+    member = signed.select("doc_id", "mark", "content").join(roots.withColumnRenamed("node", "content"), "content", "left")
+    member = settle(member.select("doc_id", "mark", F.coalesce("root", "content").alias("root")))
     classes = member.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    known = member.filter(F.col("root").isNotNull()).join(classes, "root").select("doc_id", "class_id", "class_size")
-    empty = member.filter(F.col("root").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
+    known = member.filter(F.col("root").isNotNull()).join(classes, "root").select("doc_id", "mark", "root", "class_id", "class_size")
+    empty = member.filter(F.col("root").isNull()).select("doc_id", "mark", "root", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     return known.unionByName(empty)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of `docs` less all but one document of each class, the one with the least doc_id.
 
-    Rows that share a doc_id are one document: where it stands for a class of several rows, one row stays. Rows
-    with a null doc_id go only if a row of their class has one.
+    Of several rows of the class that have this doc_id one stays. Rows with a null doc_id go only if a row of their
+    class has one. Rows that share a doc_id with different texts are judged each by its own text.
     """
-    member = near_duplicates(docs).filter("class_size > 1").select("doc_id", "class_id").distinct()
-    member = settle(member.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("stays")))
-    of = docs["doc_id"].eqNullSafe(F.col("_member"))
-    named = member.select(F.col("doc_id").alias("_member"), "stays")
-    alone = docs.join(named, of, "left_anti")
-    stays = docs.join(named.filter(F.col("stays") & F.col("_member").isNotNull()), of, "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.join(named.filter(F.col("stays") & F.col("_member").isNull()), of, "left_semi")
-    return alone.unionByName(stays).unionByName(nameless)
+    member = marked_classes(docs).filter("class_size > 1").select("doc_id", "mark", "root", "class_id").distinct()
+    stays = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    named = settle(member.select(F.col("doc_id").alias("_member"), F.col("mark").alias("_of"), F.col("root").alias("_root"), stays.alias("_stays")))
+    marked = docs.withColumn("_mark", mark())
+    of = F.col("doc_id").eqNullSafe(F.col("_member")) & (F.col("_mark") == F.col("_of"))
+    alone = marked.join(named, of, "left_anti").select(docs.columns)
+    one = marked.join(named.filter(F.col("_stays") & F.col("_member").isNotNull()), of).dropDuplicates(["_root"]).select(docs.columns)
+    nameless = marked.join(named.filter(F.col("_stays") & F.col("_member").isNull()), of, "left_semi").select(docs.columns)
+    return alone.unionByName(one).unionByName(nameless)

@@ -185,7 +185,11 @@ def near(rows: DataFrame, at: DataFrame, keys: list[str], *more: str) -> DataFra
     return joined.withColumn("d", distance()).drop("mean", "white")
 
 
-def judge(docs: DataFrame) -> DataFrame:
+def group(name: str) -> Column:
+    return F.coalesce(F.col(name).cast("string"), F.lit("\x00"))
+
+
+def judge(docs: DataFrame, *more: Column) -> DataFrame:
     """Counts and verdict of every document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, distance.
 
@@ -194,9 +198,10 @@ def judge(docs: DataFrame) -> DataFrame:
     included; estimates are made from the rows that pass the base rules. A group of fewer than LEAST_ROWS such rows
     uses the estimate of its language, a language of fewer that of all rows; with fewer rows altogether nothing is
     an outlier. A null or empty text has no words and fails. Repeated rows count as often as they occur.
+    `more` are further columns of `docs` to return.
     """
-    group = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\x00"))
-    plain = docs.select("doc_id", group("lang").alias("_lang"), group("source").alias("_source"), "text")
+    plain = docs.select("doc_id", group("lang").alias("_lang"), group("source").alias("_source"), "text", *more)
+    others = plain.columns[4:]
     counted = base_statistics(plain).withColumn("base_failed", base_failed()).withColumns(transformed())
     counted = settle(counted)
     passed = counted.filter(~F.col("base_failed")).select(
@@ -211,10 +216,12 @@ def judge(docs: DataFrame) -> DataFrame:
     out = out.withColumn("distance", distance() / F.col("_e.scale"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return out.select("doc_id", *names, "base_failed", kept.alias("kept"), "distance")
+    return out.select("doc_id", *names, "base_failed", kept.alias("kept"), "distance", *others)
 
 
 def accept(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id is kept (every row of it, should a doc_id occur more than once)."""
-    bad = judge(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """The rows of `docs` that are kept; rows that share a doc_id, or have none, each by its own verdict."""
+    mark = F.xxhash64(group("text"), group("lang"), group("source"))  # all that a verdict depends on
+    bad = judge(docs, mark.alias("_of")).filter(~F.col("kept")).select(F.col("doc_id").alias("_bad"), "_of").distinct()
+    marked = docs.withColumn("_mark", mark)
+    return marked.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")) & (F.col("_mark") == F.col("_of")), "left_anti").select(docs.columns)

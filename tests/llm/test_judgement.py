@@ -96,6 +96,14 @@ def test_quality_rules_are_native(odd):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan.split("== Physical Plan ==")[1].replace("Exchange RoundRobin", "")
 
 
+def test_accept_judges_rows(spark):
+    """Rows without a doc_id, or with the same one, are each kept or rejected by their own text."""
+    good = "the quick brown fox jumps over the lazy dog and then it runs far away today"
+    rows = [(None, good), (None, "too short"), (None, None), (1, good + " again"), (1, "short as well"), (2, good)]
+    kept = quality_rules.accept(spark.createDataFrame([(*r, "en", "a") for r in rows], "doc_id long, text string, lang string, source string"))
+    assert sorted([(r["doc_id"], r["text"]) for r in kept.collect()], key=str) == sorted([rows[0], rows[3], rows[5]], key=str)
+
+
 def test_quality_scores(spark, odd, none):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     rows = quality_scores.score_quality(docs, labels).join(labels, "doc_id").filter("held_out").collect()

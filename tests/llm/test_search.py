@@ -184,3 +184,12 @@ def test_odd_documents(odd, none):
     assert kept.columns == odd.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == [1, 3, 4, 5, 6, 7, 8, 9, 10] and ids.count(None) == 1
+
+
+def test_one_of_each_judges_rows(spark):
+    """Rows without a doc_id, or with the same one, stay or go by the class of their own text."""
+    rng = np.random.default_rng(11)
+    a, b, c, d, e = (" ".join(words(rng, 30)) for _ in range(5))
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c), (2, a), (2, d), (3, e), (3, e)]
+    kept = neardup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, a), (None, b), (None, c), (None, c), (2, d), (3, e)], key=str)
