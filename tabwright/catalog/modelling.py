@@ -17,7 +17,7 @@ from tabwright.operators.metrics import score
 from tabwright.operators.models import ModelSpec, coefficients, fit_model, gain_importance
 from tabwright.operators.profile import selection_counts
 from tabwright.operators.reshape import union_rows
-from tabwright.operators.sample import Undersample, worst_best_random
+from tabwright.operators.sample import Undersample
 from tabwright.functions.predictions import with_residuals
 from tabwright.plans.production import score_saved, train_and_save
 
@@ -440,8 +440,7 @@ def _(spark, sf):
     sampled = Undersample(3000).fit(train)
     fitted = fit_model(TREES, sampled.sample(train), DesignMatrix(METR, CATE).fit(df))
     scored = with_residuals(fitted.score(test, sampled.b_sample, sampled.b_all))
-    picked = worst_best_random(scored, "abs_residual", "id", 10, 11, 3)
-    return shap.explain_trees(fitted, picked, b_sample=sampled.b_sample, b_all=sampled.b_all)
+    return shap.explain_trees(fitted, scored, b_sample=sampled.b_sample, b_all=sampled.b_all)
 
 
 @query("coefficient_stability")

@@ -3,6 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
+from conftest import SF
+from tabwright.catalog import frames
 from tabwright.operators.encode import TargetEncoding
 from tabwright.operators.models import ModelSpec, _estimator
 from tabwright.operators.profile import bottom_and_top
@@ -44,3 +47,10 @@ def test_missing_texts(spark, tmp_path):
     path.write_text("a,b\nNaN,NA\n x ,2.5\nNULL,nan\n")
     got = [tuple(r) for r in read_table(spark, str(path), "a string, b double").collect()]
     assert got == [(None, None), (" x ", 2.5), (None, None)]
+
+
+def test_every_test_row_is_explained(spark):
+    test = frames.order_frame(spark, SF).filter("fold = 'test'").select("id")
+    explained = contract.queries()["shap_trees"](spark, SF).groupBy("id").count()
+    assert explained.join(test, "id").count() == explained.count() == test.count()
+    assert explained.select("count").distinct().count() == 1
