@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import ann, language, neardup, offsets, packing, pieces, quality_rules, quality_scores, secrets, token_counts
+from tabwright.llm import ann, language, mixing, neardup, offsets, packing, pieces, quality_rules, quality_scores, secrets, token_counts, variants, whitening
 from tabwright.llm.texts import documents
 
 
@@ -58,6 +58,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir, "doc_id", "text", "source"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir, "doc_id", "text", "source"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -71,8 +83,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_quality_scores,
         op10_secrets,
+        op11_spelling_variants,
+        op12_source_mix,
+        op13_whitening,
     )
 }
 
-# Tokenizers, trained models, samplers and iterative estimates have no SQL; tests/llm holds them against brute force.
-ORACLE: dict[str, str] = {}
+# Tokenizers, trained models, samplers, checksums and iterative estimates have no SQL; tests/llm holds them against brute force.
+ORACLE: dict[str, str] = {"op12_source_mix": mixing.mix_sql()}

@@ -4,7 +4,7 @@ from tabwright.llm.queries import QUERIES
 
 
 def test_names():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert len(corpus_pipeline.STAGES) == 5
 
 
