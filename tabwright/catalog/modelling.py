@@ -25,6 +25,8 @@ METR = ["qty", "lines", "tax", "discount"]
 CATE = ["flag", "status"]
 TREES = ModelSpec("boosted_trees", {"n_estimators": 8, "learning_rate": 0.3, "max_depth": 3, "seed": 1})
 
+FOREST = ModelSpec("random_forest", {"n_estimators": 6, "max_depth": 4, "max_features": 3, "seed": 1})
+
 
 def problem(spark, sf, target="target", target_type="CLASS", n_classes=2, cate=CATE):
     df = order_frame(spark, sf)
@@ -332,7 +334,28 @@ def _(spark, sf):
 def _(spark, sf):
     df = order_frame(spark, sf)
     fitted = fit_model(TREES, df, DesignMatrix(METR, CATE).fit(df), "target3", "MULTICLASS", 3)
-    return interpret.partial_dependence(df, fitted.score, ["qty"], ["flag"], target_type="MULTICLASS", labels=["low", "mid", "high"])
+    return interpret.fitted_dependence(df, fitted, ["qty"], ["flag"], labels=["low", "mid", "high"])
+
+
+def dependence_gap(fitted, df, metr, cate, labels=()):
+    """Grid cells, and those where reading the trees once and scoring a copy per grid value agree."""
+    read = interpret.fitted_dependence(df, fitted, metr, cate, labels=labels)
+    copied = interpret.partial_dependence(df, fitted.score, metr, cate, target_type=fitted.target_type, labels=labels)
+    both = read.join(copied.withColumnRenamed("yhat_mean", "_copied"), ["feature", "value", "target", "type"], "full")
+    close = F.abs(F.col("yhat_mean") - F.col("_copied")) <= 1e-9 * F.greatest(F.lit(1.0), F.abs("_copied"))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(close).alias("n_close"))
+
+
+# the grid of a metric feature has its distinct deciles, that of a categorical one its levels
+CELLS_SQL = f"""(SELECT count(*) FROM (SELECT DISTINCT unnest(quantile_cont(qty, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1])) FROM ({ORDER_SQL}) AS q) AS d)
+    + (SELECT count(DISTINCT flag) FROM ({ORDER_SQL}) AS f)"""
+
+
+@query("partial_dependence_forest", f"SELECT 3 * ({CELLS_SQL}) AS n, 3 * ({CELLS_SQL}) AS n_close")
+def _(spark, sf):
+    df = order_frame(spark, sf)
+    fitted = fit_model(FOREST, df, DesignMatrix(METR, CATE).fit(df), "target3", "MULTICLASS", 3)
+    return dependence_gap(fitted, df, ["qty"], ["flag"], ["low", "mid", "high"])
 
 
 # --- explanations --------------------------------------------------------------------------------------------
@@ -341,13 +364,17 @@ COEFS = {"qty": 0.04, "lines": -0.3, "discount": 6.0}
 COEFS3 = {"qty": [-0.03, 0.0, 0.03], "lines": [0.2, -0.1, 0.1], "discount": [1.0, -4.0, 2.0]}
 
 
-def linear_shap_frame(spark, sf, target_type, b_sample=None, b_all=None):
-    df = order_frame(spark, sf)
+def linear_shap_rows(spark, sf, target_type, b_sample=None, b_all=None, keep=None):
+    df, keep = order_frame(spark, sf), keep or {}
     means = df.agg(*[F.avg(c).alias(c) for c in COEFS]).first().asDict()
     three = target_type == "MULTICLASS"
     parts, intercepts = shap.linear_contributions(COEFS3 if three else COEFS, means, [0.3, 0.1, -0.2] if three else [-1.5])
-    rows = df.select("id", F.col("target3" if three else "target").alias("target"), *COEFS).withColumn("contributions", parts)
-    return shap.shap_frame(rows, "contributions", intercepts, target_type=target_type, b_sample=b_sample, b_all=b_all)
+    rows = df.select("id", F.col("target3" if three else "target").alias("target"), *COEFS, *keep.values()).withColumn("contributions", parts)
+    return shap.explained(rows, "contributions", intercepts, target_type=target_type, b_sample=b_sample, b_all=b_all, keep=list(keep))
+
+
+def linear_shap_frame(spark, sf, target_type, b_sample=None, b_all=None):
+    return shap.long_frame(linear_shap_rows(spark, sf, target_type, b_sample, b_all))
 
 
 def shap_sql(coefs: dict, intercept: float, y: str, extra: str = "") -> str:
@@ -413,9 +440,8 @@ def _(spark, sf):
     f"SELECT count(*) AS n, count(*) AS n_close FROM ({ORDER_SQL}) AS o",
 )
 def _(spark, sf):
-    df = order_frame(spark, sf)
     margin = F.lit(-1.5) + sum(F.lit(b) * F.col(v) for v, b in COEFS.items())
-    return shap.check_shap(linear_shap_frame(spark, sf, "REGR"), df.select("id", margin.alias("yhat")), target_type="REGR")
+    return shap.check_rows(linear_shap_rows(spark, sf, "REGR", keep={"yhat": margin.alias("yhat")}), target_type="REGR")
 
 
 def waterfall_sql(topn: int) -> str:
@@ -430,7 +456,7 @@ def waterfall_sql(topn: int) -> str:
 
 @query("shap_waterfall", waterfall_sql(1), num="bar offset")
 def _(spark, sf):
-    return shap.waterfall(linear_shap_frame(spark, sf, "REGR"), topn=1)
+    return shap.waterfall(linear_shap_rows(spark, sf, "REGR"), topn=1)
 
 
 @query("shap_trees")
@@ -443,6 +469,46 @@ def _(spark, sf):
     return shap.explain_trees(fitted, scored, b_sample=sampled.b_sample, b_all=sampled.b_all)
 
 
+def explained_test_rows(spark, sf, spec, target, target_type, n_classes=2):
+    """Explanations of all test rows by a model of the train rows, with the model's own scores."""
+    df = order_frame(spark, sf).withColumn("target", F.col(target))
+    train, test = df.filter("fold = 'train'"), df.filter("fold = 'test'")
+    fitted = fit_model(spec, train, DesignMatrix(METR, CATE).fit(df), "target", target_type, n_classes)
+    return shap.explain_rows(fitted, fitted.score(test), df_ref=train, keep=["yhat"])
+
+
+EXPLAINED = {
+    "forest_class": (FOREST, "target", "CLASS", 2),
+    "forest_multiclass": (FOREST, "target3", "MULTICLASS", 3),
+    "forest_regression": (FOREST, "y", "REGR", 2),
+    "linear_class": (ModelSpec("elastic_net", {"alpha": 0.01}), "target", "CLASS", 2),
+    "linear_multiclass": (ModelSpec("l1_logistic", {"C": 0.25}), "target3", "MULTICLASS", 3),
+    "linear_regression": (ModelSpec("elastic_net", {"alpha": 1.0}), "y", "REGR", 2),
+    "booster_class": (TREES, "target", "CLASS", 2),
+    "booster_multiclass": (TREES, "target3", "MULTICLASS", 3),
+    "booster_regression": (TREES, "y", "REGR", 2),
+}
+for _name, (_spec, _target, _type, _n) in EXPLAINED.items():
+    # every test row and class: the contributions add up to the prediction
+
+    @query(
+        f"explained_{_name}",
+        f"SELECT {_n if _type == 'MULTICLASS' else 1} * count(*) AS n, {_n if _type == 'MULTICLASS' else 1} * count(*) AS n_close FROM ({ORDER_SQL}) AS o WHERE fold = 'test'",
+    )
+    def _(spark, sf, spec=_spec, target=_target, target_type=_type, n=_n):
+        return shap.check_rows(explained_test_rows(spark, sf, spec, target, target_type, n), "yhat", target_type)
+
+
+@query("shap_forest")
+def _(spark, sf):
+    return shap.long_frame(explained_test_rows(spark, sf, FOREST, "target3", "MULTICLASS", 3))
+
+
+@query("shap_fitted_linear")
+def _(spark, sf):
+    return shap.long_frame(explained_test_rows(spark, sf, ModelSpec("elastic_net", {"alpha": 0.01}), "target", "CLASS"))
+
+
 @query("coefficient_stability")
 def _(spark, sf):
     betas = stability.coefficient_stability(

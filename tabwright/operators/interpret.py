@@ -13,8 +13,10 @@ from tabwright.functions.quantiles import fit_quantiles
 from tabwright.functions.ranks import hashed_index
 from tabwright.functions.scalars import fixed_cut
 from tabwright.operators.metrics import METRICS, SCORERS, score, score_value
+from tabwright.operators.models import Fitted
 from tabwright.operators.profile import running_share, spread, target_profile
 from tabwright.operators.reshape import melt, union_rows
+from tabwright.operators.trees import tree_dependence
 from tabwright.schema import CLASS, MULTICLASS, REGR
 from tabwright.session import settle
 
@@ -184,6 +186,26 @@ def partial_dependence(
     return union_rows(*parts).withColumn("type", kind)
 
 
+def fitted_dependence(
+    df: DataFrame,
+    fitted: Fitted,
+    metr: Sequence[str],
+    cate: Sequence[str],
+    df_ref: DataFrame | None = None,
+    labels: Sequence[str] = (),
+    n: int = 10,
+    b_sample: Sequence[float] | None = None,
+    b_all: Sequence[float] | None = None,
+) -> DataFrame:
+    """`partial_dependence` of a fitted model. Trees are read once per row for all grid values; other models score copies."""
+    if fitted.kind not in ("random_forest", "boosted_trees"):
+        return partial_dependence(df, lambda d: fitted.score(d, b_sample, b_all), metr, cate, df_ref, fitted.target_type, labels, n)
+    grid = dependence_grid(df if df_ref is None else df_ref, metr, cate, n)
+    names = list(labels) if fitted.target_type == MULTICLASS else ["target"]
+    kind = F.when(F.col("feature").isin(*metr), "metr").otherwise("cate") if metr else F.lit("cate")
+    return tree_dependence(fitted, df, grid, names, b_sample, b_all).withColumn("type", kind)
+
+
 def dependence_band(dependence: DataFrame, over_runs: DataFrame, ci: str = "std") -> DataFrame:
     """Add mean, std and sem over repeated runs, and the band yhat_mean ± std or sem."""
     stats = spread(over_runs, ["feature", "value", "target"], "yhat_mean")

@@ -1,17 +1,23 @@
-"""Additive explanations of single predictions: long frame, check and waterfall."""
+"""Additive explanations of single predictions: long frame, check and waterfall.
+
+A row's explanation is built, ordered and summed up inside the row, as an array; frames are exploded last.
+"""
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabwright.functions.predictions import inv_logit, scale_binary, scale_predictions
 from tabwright.operators.models import Fitted, softmax
-from tabwright.operators.trees import tree_contributions
+from tabwright.operators.trees import tree_contributions, tree_link
 from tabwright.schema import CLASS, MULTICLASS, REGR
 
 INTERCEPT = "intercept"
+# How summed contributions become a prediction, by target type, unless the model says otherwise.
+LINKS = {CLASS: "logit", MULTICLASS: "softmax", REGR: "identity"}
 
 
 def linear_contributions(
@@ -27,7 +33,35 @@ def linear_contributions(
     return F.array(*parts), base
 
 
-def shap_frame(
+def linear_model_contributions(fitted: Fitted, df: DataFrame, df_ref: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, list[float]]:
+    """The columns `keep` with the `contributions` of a fitted linear model, and its intercepts.
+
+    A position adds its coefficient times (x - mean over `df_ref`); the positions of a variable are summed. Outputs
+    are logits for class targets.
+    """
+
+    def ready(frame: DataFrame) -> DataFrame:
+        return frame if fitted.features in frame.columns else fitted.design.transform(frame)
+
+    model, regression = fitted.models[0], fitted.target_type == REGR
+    betas = [model.coefficients.toArray()] if regression else list(model.coefficientMatrix.toArray())
+    base = [float(model.intercept)] if regression else [float(b) for b in model.interceptVector]
+    means = ready(df_ref).select(Summarizer.mean(F.col(fitted.features))).first()[0].toArray()
+    spans: dict[str, list[int]] = {}
+    for position, variable, _ in fitted.design.positions():
+        spans.setdefault(variable, []).append(position)
+    x = vector_to_array(fitted.features)
+
+    def part(beta, at: list[int]) -> Column:
+        own = F.slice(x, at[0] + 1, len(at))
+        weighed = F.zip_with(own, F.lit(beta[at]), lambda v, b: v * b)
+        return F.aggregate(weighed, F.lit(0.0), lambda total, v: total + v) - F.lit(float(beta[at] @ means[at]))
+
+    parts = [F.struct(F.lit(v).alias("variable"), F.array(*[part(b, at) for b in betas]).alias("shap")) for v, at in spans.items()]
+    return ready(df).select(*keep, F.array(*parts).alias("contributions")), [i + float(b @ means) for i, b in zip(base, betas)]
+
+
+def explained(
     df: DataFrame,
     contributions: str,
     intercepts: Sequence[float],
@@ -36,97 +70,167 @@ def shap_frame(
     target_type: str = CLASS,
     b_sample: Sequence[float] | None = None,
     b_all: Sequence[float] | None = None,
+    link: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Long explanation frame, one row per row, (class,) and variable.
+    """One row per row and class: id, y, (target,) the columns `keep`, and `explanation`, an array in order of rank.
 
-    Order inside a row: the intercept, then falling |shap|, ties by variable. `yhat` is the prediction that the
-    variables up to this rank add up to. The values of all classes travel with each row, so the running softmax
-    of a multi-class target needs no join.
+    Its elements hold variable, variable_value, shap_value, flag_intercept, abs_shap_value, shap_value_cum, rank and
+    yhat: the intercept, then falling |shap|, ties by variable; `yhat` is the prediction that the variables up to this
+    rank add up to. Class k is ordered by its own contributions while the values of all classes are summed in that
+    order. `link` tells how sums become predictions (see LINKS). Narrow: no rows move.
     """
+    link = link or LINKS[target_type]
     values = F.create_map(
-        *[x for c in df.columns if c not in (key, target, contributions) for x in (F.lit(c), F.col(c).cast("string"))]
+        *[x for c in df.columns if c not in (key, target, contributions, *keep) for x in (F.lit(c), F.col(c).cast("string"))]
     )
-    head = F.array(F.struct(F.lit(INTERCEPT).alias("variable"), F.array(*[F.lit(float(i)) for i in intercepts]).alias("shap")))
-    long = df.select(
-        F.col(key).alias("id"),
-        F.col(target).alias("y"),
-        values.alias("_values"),
-        F.inline(F.concat(head, F.col(contributions))),
-    ).select("id", "y", "variable", "shap", F.try_element_at("_values", F.col("variable")).alias("variable_value"))
-    long = long.select("*", F.posexplode("shap").alias("target", "shap_value")).withColumns(
-        {"flag_intercept": (F.col("variable") == INTERCEPT).cast("int"), "abs_shap_value": F.abs("shap_value")}
-    )
-    order = W.partitionBy("id", "target").orderBy(F.desc("flag_intercept"), F.desc("abs_shap_value"), F.asc("variable"))
-    running = order.rowsBetween(W.unboundedPreceding, 0)
-    k = len(intercepts)
-    out = long.withColumns({"shap_value_cum": F.sum("shap_value").over(running), "rank": F.row_number().over(order)})
-    if target_type == MULTICLASS:
-        sums = F.array(*[F.sum(F.col("shap")[i]).over(running) for i in range(k)])
-        out = out.withColumn("_sums", sums)
-        out = out.withColumn("yhat", scale_predictions(softmax(F.col("_sums")), b_sample, b_all)[F.col("target")])
-    elif target_type == CLASS:
-        out = out.withColumn("yhat", scale_binary(inv_logit("shap_value_cum"), b_sample, b_all))
-    else:
-        out = out.withColumn("yhat", F.col("shap_value_cum"))
+    first = F.array(*[F.lit(float(i)) for i in intercepts])
+
+    def predicted(sums: Column, k: int) -> Column:
+        if target_type == MULTICLASS:
+            return scale_predictions(softmax(sums) if link == "softmax" else sums, b_sample, b_all)[k]
+        if target_type == CLASS:
+            return scale_binary(inv_logit(sums[0]) if link == "logit" else sums[0], b_sample, b_all)
+        return sums[0]
+
+    def ranked(k: int) -> Column:
+        items = F.array_sort(
+            F.transform(contributions, lambda c: F.struct((-F.abs(c["shap"][k])).alias("o"), c["variable"].alias("variable"), c["shap"].alias("shap")))
+        )
+        none = F.array().cast("array<struct<variable:string,shap:double,sums:array<double>>>")
+        head = F.struct(F.lit(INTERCEPT).alias("variable"), first[k].alias("shap"), first.alias("sums"))
+
+        def step(state: Column, c: Column) -> Column:
+            sums = F.zip_with(state["sums"], c["shap"], lambda a, b: a + b)
+            row = F.struct(c["variable"].alias("variable"), c["shap"][k].alias("shap"), sums.alias("sums"))
+            return F.struct(sums.alias("sums"), F.array_append(state["rows"], row).alias("rows"))
+
+        start = F.struct(first.alias("sums"), F.concat(none, F.array(head)).alias("rows"))
+        rows = F.aggregate(items, start, step, lambda state: state["rows"])
+        return F.transform(
+            rows,
+            lambda r, i: F.struct(
+                r["variable"].alias("variable"),
+                F.try_element_at(F.col("_values"), r["variable"]).alias("variable_value"),
+                r["shap"].alias("shap_value"),
+                (i == 0).cast("int").alias("flag_intercept"),
+                F.abs(r["shap"]).alias("abs_shap_value"),
+                r["sums"][k].alias("shap_value_cum"),
+                (i + 1).cast("int").alias("rank"),
+                predicted(r["sums"], k).alias("yhat"),
+            ),
+        )
+
+    rows = df.withColumn("_values", values).select(F.col(key).alias("id"), F.col(target).alias("y"), "_values", contributions, *keep)
+    if target_type != MULTICLASS:
+        return rows.select("id", "y", *keep, ranked(0).alias("explanation"))
+    per_class = F.array(*[F.struct(F.lit(k).alias("target"), ranked(k).alias("explanation")) for k in range(len(intercepts))])
+    return rows.select("id", "y", *keep, F.inline(per_class))
+
+
+def long_frame(rows: DataFrame) -> DataFrame:
+    """`explained` rows with one row per rank."""
     columns = ["id", "variable", "shap_value", "variable_value", "target", "flag_intercept", "abs_shap_value", "shap_value_cum", "rank", "yhat", "y"]
-    return out.select(*[c for c in columns if c != "target" or target_type == MULTICLASS])
+    out = rows.select(*[c for c in ("id", "y", "target") if c in rows.columns], F.inline("explanation"))
+    return out.select(*[c for c in columns if c in out.columns])
+
+
+def shap_frame(df: DataFrame, contributions: str, intercepts: Sequence[float], *args, **kwargs) -> DataFrame:
+    """Long explanation frame, one row per row, (class,) and variable; arguments as for `explained`."""
+    return long_frame(explained(df, contributions, intercepts, *args, **kwargs))
+
+
+def explain_rows(
+    fitted: Fitted,
+    df: DataFrame,
+    key: str = "id",
+    target: str = "target",
+    b_sample: Sequence[float] | None = None,
+    b_all: Sequence[float] | None = None,
+    df_ref: DataFrame | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """`explained` rows of any fitted ensemble of trees or linear model.
+
+    Boosters and linear classifiers are explained in logits, forests in probabilities, regressions in the target. The
+    reference of a linear model is the mean of `df_ref` (default: `df`); that of trees are their training rows.
+    """
+    columns = list(dict.fromkeys([key, target, *fitted.design.metr, *fitted.design.cate, *keep]))
+    if fitted.kind in ("random_forest", "boosted_trees"):
+        parts, intercepts = tree_contributions(fitted, df, columns)
+        link = tree_link(fitted)
+    elif fitted.kind in ("elastic_net", "l1_logistic"):
+        parts, intercepts = linear_model_contributions(fitted, df, df if df_ref is None else df_ref, columns)
+        link = LINKS[fitted.target_type]
+    else:
+        raise ValueError(f"{fitted.kind} has no additive explanation")
+    return explained(parts, "contributions", intercepts, key, target, fitted.target_type, b_sample, b_all, link, keep)
+
+
+def explain(fitted: Fitted, df: DataFrame, key: str = "id", target: str = "target", b_sample=None, b_all=None, df_ref: DataFrame | None = None) -> DataFrame:
+    """Long explanation frame of any fitted ensemble of trees or linear model."""
+    return long_frame(explain_rows(fitted, df, key, target, b_sample, b_all, df_ref))
 
 
 def explain_trees(fitted: Fitted, df: DataFrame, key: str = "id", target: str = "target", b_sample=None, b_all=None) -> DataFrame:
-    """`shap_frame` of a boosted ensemble."""
-    parts, intercepts = tree_contributions(fitted, df, key)
-    features = [*fitted.design.metr, *fitted.design.cate]
-    joined = df.select(key, target, *features).join(parts, key)
-    return shap_frame(joined, "contributions", intercepts, key, target, fitted.target_type, b_sample, b_all)
+    """`explain` for an ensemble of trees."""
+    return explain(fitted, df, key, target, b_sample, b_all)
 
 
-def check_shap(shap: DataFrame, scored: DataFrame, key: str = "id", target_type: str = CLASS, yhat: str = "yhat", rtol: float = 1e-5, atol: float = 1e-8) -> DataFrame:
-    """Whether the contributions of each row add up to its prediction: (n, n_close)."""
-    last = W.partitionBy("id")
-    final = shap.withColumn("_last", F.max("rank").over(last)).filter(F.col("rank") == F.col("_last"))
+def _expected(yhat: Column, target_type: str) -> Column:
+    """The prediction that an explanation has to reach."""
     if target_type == REGR:
-        expected = F.col("_yhat")
-    elif target_type == CLASS:
-        expected = F.col("_yhat")[1]
-    else:
-        expected = F.col("_yhat")[F.col("target")]
+        return yhat
+    return yhat[1] if target_type == CLASS else yhat[F.col("target")]
+
+
+def _closeness(reached: Column, wanted: Column, rtol: float, atol: float) -> list[Column]:
+    close = F.abs(reached - wanted) <= atol + rtol * F.abs(wanted)
+    return [F.count(F.lit(1)).alias("n"), F.count_if(close).alias("n_close")]
+
+
+def check_rows(rows: DataFrame, yhat: str = "yhat", target_type: str = CLASS, rtol: float = 1e-5, atol: float = 1e-8) -> DataFrame:
+    """Whether the contributions of each row add up to its prediction `yhat` (a kept column): (n, n_close), one narrow pass."""
+    return rows.agg(*_closeness(F.element_at("explanation", -1)["yhat"], _expected(F.col(yhat), target_type), rtol, atol))
+
+
+def check_shap(shap: DataFrame, scored: DataFrame, key: str = "id", target_type: str = CLASS, yhat: str = "yhat", rtol: float = 1e-5, atol: float = 1e-8) -> DataFrame:
+    """`check_rows` for a long frame and scores that are held apart."""
+    final = shap.groupBy(*[c for c in ("id", "target") if c in shap.columns]).agg(F.max_by("yhat", "rank").alias("_reached"))
     pairs = final.join(scored.select(F.col(key).alias("id"), F.col(yhat).alias("_yhat")), "id")
-    close = F.abs(F.col("yhat") - expected) <= atol + rtol * F.abs(expected)
-    return pairs.agg(F.count(F.lit(1)).alias("n"), F.count_if(close).alias("n_close"))
+    return pairs.agg(*_closeness(F.col("_reached"), _expected(F.col("_yhat"), target_type), rtol, atol))
 
 
 def true_class_only(shap: DataFrame) -> DataFrame:
-    """Explanations of the true class of each row."""
+    """Explanations of the true class of each row, from `explained` rows or from a long frame."""
     return shap.filter(F.col("target") == F.col("y"))
 
 
-def waterfall(shap: DataFrame, topn: int | None = None) -> DataFrame:
-    """Bars of the waterfall picture: (id, position, bar_label, bar, offset, sign).
+def waterfall(rows: DataFrame, topn: int | None = None) -> DataFrame:
+    """Bars of the waterfall picture from `explained` rows: (id, position, bar_label, bar, offset, sign).
 
-    The intercept and the topn largest contributions, the others as one bar, and the prediction.
+    The intercept and the topn largest contributions, the others as one bar, and the prediction. Narrow.
     """
-    order = W.partitionBy("id").orderBy("rank")
-    label = F.when(F.col("variable") == INTERCEPT, F.lit(INTERCEPT)).otherwise(
-        F.concat(F.col("variable"), F.lit(" = "), F.coalesce(F.col("variable_value"), F.lit("None")))
-    )
-    bars = shap.select("id", "rank", "yhat", label.alias("bar_label"), F.lag("yhat", 1, 0.0).over(order).alias("offset"))
-    bars = bars.withColumn("bar", F.col("yhat") - F.col("offset"))
-    if topn is not None:
-        rest = F.col("rank") > topn + 1
-        bars = (
-            bars.withColumn("bar_label", F.when(rest, "... the rest").otherwise(F.col("bar_label")))
-            .withColumn("_place", F.least("rank", F.lit(topn + 2)))
-            .groupBy("id", "_place", "bar_label")
-            .agg(F.sum("bar").alias("bar"), F.min_by("offset", "rank").alias("offset"))
-            .withColumnRenamed("_place", "rank")
-        )
-    bars = bars.select("id", F.col("rank").alias("position"), "bar_label", "bar", "offset")
-    final = shap.groupBy("id").agg(F.max("rank").alias("position"), F.max_by("yhat", "rank").alias("bar"))
-    final = final.select("id", (F.col("position") + 1).alias("position"), F.lit("Prediction").alias("bar_label"), "bar", F.lit(0.0).alias("offset"))
+    steps, last = F.col("explanation"), F.element_at("explanation", -1)
+    shown = F.size(steps) if topn is None else F.least(F.size(steps), F.lit(topn + 1))
+    before = F.when(shown > 0, F.element_at(steps, shown)["yhat"])
+
+    def bar(position: Column, label: Column, height: Column, offset: Column) -> Column:
+        return F.struct(position.cast("int").alias("position"), label.alias("bar_label"), height.alias("bar"), offset.alias("offset"))
+
+    def of_step(s: Column, i: Column) -> Column:
+        offset = F.when(i == 0, F.lit(0.0)).otherwise(F.element_at(steps, F.greatest(i, F.lit(1)))["yhat"])
+        text = F.concat(s["variable"], F.lit(" = "), F.coalesce(s["variable_value"], F.lit("None")))
+        return bar(s["rank"], F.when(s["flag_intercept"] == 1, F.lit(INTERCEPT)).otherwise(text), s["yhat"] - offset, offset)
+
+    bars = F.transform(F.slice(steps, F.lit(1), shown), of_step)
+    rest = F.array(bar(shown + 1, F.lit("... the rest"), last["yhat"] - before, before))
+    bars = F.when(shown < F.size(steps), F.concat(bars, rest)).otherwise(bars)
+    final = F.array(bar(F.size(steps) + 1, F.lit("Prediction"), last["yhat"], F.lit(0.0)))
     sign = (
         F.when(F.col("bar_label") == INTERCEPT, "intercept")
         .when(F.col("bar_label") == "Prediction", "prediction")
         .when(F.col("bar") > 0, "positive")
         .otherwise("negative")
     )
-    return bars.unionByName(final).withColumn("sign", sign)
+    return rows.select("id", F.inline(F.concat(bars, final))).withColumn("sign", sign)

@@ -1,15 +1,16 @@
-"""Boosted ensembles as tables: staged scores and additive contributions."""
+"""Tree ensembles as tables: staged scores, additive contributions and partial dependence."""
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from math import factorial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.operators.models import Fitted, margin_to_yhat
+from tabwright.schema import MULTICLASS, REGR
 from tabwright.session import checkpoint_dir
 
 
@@ -60,113 +61,322 @@ def staged_scores(fitted: Fitted, df: DataFrame, stages: Sequence[int], name: st
 
 # --- additive contributions ------------------------------------------------------------------------------
 
-
-def _leaf_paths(nodes: list[dict]) -> tuple[list[dict], list[tuple[float, list[tuple[int, bool, float]]]]]:
-    """Inner nodes of one tree, and per leaf its value with its path (inner node, goes left, share of training rows)."""
-    by_id = {n["id"]: n for n in nodes}
-    leaves: list[tuple[float, list[tuple[int, bool, float]]]] = []
-    stack: list[tuple[int, list[tuple[int, bool, float]]]] = [(0, [])]
-    while stack:
-        i, path = stack.pop()
-        n = by_id[i]
-        if n["leftChild"] < 0:
-            leaves.append((n["prediction"], path))
-            continue
-        for child, left in ((n["leftChild"], True), (n["rightChild"], False)):
-            stack.append((child, [*path, (i, left, by_id[child]["rawCount"] / n["rawCount"])]))
-    return [n for n in nodes if n["leftChild"] >= 0], leaves
+CELLS = 4_000_000  # numbers in one temporary array of a task
 
 
-def _tree_shap(nodes: list[dict], weight: float, x: np.ndarray, column: dict[int, int], out: np.ndarray) -> float:
-    """Add the path-dependent Shapley values of one tree to `out`; returns the tree's mean prediction.
+class TreePaths:
+    """A fitted tree prepared for many rows: what each leaf asks of each player on its path.
 
-    A leaf is reached if all features on its path agree. Feature j of the path counts as present with its
-    indicator o_j and as absent with the share z_j of training rows that take the path, so the Shapley sum
-    over subsets is read off the coefficients of the polynomial prod (z_j + o_j t).
+    A player is a feature, or a group of features that are set together; `player` maps a feature to its number and
+    `column` to its place in a row. A pair (leaf, player) is satisfied by a row if all conditions on the leaf's path
+    that concern the player are. `values` holds one row per leaf, and belongs to the outputs from `first` on.
     """
-    inner, leaves = _leaf_paths(nodes)
-    left = {}
-    for n in inner:
-        v, split = x[:, column[n["split"]["featureIndex"]]], n["split"]
-        rule = split["leftCategoriesOrThreshold"]
-        left[n["id"]] = np.isin(v, rule) if split["numCategories"] >= 0 else v <= rule[0]
-    feature = {n["id"]: n["split"]["featureIndex"] for n in inner}
-    mean = 0.0
-    for value, path in leaves:
-        present: dict[int, np.ndarray] = {}
-        absent: dict[int, float] = {}
-        for node, goes_left, share in path:
-            f = feature[node]
-            hit = left[node] if goes_left else ~left[node]
-            present[f] = hit if f not in present else present[f] & hit
-            absent[f] = absent.get(f, 1.0) * share
-        mean += weight * value * float(np.prod(list(absent.values()))) if absent else weight * value
-        names, d = list(present), len(present)
-        for f in names:
-            poly = [np.ones(len(x))]
-            for g in names:
-                if g == f:
-                    continue
-                grown = [absent[g] * c for c in poly] + [np.zeros(len(x))]
-                for s, c in enumerate(poly):
-                    grown[s + 1] = grown[s + 1] + present[g] * c
-                poly = grown
-            total = sum(factorial(s) * factorial(d - s - 1) / factorial(d) * c for s, c in enumerate(poly))
-            out[:, column[f]] += weight * value * (present[f] - absent[f]) * total
-    return mean
-
-
-def tree_contributions(fitted: Fitted, df: DataFrame, key: str) -> tuple[DataFrame, list[float]]:
-    """Per row and variable the additive contribution to the margin of each class: (key, contributions), and the intercepts.
-
-    `contributions` is an array of (variable, shap array with one value per ensemble). A class margin is
-    reported as a logit. The node tables travel with the task; rows stay where they are.
+
+    def __init__(self, nodes: list[dict], values: np.ndarray, first: int, column: dict[int, int], player: dict[int, int]):
+        by_id = {n["id"]: n for n in nodes}
+        self.splits = [n for n in nodes if n["leftChild"] >= 0]
+        place = {n["id"]: i for i, n in enumerate(self.splits)}
+        leaves: list[list[tuple[int, int, bool, float]]] = []  # per leaf: player, split, goes left, share of training rows
+        stack: list[tuple[int, list[tuple[int, int, bool, float]]]] = [(nodes[0]["id"], [])]
+        found: dict[int, list[tuple[int, int, bool, float]]] = {}
+        while stack:
+            i, path = stack.pop()
+            n = by_id[i]
+            if n["leftChild"] < 0:
+                found[i] = path
+                continue
+            who = player[n["split"]["featureIndex"]]
+            for child, left in ((n["leftChild"], True), (n["rightChild"], False)):
+                stack.append((child, [*path, (who, place[i], left, by_id[child]["rawCount"] / n["rawCount"])]))
+        leaves = [sorted(found[i]) for i in sorted(found)]  # ids are in preorder, as are the values
+        flat = [(k, *step) for k, path in enumerate(leaves) for step in path]
+        self.node = np.array([s[2] for s in flat], np.int64)
+        self.left = np.array([s[3] for s in flat], bool)
+        pairs = np.array([(s[0], s[1]) for s in flat], np.int64).reshape(-1, 2)
+        new = np.ones(len(flat), bool)
+        new[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
+        self.starts = np.flatnonzero(new)
+        self.leaf_of, self.player_of = pairs[self.starts].T
+        self.share = np.multiply.reduceat(np.array([s[4] for s in flat]), self.starts) if flat else np.zeros(0)
+        self.size = np.bincount(self.leaf_of, minlength=len(leaves))  # players of each leaf
+        self.slot = np.arange(len(self.starts)) - (np.cumsum(self.size) - self.size)[self.leaf_of]
+        self.columns = np.array([column[n["split"]["featureIndex"]] for n in self.splits], np.int64)
+        self.categorical = [(i, n["split"]["leftCategoriesOrThreshold"]) for i, n in enumerate(self.splits) if n["split"]["numCategories"] >= 0]
+        self.limits = np.array([n["split"]["leftCategoriesOrThreshold"][0] if n["split"]["numCategories"] < 0 else np.nan for n in self.splits])
+        self.values, self.outputs = values, slice(first, first + values.shape[1])
+        depth = max(self.size.max(initial=0), 1)
+        self.chunk = max(1, CELLS // (max(len(leaves), 1) * (depth + 1) + len(flat)))
+        weights = np.zeros((len(leaves), depth + 1))
+        for k, d in enumerate(self.size):
+            weights[k, :d] = [factorial(s) * factorial(d - s - 1) / factorial(d) for s in range(d)]
+        self.weights = weights
+        self.padded = np.ones((len(leaves), depth))
+        self.padded[self.leaf_of, self.slot] = self.share
+
+    @property
+    def mean(self) -> np.ndarray:
+        """The mean prediction over the training rows that the shares count."""
+        return self.padded.prod(axis=1) @ self.values
+
+    def satisfied(self, x: np.ndarray) -> np.ndarray:
+        """For each row and pair whether the row satisfies it."""
+        if not len(self.starts):
+            return np.zeros((len(x), 0), bool)
+        left = x[:, self.columns] <= self.limits
+        for i, categories in self.categorical:
+            left[:, i] = np.isin(x[:, self.columns[i]], categories)
+        return np.logical_and.reduceat(left[:, self.node] == self.left, self.starts, axis=1)
+
+    def by_leaf(self, pairs: np.ndarray) -> np.ndarray:
+        """Sums of the pairs of each leaf, for each row."""
+        if not len(self.starts):
+            return np.zeros((len(pairs), len(self.values)), np.int64)
+        return np.add.reduceat(pairs, np.cumsum(self.size) - self.size, axis=1, dtype=np.int64)
+
+    def add_contributions(self, x: np.ndarray, out: np.ndarray) -> None:
+        """Add the path-dependent Shapley values of all players to `out` (rows, players, outputs).
+
+        Player j counts as present with its indicator o_j and as absent with the share z_j of training rows that take
+        the path, so the Shapley sum over subsets is read off the coefficients of prod (z_j + o_j t) without the
+        factor of the player itself: one product for a leaf, from which each factor is divided out.
+        """
+        for start in range(0, len(x) if len(self.starts) else 0, self.chunk):
+            rows = slice(start, start + self.chunk)
+            hit = self.satisfied(x[rows])
+            n, (leaves, depth) = len(hit), self.padded.shape
+            o = np.zeros((n, leaves, depth))
+            o[:, self.leaf_of, self.slot] = hit
+            product = np.zeros((n, leaves, depth + 1))
+            product[..., 0] = 1.0
+            for j in range(depth):
+                grown = product * self.padded[:, j, None]
+                grown[..., 1:] += product[..., :-1] * o[..., j, None]
+                product = grown
+            own = np.zeros((n, leaves, depth))
+            for j in range(depth):
+                z, present = self.padded[:, j], o[..., j] > 0
+                carried, total = product[..., depth].copy(), np.zeros((n, leaves))
+                for s in range(depth - 1, -1, -1):
+                    total += self.weights[:, s] * np.where(present, carried, product[..., s] / z)
+                    carried = product[..., s] - z * carried
+                own[..., j] = (o[..., j] - z) * total
+            pairs = own[:, self.leaf_of, self.slot]
+            for p in np.unique(self.player_of):
+                mine = np.flatnonzero(self.player_of == p)
+                out[rows, p, self.outputs] += pairs[:, mine] @ self.values[self.leaf_of[mine]]
+
+
+def _leaf_value(node: dict, fitted: Fitted) -> list[float]:
+    """What a leaf adds: class shares in a classification forest (P(y = 1) for two classes), else its prediction."""
+    if fitted.kind != "random_forest" or fitted.target_type == REGR:
+        return [node["prediction"]]
+    counts = [*node["impurityStats"], *[0.0] * fitted.n_classes][: fitted.n_classes]
+    shares = [c / sum(counts) for c in counts]
+    return shares if fitted.target_type == MULTICLASS else shares[1:]
+
+
+def tree_link(fitted: Fitted) -> str:
+    """How the summed outputs of a tree ensemble become a prediction: `identity`, `logit` or `softmax`."""
+    if fitted.kind == "random_forest" or fitted.target_type == REGR:
+        return "identity"
+    return "softmax" if fitted.target_type == MULTICLASS else "logit"
+
+
+def prepare_trees(fitted: Fitted, folder: str, player: Callable[[int], int] | None = None) -> tuple[list[TreePaths], list[int], int]:
+    """All trees of a fitted ensemble, the features they use, and the number of outputs.
+
+    Outputs add up over trees to the prediction of a forest or regression, and to the logits of a booster. `player`
+    groups features (by default each one is its own, numbered by its place among those used).
     """
-    scale = 1.0 if fitted.target_type == "REGR" else 2.0
-    folder = checkpoint_dir(df.sparkSession)
-    ensembles = []
-    for m in fitted.models:
+    raw: list[tuple[list[dict], float, int]] = []
+    for i, model in enumerate(fitted.models):
         trees: dict[int, list[dict]] = {}
-        for n in node_table(m, folder):
+        for n in node_table(model, folder):
             trees.setdefault(n["treeID"], []).append(n)
-        ensembles.append([(trees[t], scale * m.treeWeights[t]) for t in sorted(trees)])
-    used = sorted({n["split"]["featureIndex"] for e in ensembles for nodes, _ in e for n in nodes if n["leftChild"] >= 0})
+        scale = 2.0 if tree_link(fitted) != "identity" else 1.0  # a boosting margin is half a logit
+        total = sum(model.treeWeights) if fitted.kind == "random_forest" else 1.0
+        raw += [(trees[t], scale * model.treeWeights[t] / total, i) for t in sorted(trees)]
+    used = sorted({n["split"]["featureIndex"] for nodes, *_ in raw for n in nodes if n["leftChild"] >= 0})
     column = {f: i for i, f in enumerate(used)}
-    blank = np.zeros((1, max(len(used), 1)))
-    intercepts = [sum(_tree_shap(nodes, w, blank, column, blank.copy()) for nodes, w in e) for e in ensembles]
+    players = column if player is None else {f: player(f) for f in used}
+    out = []
+    for nodes, weight, first in raw:
+        values = weight * np.array([_leaf_value(n, fitted) for n in nodes if n["leftChild"] < 0])
+        out.append(TreePaths(nodes, values, first, column, players))
+    return out, used, max(t.outputs.stop for t in out)
 
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            x = np.stack(batch["_x"].to_list()) if used else np.zeros((len(batch), 1))
-            result = {key: batch[key]}
-            for i, e in enumerate(ensembles):
-                out = np.zeros((len(batch), max(len(used), 1)))
-                for nodes, w in e:
-                    _tree_shap(nodes, w, x, column, out)
-                result[f"_s{i}"] = list(out)
-            yield pd.DataFrame(result)
 
+def used_inputs(fitted: Fitted, df: DataFrame, used: Sequence[int]) -> tuple[DataFrame, Column]:
+    """`df` with its design matrix, and the array of the used features of a row."""
     ready = df if fitted.features in df.columns else fitted.design.transform(df)
     dense = vector_to_array(fitted.features)
-    cells = F.array(*[dense[f] for f in used]) if used else F.array(F.lit(0.0))
-    key_type = df.schema[key].dataType.simpleString()
-    schema = ", ".join([f"`{key}` {key_type}"] + [f"_s{i} array<double>" for i in range(len(ensembles))])
-    raw = ready.select(key, cells.alias("_x")).mapInPandas(explain, schema)
-
-    slots: dict[str, list[int]] = {}
-    for position, variable, _ in fitted.design.positions():
-        slots.setdefault(variable, [])
-        if position in column:
-            slots[variable].append(column[position])
-
-    def total(i: int, columns: list[int]) -> Column:
-        out = F.lit(0.0)
-        for c in columns:
-            out = out + F.col(f"_s{i}")[c]
-        return out
+    return ready, F.array(*[dense[f] for f in used]) if used else F.array(F.lit(0.0))
+
+
+def matrix(batch: pa.RecordBatch, column: str) -> np.ndarray:
+    """A column of equally long arrays."""
+    return batch.column(column).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+
 
+def tree_contributions(fitted: Fitted, df: DataFrame, keep: str | Sequence[str]) -> tuple[DataFrame, list[float]]:
+    """The columns `keep` of `df` with `contributions`, and the intercepts.
+
+    `contributions` is an array of (variable, shap array with one value per output); the values of one-hot positions
+    are summed to their variable. Outputs are logits for boosters, else predictions (see `tree_link`). The trees are
+    prepared once and travel with the task; rows stay where they are, with their other columns.
+    """
+    keep = [keep] if isinstance(keep, str) else list(keep)
+    trees, used, outputs = prepare_trees(fitted, checkpoint_dir(df.sparkSession))
+    intercepts = np.zeros(outputs)
+    for t in trees:
+        intercepts[t.outputs] += t.mean
+    variables = list(dict.fromkeys(variable for _, variable, _ in fitted.design.positions()))
+    owner = {position: variables.index(variable) for position, variable, _ in fitted.design.positions()}
+    to_variable = np.zeros((len(used), len(variables)))
+    for i, f in enumerate(used):
+        to_variable[i, owner[f]] = 1.0
+
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = matrix(batch, "_x")
+            out = np.zeros((len(x), len(used), outputs))
+            for t in trees:
+                t.add_contributions(x, out)
+            summed = np.einsum("rfk,fv->rvk", out, to_variable)
+            width = len(variables) * outputs
+            flat = pa.array(np.ascontiguousarray(summed).ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, width * len(x) + 1, max(width, 1), dtype=np.int32)), flat)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], lists], names=[*keep, "_s"])
+
+    ready, cells = used_inputs(fitted, df, used)
+    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + ["_s array<double>"])
+    raw = ready.select(*keep, cells.alias("_x")).mapInArrow(explain, schema)
     parts = [
-        F.struct(F.lit(v).alias("variable"), F.array(*[total(i, cs) for i in range(len(ensembles))]).alias("shap"))
-        for v, cs in slots.items()
+        F.struct(F.lit(v).alias("variable"), F.slice("_s", i * outputs + 1, outputs).alias("shap"))
+        for i, v in enumerate(variables)
     ]
-    return raw.select(key, F.array(*parts).alias("contributions")), intercepts
+    return raw.select(*keep, F.array(*parts).alias("contributions")), intercepts.tolist()
+
+
+# --- partial dependence ----------------------------------------------------------------------------------
+
+
+def _grid_cells(trees: Sequence[TreePaths], grids: Sequence[np.ndarray]) -> tuple[list[np.ndarray], list[list[np.ndarray]]]:
+    """Per grid the cell of each of its values, and per grid and tree which leaves each cell can reach.
+
+    Values that no split of the ensemble tells apart share a cell, so cells are bounded by the splits.
+    """
+    cells, reach = [], []
+    for v, grid in enumerate(grids):
+        seen: dict[bytes, int] = {}
+        number, first = np.zeros(len(grid), np.int64), []
+        for start in range(0, len(grid), 4096):
+            part = grid[start : start + 4096]
+            open_ = []
+            for t in trees:
+                hit, mine = t.satisfied(part), np.flatnonzero(t.player_of == v)
+                able = np.ones((len(part), len(t.values)), bool)
+                able[:, t.leaf_of[mine]] = hit[:, mine]
+                open_.append(able)
+            for i, code in enumerate(np.packbits(np.concatenate(open_, axis=1), axis=1)):
+                key = code.tobytes()
+                if key not in seen:
+                    seen[key] = len(seen)
+                    first.append([able[i] for able in open_])
+                number[start + i] = seen[key]
+        cells.append(number)
+        reach.append([np.array([f[t] for f in first]).reshape(len(first), -1) for t in range(len(trees))])
+    return cells, reach
+
+
+def tree_dependence(
+    fitted: Fitted,
+    df: DataFrame,
+    grid: dict[str, list],
+    labels: Sequence[str] = ("target",),
+    b_sample: Sequence[float] | None = None,
+    b_all: Sequence[float] | None = None,
+) -> DataFrame:
+    """Mean prediction over all rows with one variable set to each grid value: (feature, value, target, yhat_mean).
+
+    No row is copied. A row reaches a leaf for some values of a variable if it satisfies the path's conditions on
+    all others; with the leaves each value can reach, known beforehand, one reading of a tree gives the row's outputs
+    for all values of all variables. Values are handled in cells that no split tells apart, so the work depends on
+    the trees and not on the length of the grid. Tasks send one sum per variable, cell and class.
+    """
+    variables = list(grid)
+    number = {v: i for i, v in enumerate(variables)}
+    owner = {position: number.get(variable, len(variables)) for position, variable, _ in fitted.design.positions()}
+    trees, used, outputs = prepare_trees(fitted, checkpoint_dir(df.sparkSession), owner.__getitem__)
+    values = {v: list(dict.fromkeys(vs)) for v, vs in grid.items()}
+    slots = {f: i for i, f in enumerate(used)}
+    points = []
+    for v in variables:
+        inputs = np.zeros((len(values[v]), max(len(used), 1)))
+        place = {g: i for i, g in enumerate(values[v])}
+        for position, variable, level in fitted.design.positions():
+            if variable != v or position not in slots:
+                continue
+            if level is None:
+                inputs[:, slots[position]] = [float(g) for g in values[v]]
+            elif level in place:
+                inputs[place[level], slots[position]] = 1.0
+        points.append(inputs)
+    cells, reach = _grid_cells(trees, points)
+    link, target_type = tree_link(fitted), fitted.target_type
+    factor = None if b_sample is None else np.array([a / s for a, s in zip(b_all, b_sample)])
+
+    def prediction(sums: np.ndarray) -> np.ndarray:
+        """Outputs (…, k) to predictions, those of class 1 for two classes."""
+        if target_type == REGR:
+            return sums
+        if link == "softmax":
+            p = np.exp(sums - sums.max(axis=-1, keepdims=True))
+            p /= p.sum(axis=-1, keepdims=True)
+        elif target_type == MULTICLASS:
+            p = sums
+        else:
+            one = sums if link == "identity" else 1 / (1 + np.exp(-sums))
+            p = np.concatenate([1 - one, one], axis=-1)
+        if factor is not None:
+            p = p * factor
+            p = p / p.sum(axis=-1, keepdims=True)
+        return p if target_type == MULTICLASS else p[..., 1:]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros((len(r[0]), outputs)) for r in reach]
+        n = 0
+        chunk = max(1, CELLS // (outputs * max([len(r[0]) for r in reach], default=1) + max(t.node.size + len(t.values) for t in trees)))
+        for batch in batches:
+            whole = matrix(batch, "_x")
+            for start in range(0, len(whole), chunk):
+                x = whole[start : start + chunk]
+                margins = [np.zeros((len(x), len(r[0]), outputs)) for r in reach]
+                for k, t in enumerate(trees):
+                    missed = ~t.satisfied(x)
+                    failed = t.by_leaf(missed)
+                    plain = (failed == 0) @ t.values
+                    for v in range(len(variables)):
+                        mine = np.flatnonzero(t.player_of == v)
+                        if not len(mine):
+                            margins[v][:, :, t.outputs] += plain[:, None, :]
+                            continue
+                        others = failed.copy()
+                        others[:, t.leaf_of[mine]] -= missed[:, mine]
+                        table = (reach[v][k][:, :, None] * t.values).transpose(1, 0, 2)  # leaf, cell, output
+                        added = (others == 0).astype(float) @ table.reshape(len(t.values), -1)
+                        margins[v][:, :, t.outputs] += added.reshape(len(x), -1, t.values.shape[1])
+                for v, m in enumerate(margins):
+                    sums[v] += prediction(m).sum(axis=0)
+                n += len(x)
+        for v, total in enumerate(sums if n else []):
+            cell, k = (i.ravel() for i in np.indices(total.shape))
+            yield pa.RecordBatch.from_pydict({"_v": np.full(total.size, v, np.int32), "_cell": cell.astype(np.int32), "_k": k.astype(np.int32), "_sum": total.ravel(), "_n": np.full(total.size, n, np.int64)})
+
+    ready, inputs = used_inputs(fitted, df, used)
+    parts = ready.select(inputs.alias("_x")).mapInArrow(run, "_v int, _cell int, _k int, _sum double, _n long")
+    means = parts.groupBy("_v", "_cell", "_k").agg((F.sum("_sum") / F.sum("_n")).alias("yhat_mean"))
+    rows = [(v, name, str(g), int(c)) for v, name in enumerate(variables) for g, c in zip(values[name], cells[v])]
+    table = df.sparkSession.createDataFrame(rows, "_v int, feature string, value string, _cell int")
+    names = F.array(*[F.lit(x) for x in labels])
+    return table.join(means, ["_v", "_cell"]).select("feature", "value", names[F.col("_k")].alias("target"), "yhat_mean")

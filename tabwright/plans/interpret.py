@@ -98,17 +98,16 @@ def interpret(
     grid_metr, grid_cate = [m for m in metr if m in top], [c for c in cate if c in top]
 
     def dependence(df: DataFrame, model: Fitted) -> DataFrame:
-        return settle(X.partial_dependence(df, scorer(model), grid_metr, grid_cate, both, target_type, labels))
+        return settle(X.fitted_dependence(df, model, grid_metr, grid_cate, both, labels, b_sample=b_sample, b_all=b_all))
 
     over_runs = X.importance_over_runs([dependence(tr, f) for f, (tr, _) in zip(fits, splits)])
     frames["dependence"] = X.dependence_band(dependence(test, fitted), over_runs)
 
     # explanations of single rows
-    if spec.kind == "boosted_trees":
+    if spec.kind != "network":
         picked = settle(worst_best_random(scored, "abs_residual", key, n_select, n_select + 1, seed))
-        shap = settle(S.explain_trees(fitted, picked, key, target, b_sample, b_all))
-        frames["shap"] = shap
-        frames["shap_check"] = S.check_shap(shap, picked, key, target_type)
-        shown = S.true_class_only(shap) if target_type == "MULTICLASS" else shap
-        frames["waterfall"] = S.waterfall(shown, topn)
+        rows = settle(S.explain_rows(fitted, picked, key, target, b_sample, b_all, train, keep=["yhat"]))
+        frames["shap"] = S.long_frame(rows)
+        frames["shap_check"] = S.check_rows(rows, "yhat", target_type)
+        frames["waterfall"] = S.waterfall(S.true_class_only(rows) if target_type == "MULTICLASS" else rows, topn)
     return Interpreted(fitted, scored, top, frames)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF
+from common import SF
 from tabwright.catalog.frames import class_frame, order_frame, scored_frame
 from tabwright.functions.predictions import scale_binary, scale_predictions
 from tabwright.functions.ranks import cumulate, hash_cuts, ordered_index

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check_queries import compare, connect
-from conftest import SF
+from common import SF
 
 ORACLE = contract.oracle_sql()
 # Whole-stage and training queries are run by check_queries.py; here one model per family is enough.

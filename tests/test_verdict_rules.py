@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from conftest import SF
+from common import SF
 from tabwright.catalog import frames
 from tabwright.operators.encode import TargetEncoding
 from tabwright.operators.models import ModelSpec, _estimator
