@@ -194,3 +194,68 @@ def mean_rank(df: DataFrame, value: str, keys: Sequence[str] = (), weight: Colum
     return cumulate(df, value, {"n": n}, keys).select(
         *keys, value, "n", rank.alias("rank"), (rank - (F.col("n_total") + 1) / 2).alias("centred")
     )
+
+
+def with_centred_rank(df: DataFrame, value: str, keys: Sequence[str] = (), name: str = "_r") -> DataFrame:
+    """Add to each row the rank of its value inside the keys, ties at their mean, minus the mean of all ranks.
+
+    Rows with a null value are left out. Rows are ordered by value and a hash of the row, so a value that holds a large share
+    of them spreads over many ranges; the few values at the ends of ranges are counted apart, one row per range. No
+    rank is joined to a row: it comes from the window of its range.
+    """
+    keys = list(keys)
+    rows = df.filter(F.col(value).isNotNull())
+    ranged = _ranges(rows.withColumn("_salt", F.xxhash64(*rows.columns)), [F.col(c) for c in [*keys, value, "_salt"]]).drop("_salt")
+    ends = ranged.groupBy(*keys, "_range").agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    ends = settle(ends)
+    at = [F.count_if(F.col(value) == F.col(e)).alias(f"_n{e}") for e in ("_lo", "_hi")]
+    counted = ranged.select(*keys, "_range", value).join(F.broadcast(ends), [*keys, "_range"])
+    counted = counted.groupBy(*keys, "_range").agg(F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"), F.first("_n").alias("_n"), *at)
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    counted = counted.withColumns({"_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)), "_total": F.sum("_n").over(W.partitionBy(*keys))})
+    counted = settle(counted)
+    one_value = F.col("_lo") == F.col("_hi")
+    edges = F.array(
+        F.struct(F.col("_lo").alias("_v"), F.col("_before").alias("_at"), F.col("_n_lo").alias("_c")),
+        F.struct(F.col("_hi").alias("_v"), (F.col("_before") + F.col("_n") - F.col("_n_hi")).alias("_at"), F.when(one_value, 0).otherwise(F.col("_n_hi")).alias("_c")),
+    )
+    edges = counted.select(*keys, F.inline(edges)).groupBy(*keys, "_v").agg(F.min("_at").alias("_at"), F.sum("_c").alias("_c"))
+    for e in ("_lo", "_hi"):
+        named = edges.select(*keys, F.col("_v").alias(e), F.col("_at").alias(f"_at{e}"), F.col("_c").alias(f"_c{e}"))
+        counted = counted.join(named, [*keys, e])
+    counted = counted.select(*keys, "_range", "_lo", "_hi", "_before", "_total", "_at_lo", "_c_lo", "_at_hi", "_c_hi")
+    inside = W.partitionBy(*keys, "_range")
+    placed = ranged.withColumns({"_smaller": F.rank().over(inside.orderBy(value)) - 1, "_same": F.count(F.lit(1)).over(W.partitionBy(*keys, "_range", value))})
+    placed = placed.join(F.broadcast(settle(counted)), [*keys, "_range"])
+
+    def by_end(lo: str, hi: str, other: Column) -> Column:
+        return F.when(F.col(value) == F.col("_lo"), F.col(lo)).when(F.col(value) == F.col("_hi"), F.col(hi)).otherwise(other)
+
+    smaller = by_end("_at_lo", "_at_hi", F.col("_before") + F.col("_smaller"))
+    same = by_end("_c_lo", "_c_hi", F.col("_same"))
+    return placed.select(*[c for c in rows.columns if c != name], (smaller + (same + 1) / 2 - (F.col("_total") + 1) / 2).alias(name))
+
+
+def rank_products(df: DataFrame, value: str, rank: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Rank correlation of `value` with centred ranks `rank` that the rows already hold: (keys…, spear).
+
+    The ranks are summed per distinct value, so only distinct values are ordered and multiplied.
+    """
+    keys = list(keys)
+    r = F.col(rank)
+    return summed_rank_products(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"), F.sum(r).alias("_s"), F.sum(r * r).alias("_q")), value, keys)
+
+
+def summed_rank_products(sums: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """`rank_products` from rows of (keys, value, _n, _s, _q): number, sum and sum of squares of the ranks."""
+    keys = list(keys)
+    merged = sums.groupBy(*keys, value).agg(F.sum("_s").alias("_s"), F.sum("_q").alias("_q"), F.sum("_n").alias("_n"))
+    ranged = _ranges(merged, [F.col(c) for c in [*keys, value]])
+    offsets = ranged.groupBy(*keys, "_range").agg(F.sum("_n").alias("_m"))
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = offsets.select(*keys, "_range", F.coalesce(F.sum("_m").over(earlier), F.lit(0)).alias("_offset"), F.sum("_m").over(W.partitionBy(*keys)).alias("_total"))
+    inside = W.partitionBy(*keys, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    placed = ranged.withColumn("_seen", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(F.broadcast(offsets), [*keys, "_range"])
+    other = F.col("_offset") + F.col("_seen") + (F.col("_n") + 1) / 2 - (F.col("_total") + 1) / 2
+    product = F.try_divide(F.sum(F.col("_s") * other), F.sqrt(F.sum("_q")) * F.sqrt(F.sum(F.col("_n") * other * other)))
+    return placed.groupBy(*keys).agg(product.alias("spear"))

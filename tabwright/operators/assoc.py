@@ -1,25 +1,26 @@
 """Association between features: chi-square based for categories, rank correlation for metric columns."""
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabwright.functions.ranks import mean_rank
+from tabwright.functions.ranks import with_centred_rank
 from tabwright.functions.scalars import columns_with_missing
-from tabwright.operators.metrics import attach_ranks, spear
+from tabwright.operators.metrics import spear
 from tabwright.operators.profile import level_counts, missing_share
-from tabwright.operators.reshape import melt
 from tabwright.session import settle
 
 
-def _pairs(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
-    """One row per row and column pair (var1, var2, a, b), pairs with a missing value left out."""
+def _pairs(df: DataFrame, columns: Sequence[str], kind: str, pairs: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    """One row per row and column pair (var1, var2, a, b), all pairs by default, those with a missing value left out."""
     cells = [
         F.struct(F.lit(x).alias("var1"), F.lit(y).alias("var2"), F.col(x).cast(kind).alias("a"), F.col(y).cast(kind).alias("b"))
-        for x, y in combinations(columns, 2)
+        for x, y in (combinations(columns, 2) if pairs is None else pairs)
     ]
     return df.select(F.inline(F.array(*cells))).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
 
@@ -88,12 +89,20 @@ def categorical_matrix(df: DataFrame, columns: Sequence[str], kind: str = "conti
 
 
 def metric_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """|Spearman| of all pairs of metric columns, pairwise complete, long and symmetric without the diagonal."""
-    if columns_with_missing(df, columns):
-        pairs = spear(_pairs(df, columns, "double"), "a", "b", ["var1", "var2"])
-        pairs = pairs.select("var1", "var2", F.abs("spear").alias("value"))
-    else:
-        pairs = _complete_spearman(df, columns)
+    """|Spearman| of all pairs of metric columns, pairwise complete, long and symmetric without the diagonal.
+
+    Columns without missing values are ranked once for all their pairs; a pair with a column that has some is ranked
+    on its own rows.
+    """
+    partial = set(columns_with_missing(df, columns))
+    complete = [c for c in columns if c not in partial]
+    parts = []
+    if len(complete) > 1:
+        parts.append(_complete_spearman(df, complete))
+    cells = _pairs(df, columns, "double", [p for p in combinations(columns, 2) if partial & set(p)]) if partial else None
+    if cells is not None:
+        parts.append(spear(cells, "a", "b", ["var1", "var2"]).select("var1", "var2", F.abs("spear").alias("value")))
+    pairs = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     labels = missing_share(df, columns).select(
         "variable",
         F.concat("variable", F.lit(" (NA: "), F.format_string("%.1f", F.col("share") * 100), F.lit("%)")).alias("label"),
@@ -102,17 +111,33 @@ def metric_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _complete_spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Without missing values the ranks of a column serve all its pairs."""
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    ranks = settle(mean_rank(melt(data, [], list(columns)), "value", ["variable"]))
-    for c in columns:
-        data = attach_ranks(data, ranks.filter(F.col("variable") == c), "value", c)
-    wide = data.agg(*[F.corr(f"_r{x}", f"_r{y}").alias(f"{i}") for i, (x, y) in enumerate(combinations(columns, 2))])
-    cells = [
-        F.struct(F.lit(x).alias("var1"), F.lit(y).alias("var2"), F.abs(F.col(f"`{i}`")).alias("value"))
-        for i, (x, y) in enumerate(combinations(columns, 2))
-    ]
-    return wide.select(F.inline(F.array(*cells)))
+    """All pairs of columns without missing values, from the Gram matrix of the rows of ranks.
+
+    Every value travels three times whatever the number of columns: into the range that ranks it, into its window and
+    back to its row. Each task adds up X'X of its rows; the matrices are summed cell by cell.
+    """
+    names, p = list(columns), len(columns)
+    rows = settle(df.select(F.monotonically_increasing_id().alias("_row"), *[F.col(c).cast("double").alias(c) for c in names]))
+    cells = F.array(*[F.struct(F.lit(i).alias("_column"), F.col(c).alias("_value")) for i, c in enumerate(names)])
+    ranked = with_centred_rank(rows.select("_row", F.inline(cells)), "_value", ["_column"])
+    whole = ranked.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_column", "_r"))).alias("_x"))  # p values of one row
+
+    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((p, p))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
+            total += x.T @ x
+        i, j = np.triu_indices(p)
+        yield pa.RecordBatch.from_pydict({"i": i.astype(np.int32), "j": j.astype(np.int32), "v": total[i, j]})
+
+    sums = whole.select(F.transform("_x", lambda c: c["_r"]).alias("x")).mapInArrow(gram, "i int, j int, v double")
+    sums = settle(sums.groupBy("i", "j").agg(F.sum("v").alias("v")))  # p (p + 1) / 2 rows
+    width = sums.filter("i = j")
+    both = sums.filter("i < j").join(F.broadcast(width.select("i", F.col("v").alias("_ii"))), "i")
+    both = both.join(F.broadcast(width.select("j", F.col("v").alias("_jj"))), "j")
+    label = F.array(*[F.lit(c) for c in names])
+    value = F.abs(F.try_divide(F.col("v"), F.sqrt("_ii") * F.sqrt("_jj")))
+    return both.select(label[F.col("i")].alias("var1"), label[F.col("j")].alias("var2"), value.alias("value"))
 
 
 def association_matrix(df: DataFrame, columns: Sequence[str], kind: str = "contingency") -> DataFrame:

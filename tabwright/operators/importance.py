@@ -5,15 +5,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.lookup import attach
 from tabwright.functions.predictions import label_codes
-from tabwright.functions.ranks import cumulate, mean_rank
+from tabwright.functions.ranks import cumulate, summed_rank_products, with_centred_rank
 from tabwright.functions.scalars import columns_with_missing
-from tabwright.operators.metrics import attach_ranks, auc_from_counts, rank_correlation, spear
+from tabwright.operators.metrics import auc_from_counts
 from tabwright.operators.prepare import Binning
 from tabwright.operators.reshape import melt
 from tabwright.schema import BINNED, MISSING
-from tabwright.session import settle
 
 
 def _leveled(df: DataFrame, features: Sequence[str], target: str, n_bins: int) -> DataFrame:
@@ -48,45 +46,38 @@ def _importance_multiclass(df, features, target, n_bins) -> DataFrame:
 
 
 def _importance_regression(df, features, target) -> DataFrame:
-    df = df.filter(F.col(target).isNotNull()).withColumn("_y", F.col(target).cast("double"))
+    """|Spearman| of the target with each feature, a category standing for its mean target.
+
+    The rows are ranked by the target, once for all features without missing values. Ranks are summed per value of
+    a feature; only distinct values are ordered, and categories get their means there.
+    """
+    df = df.filter(F.col(target).isNotNull()).withColumn("_y", F.col(target).cast("double")).select("_y", *features)
     types = dict(df.dtypes)
-    means = _level_means(df, [f for f in features if types[f] == "string"], "_y")
     partial = columns_with_missing(df, features)
     complete = [f for f in features if f not in partial]
-    parts = []
-    if complete:
-        # without missing values all features share the ranks of the target
-        ranks = settle(mean_rank(_scores(df, complete, [], means), "score", ["feature"]))
-        ranked = attach_ranks(df, settle(mean_rank(df, "_y")), "_y", "_y")
-        scores = attach_ranks(_scores(ranked, complete, ["_r_y"], means), ranks, "score", "score", ["feature"])
-        parts.append(rank_correlation(scores, "_r_y", "_rscore", ["feature"]))
-    if partial:
-        parts.append(spear(_scores(df, partial, ["_y"], means), "_y", "score", ["feature"]))
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return out.select("feature", F.abs("spear").alias("importance"))
 
+    def long(frame: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
+        """(keep…, feature, number, level): metric features as numbers, categorical ones as levels."""
+        cells = [
+            F.struct(
+                F.lit(f).alias("feature"),
+                (F.lit(None) if types[f] == "string" else F.col(f)).cast("double").alias("number"),
+                (F.col(f) if types[f] == "string" else F.lit(None)).cast("string").alias("level"),
+            )
+            for f in names
+        ]
+        return frame.select(*keep, F.inline(F.array(*cells))).filter(F.col("number").isNotNull() | F.col("level").isNotNull())
 
-def _level_means(df: DataFrame, features: Sequence[str], y: str) -> DataFrame | None:
-    """(feature, level, score, _rows): mean target per level of categorical features, settled."""
-    if not features:
-        return None
-    long = melt(df, [y], list(features), "feature", "level").filter(F.col("level").isNotNull())
-    return settle(long.groupBy("feature", "level").agg(F.avg(y).alias("score"), F.count(F.lit(1)).alias("_rows")))
-
-
-def _scores(df: DataFrame, features: Sequence[str], keep: Sequence[str], means: DataFrame | None) -> DataFrame:
-    """(keep…, feature, score): a metric feature itself, the level mean of the target for a categorical one."""
-    types = dict(df.dtypes)
-    metric = [(f, F.col(f).cast("double")) for f in features if types[f] != "string"]
-    categorical = [f for f in features if types[f] == "string"]
     parts = []
-    if metric:
-        parts.append(melt(df, keep, metric, "feature", "score").filter(F.col("score").isNotNull()))
-    if categorical:
-        long = melt(df, keep, categorical, "feature", "level").filter(F.col("level").isNotNull())
-        found = attach(long, means, ["feature", "level"], weight="_rows", how="inner", settled=True)
-        parts.append(found.select(*keep, "feature", "score"))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if complete:
+        parts.append(long(with_centred_rank(df.select("_y", *complete), "_y"), complete, ["_y", "_r"]))
+    if partial:
+        parts.append(with_centred_rank(long(df, partial, ["_y"]), "_y", ["feature"]).select("_y", "_r", "feature", "number", "level"))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    r = F.col("_r")
+    sums = rows.groupBy("feature", "number", "level").agg(F.count(F.lit(1)).alias("_n"), F.sum(r).alias("_s"), F.sum(r * r).alias("_q"), F.avg("_y").alias("_mean"))
+    sums = sums.withColumn("score", F.coalesce("number", "_mean"))
+    return summed_rank_products(sums, "score", ["feature"]).select("feature", F.abs("spear").alias("importance"))
 
 
 def univariate_importance(

@@ -6,37 +6,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.lookup import attach
 from tabwright.functions.predictions import argmax
-from tabwright.functions.ranks import cumulate, mean_rank
-from tabwright.operators.reshape import melt
-from tabwright.session import settle
+from tabwright.functions.ranks import cumulate, rank_products, with_centred_rank
 
 
 def spear(df: DataFrame, y: str = "target", yhat: str = "yhat", keys: Sequence[str] = ()) -> DataFrame:
     """Spearman correlation: Pearson correlation of mean ranks over rows where both values are present.
 
-    One range shuffle ranks the distinct values of both sides; the ranks are then looked up by the rows.
+    The rows are ranked by one side in one range shuffle; its ranks are summed per distinct value of the other.
     """
     keys = list(keys)
     data = df.select(*keys, F.col(y).cast("double").alias("_a"), F.col(yhat).cast("double").alias("_b"))
     data = data.filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
-    ranks = settle(mean_rank(melt(data, keys, ["_a", "_b"], "_side", "_v"), "_v", [*keys, "_side"]))
-    for side in ("_a", "_b"):
-        data = attach_ranks(data, ranks.filter(F.col("_side") == side), "_v", side, keys)
-    return rank_correlation(data, "_r_a", "_r_b", keys)
-
-
-def attach_ranks(df: DataFrame, ranks: DataFrame, value: str, column: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Add `_r<column>`, the centred rank of a column, from a settled `mean_rank` table."""
-    table = ranks.select(*keys, F.col(value).alias(column), F.col("n").alias("_n"), F.col("centred").alias(f"_r{column}"))
-    return attach(df, table, [*keys, column], weight="_n", how="inner", settled=True).drop("_n")
-
-
-def rank_correlation(df: DataFrame, a: str, b: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Correlation of two columns whose mean is zero: (keys…, spear)."""
-    ab, aa, bb = (F.sum(F.col(x) * F.col(y)) for x, y in ((a, b), (a, a), (b, b)))
-    return df.groupBy(*keys).agg(F.try_divide(ab, F.sqrt(aa) * F.sqrt(bb)).alias("spear"))
+    return rank_products(with_centred_rank(data, "_a", keys), "_b", "_r", keys)
 
 
 def rmse(df: DataFrame, y: str = "target", yhat: str = "yhat", keys: Sequence[str] = ()) -> DataFrame:
