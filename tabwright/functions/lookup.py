@@ -13,6 +13,16 @@ BROADCAST_ROWS = 500_000  # a table of at most this many rows is sent to every e
 HOT_ROWS = 5_000_000  # a key with more rows than this is joined apart from the others
 
 
+BROADCAST_BYTES = 64_000_000  # a settled table of at most this size is sent to every executor
+
+
+def broadcast_if_light(table: DataFrame) -> DataFrame:
+    """A settled table, marked for broadcasting if its values take at most BROADCAST_BYTES as text."""
+    width = sum([F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in table.columns], F.lit(0))
+    taken = table.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(table) if taken <= BROADCAST_BYTES else table
+
+
 def attach(
     df: DataFrame,
     table: DataFrame,

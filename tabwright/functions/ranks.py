@@ -6,17 +6,23 @@ ranges to a window that runs inside each range.
 """
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabwright.functions.hashing import hash_hex
+from tabwright.functions.lookup import broadcast_if_light
 from tabwright.session import settle
 
-HEX_DIGITS = 3  # 4096 ranges of the hash space
+HEX_DIGITS = 3  # 4096 ranges of the hash space, and of each range again
+
+
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -115,73 +121,85 @@ def hashed_index(
     return out.drop("_hash", "_range", "_offset", "_size")
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """Hash values that cut the random order of each group: a settled table (_g, _cuts), one row per group."""
+
+    table: DataFrame
+    by: str | None
+
+    def __getitem__(self, group: Any) -> list[str]:
+        """The cuts of one group (None where there are no groups)."""
+        row = self.table.filter(F.col("_g").eqNullSafe(F.lit(group))).first() if self.by else self.table.first()
+        return [] if row is None else list(row["_cuts"])
+
+
 def hash_cuts(
     df: DataFrame,
     key: str | Sequence[str],
     seed: int | str,
-    counts: Callable[[int], Sequence[int]],
+    counts: Callable[[Column], Sequence[Column | int]],
     by: str | None = None,
-) -> dict[Any, list[str]]:
+) -> Cuts:
     """Hash values that cut a seeded random order exactly: rows with `hash <= cut` are the first `count` rows.
 
-    `counts` gives the wanted row counts for a group size. Two light passes read the key only: one counts the
-    hash ranges, one ranks the few ranges in which a cut falls. The caller then selects rows by comparing
-    hashes, a narrow filter without any shuffle of the rows. The driver gets one size per group and one hash per cut. The key must be unique. The result maps each
-    group (None without `by`) to one cut per count; "" selects nothing, "g" everything.
+    `counts` gives the wanted row counts for the size of a group. The cuts are found by radix selection, in all groups at
+    once: a pass counts rows by the next HEX_DIGITS digits of their hash, among the rows that share the digits found so
+    far with a cut, and each cut moves to the digits at which its count is reached. It is done when its count ends
+    with these digits. Only counts are shuffled, and a pass reads the key alone; their number grows with the logarithm of the largest
+    group. The caller selects rows by comparing hashes, a narrow filter. A cut that falls between rows of equal keys cannot
+    be exact and is an error. "" selects nothing, "g" everything.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    group = [by] if by else []
-    hashed = _hashed(df.select(*dict.fromkeys([*group, *keys])), keys, seed)
-    sizes = hashed.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    sizes = settle(sizes.withColumn("_group", F.col(by) if by else F.lit(0)))
-    cuts: dict[Any, list[str]] = {}
-    wanted: list[tuple[Any, int, int]] = []
-    for r in sizes.groupBy("_group").agg(F.sum("_n").alias("_total")).collect():
-        g = r["_group"] if by else None
-        cuts[g] = []
-        for i, count in enumerate(counts(r["_total"])):
-            cuts[g].append("" if count <= 0 else "g")
-            if 0 < count < r["_total"]:
-                wanted.append((r["_group"], i, int(count)))
-    if wanted:
-        # the range of each cut and its place there, by running counts over the ranges of its group
-        kind = T.StructType([T.StructField("_g", sizes.schema["_group"].dataType), T.StructField("_cut", T.IntegerType()), T.StructField("_count", T.LongType())])
-        seen = F.coalesce(F.sum("_n").over(W.partitionBy("_group").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-        running = sizes.withColumn("_seen", seen)
-        places = running.join(df.sparkSession.createDataFrame(wanted, kind), F.col("_group").eqNullSafe(F.col("_g")))
-        places = places.filter((F.col("_count") > F.col("_seen")) & (F.col("_count") <= F.col("_seen") + F.col("_n")))
-        places = settle(places.select("_g", F.col("_range").alias("_r"), (F.col("_count") - F.col("_seen")).cast("int").alias("_place"), "_cut"))
-        own = F.col(by) if by else F.lit(0)
-        same = own.eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r"))
-        inside = W.partitionBy(*group, "_range").orderBy("_hash", *keys)
-        ranked = hashed.join(places.select("_g", "_r").distinct(), same, "left_semi").withColumn("_rn", F.row_number().over(inside))
-        for r in ranked.join(places, same & (F.col("_rn") == F.col("_place"))).select("_g", "_cut", "_hash").collect():
-            cuts[r["_g"] if by else None][r["_cut"]] = r["_hash"]
-    return cuts
-
-
-def _cut_code(hashed: Column, cuts: Sequence[str]) -> Column:
-    out = F.when(F.lit(False), 0)
-    for i, c in enumerate(cuts):
-        out = out.when(hashed <= F.lit(c), i)
-    return out.otherwise(len(cuts))
-
-
-def with_cut_code(
-    df: DataFrame, key: str | Sequence[str], seed: int | str, cuts: dict[Any, list[str]], name: str, by: str | None = None
-) -> DataFrame:
+    group = F.col(by) if by else F.lit(0)
+    hashed = df.select(group.alias("_g"), hash_hex(keys, seed).alias("_hash"))
+
+    def counted(rows: DataFrame, digits: int) -> DataFrame:
+        """(_g, _prefix, _next, _n, _seen): rows per next digits, and those before them under the same prefix."""
+        following = F.substring("_hash", digits + 1, HEX_DIGITS)
+        n = rows.groupBy("_g", F.substring("_hash", 1, digits).alias("_prefix"), following.alias("_next")).agg(F.count(F.lit(1)).alias("_n"))
+        before = W.partitionBy("_g", "_prefix").orderBy("_next").rowsBetween(W.unboundedPreceding, -1)
+        return n.withColumn("_seen", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+
+    bins = settle(counted(hashed, 0))
+    sizes = bins.groupBy("_g").agg(F.sum("_n").alias("_size"))
+    wanted = [c if isinstance(c, Column) else F.lit(c) for c in counts(F.col("_size"))]
+    places = F.array(*[F.struct(F.lit(i).alias("_i"), c.cast("long").alias("_place")) for i, c in enumerate(wanted)])
+    cuts = sizes.select("_g", "_size", F.inline(places)) if wanted else sizes.withColumns({"_i": F.lit(None).cast("int"), "_place": F.lit(None).cast("long")})
+    inner = (F.col("_place") > 0) & (F.col("_place") < F.col("_size"))
+    done = [cuts.filter(~F.coalesce(inner, F.lit(False))).select("_g", "_i", F.when(F.col("_place") <= 0, "").otherwise("g").alias("_cut"))]
+    open_ = cuts.filter(inner).select("_g", "_i", F.lit("").alias("_prefix"), "_place")
+    digits = 0
+    while True:
+        at = bins.withColumnsRenamed({"_g": "_h", "_prefix": "_p"})
+        here = F.col("_g").eqNullSafe(F.col("_h")) & (F.col("_prefix") == F.col("_p")) & (F.col("_place") > F.col("_seen")) & (F.col("_place") <= F.col("_seen") + F.col("_n"))
+        found = settle(open_.join(at, here).select("_g", "_i", F.concat("_prefix", "_next").alias("_prefix"), (F.col("_place") - F.col("_seen")).alias("_place"), "_n"))
+        done.append(found.filter("_place = _n").select("_g", "_i", F.concat("_prefix", F.lit("g")).alias("_cut")))
+        open_, digits = found.filter("_place < _n").drop("_n"), digits + HEX_DIGITS
+        if open_.isEmpty():
+            break
+        if digits >= 32:
+            raise ValueError(f"a cut falls between rows of equal {', '.join(keys)}: the key must be unique")
+        pending = open_.select(F.col("_g").alias("_h"), F.col("_prefix").alias("_p")).distinct()
+        same = F.col("_g").eqNullSafe(F.col("_h")) & (F.substring("_hash", 1, digits) == F.col("_p"))
+        bins = counted(hashed.join(broadcast_if_light(settle(pending)), same, "left_semi"), digits)
+    table = union_all(done).groupBy("_g").agg(F.array_sort(F.collect_list(F.when(F.col("_i").isNotNull(), F.struct("_i", "_cut")))).alias("_c"))
+    return Cuts(settle(table.select("_g", F.transform("_c", lambda c: c["_cut"]).alias("_cuts"))), by)
+
+
+def with_cut_code(df: DataFrame, key: str | Sequence[str], seed: int | str, cuts: Cuts, name: str) -> DataFrame:
     """Add the number of the first cut that the row's hash does not exceed; the number of cuts when it exceeds all.
 
-    The cuts are those of the row's `by` group; rows of other groups get null.
+    The cuts are those of the row's group, found by a join with the table of groups; without groups they are
+    literals. Rows of other groups get null.
     """
-    hashed = df.withColumn("_hash", hash_hex(key, seed))
-    if by is None:
-        code = _cut_code(F.col("_hash"), cuts.get(None, []))
-    else:
-        code = F.when(F.lit(False), 0)
-        for g, c in cuts.items():
-            code = code.when(F.col(by).eqNullSafe(F.lit(g)), _cut_code(F.col("_hash"), c))
-    return hashed.withColumn(name, code).drop("_hash")
+    own = hash_hex(key, seed)
+    if cuts.by is None:
+        values = cuts[None]
+        return df.withColumn(name, sum([(own > F.lit(c)).cast("int") for c in values], F.lit(0)))
+    found = df.join(broadcast_if_light(cuts.table), F.col(cuts.by).eqNullSafe(F.col("_g")), "left")
+    code = F.when(F.col("_cuts").isNotNull(), F.size(F.filter("_cuts", lambda c: c < own)))
+    return found.withColumn(name, code).drop("_g", "_cuts")
 
 
 def mean_rank(df: DataFrame, value: str, keys: Sequence[str] = (), weight: Column | None = None) -> DataFrame:

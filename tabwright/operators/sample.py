@@ -1,7 +1,6 @@
 """Samples of exact size, folds and random imputation, all driven by a hash of the row key."""
 
 from collections.abc import Sequence
-from math import floor
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params
@@ -25,7 +24,7 @@ def assign_fold(
 ) -> DataFrame:
     """Add `fold` with the exact shares given, on a random permutation of the rows."""
     edges = [round(sum(fracs[: i + 1]), 12) for i in range(len(fracs) - 1)]
-    cuts = hash_cuts(df, key, seed, lambda n: [floor(e * (n - 1)) + 1 for e in edges])
+    cuts = hash_cuts(df, key, seed, lambda n: [F.floor(F.lit(e) * (n - 1)) + 1 for e in edges])
     coded = with_cut_code(df, key, seed, cuts, "_code")
     return coded.withColumn("fold", F.array(*[F.lit(x) for x in labels])[F.col("_code")]).drop("_code")
 
@@ -33,7 +32,7 @@ def assign_fold(
 def time_fold(df: DataFrame, is_test: Column, key: str, seed: int, util_frac: float = 0.1) -> DataFrame:
     """Add `fold`: test by a time condition, the rest train, of which a random share becomes util."""
     flagged = df.withColumn("fold", F.when(is_test, "test").otherwise("train"))
-    cuts = hash_cuts(flagged.filter("fold = 'train'"), key, seed, lambda n: [round(util_frac * n)])
+    cuts = hash_cuts(flagged.filter("fold = 'train'"), key, seed, lambda n: [F.bround(F.lit(util_frac) * n)])
     util = (F.col("fold") == "train") & (F.col("_code") == 0)
     coded = with_cut_code(flagged, key, seed, cuts, "_code")
     return coded.withColumn("fold", F.when(util, "util").otherwise(F.col("fold"))).drop("_code")
@@ -118,7 +117,7 @@ class UndersampleModel(_Stage, Model):
     def sample(self, df: DataFrame) -> DataFrame:
         key, seed, target, n = (self._value(p) for p in ("key", "seed", "target", "n_max_per_level"))
         cuts = hash_cuts(df.filter(F.col(target).isNotNull()), key, seed, lambda _: [n], by=target)
-        return with_cut_code(df, key, seed, cuts, "_code", target).filter("_code = 0").drop("_code")
+        return with_cut_code(df, key, seed, cuts, "_code").filter("_code = 0").drop("_code")
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return dataset

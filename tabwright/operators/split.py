@@ -1,9 +1,8 @@
 """Train and test splits as columns or long tables; rows are never listed on the driver."""
 
 from collections.abc import Sequence
-from math import ceil, floor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.hashing import hash_hex, hash_long
@@ -14,15 +13,16 @@ from tabwright.session import settle
 LEARNING_SHARES = (0.05, 0.0625, 0.075, 0.0875, 0.1, 0.2, 0.4, 0.6, 0.8, 1.0)
 
 
-def chunk_counts(n: int, k: int) -> list[int]:
+def chunk_counts(n: Column, k: int) -> list[Column]:
     """Running row counts at the ends of k chunks of n rows, the first `n mod k` chunks one row longer."""
-    return [(i + 1) * (n // k) + min(i + 1, n % k) for i in range(k - 1)]
+    whole = ((n - n % k) / k).cast("long")
+    return [(i + 1) * whole + F.least(F.lit(i + 1), n % k) for i in range(k - 1)]
 
 
 def with_chunks(df: DataFrame, key: str, k: int, seed: int, by: str | None = None, name: str = "chunk") -> DataFrame:
-    """Add the random chunk 0..k-1 of each row, inside each `by` group; a narrow step after two key-only passes."""
+    """Add the random chunk 0..k-1 of each row, inside each `by` group; a narrow step after passes that count hashes of the key."""
     cuts = hash_cuts(df, key, seed, lambda n: chunk_counts(n, k), by)
-    return with_cut_code(df, key, seed, cuts, name, by)
+    return with_cut_code(df, key, seed, cuts, name)
 
 
 def separate_split(df: DataFrame, split: int, k: int, fold: str = "fold", chunk: str = "chunk") -> tuple[DataFrame, DataFrame]:
@@ -71,18 +71,18 @@ def repeated_k_fold(df: DataFrame, key: str, k: int = 5, n_rep: int = 10, seed:
     """Fold 1..k of every row in every repetition: (rep, fold, key)."""
     reps = df.select(key, F.explode(F.sequence(F.lit(1), F.lit(n_rep))).alias("rep"))
     cuts = hash_cuts(reps, [key, "rep"], seed, lambda n: chunk_counts(n, k), "rep")
-    coded = with_cut_code(reps, [key, "rep"], seed, cuts, "fold", "rep")
+    coded = with_cut_code(reps, [key, "rep"], seed, cuts, "fold")
     return coded.select("rep", (F.col("fold") + 1).alias("fold"), key)
 
 
 def shuffle_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 999, name: str = "role") -> DataFrame:
     """Add `role`: a random test share rounded up, the rest train."""
-    cuts = hash_cuts(df, key, seed, lambda n: [ceil(test_size * n)])
+    cuts = hash_cuts(df, key, seed, lambda n: [F.ceil(F.lit(test_size) * n)])
     coded = with_cut_code(df, key, seed, cuts, name)
     return coded.withColumn(name, F.when(F.col(name) == 0, "test").otherwise("train"))
 
 
 def learning_subsets(df: DataFrame, key: str, seed: int = 42, shares: Sequence[float] = LEARNING_SHARES) -> DataFrame:
     """Add `step`, the first share whose nested prefix holds the row: subset s is `step <= s`."""
-    cuts = hash_cuts(df, key, seed, lambda n: [floor(s * n) for s in shares])
+    cuts = hash_cuts(df, key, seed, lambda n: [F.floor(F.lit(s) * n) for s in shares])
     return with_cut_code(df, key, seed, cuts, "step").filter(F.col("step") < len(shares))

@@ -251,5 +251,6 @@ def test_metric_directions():
     assert metrics.METRICS["auc"].greater_is_better and not metrics.METRICS["rmse"].greater_is_better
 
 
-def test_chunk_sizes_follow_the_first_longer_rule():
-    assert split.chunk_counts(11, 3) == [4, 8] and split.chunk_counts(2, 4) == [1, 2, 2]
+def test_chunk_sizes_follow_the_first_longer_rule(spark):
+    chunks = lambda n, k: spark.range(1).select(F.array(*split.chunk_counts(F.lit(n), k))).first()[0]
+    assert chunks(11, 3) == [4, 8] and chunks(2, 4) == [1, 2, 2]

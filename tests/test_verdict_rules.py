@@ -1,12 +1,18 @@
 """Rules at their edges: missing values, many groups, unknown parameters."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from common import SF
 from tabwright.catalog import frames
+from tabwright.functions.ranks import hash_cuts, with_centred_rank, with_cut_code
+from tabwright.operators import assoc
 from tabwright.operators.encode import TargetEncoding
+from tabwright.operators.importance import univariate_importance
+from tabwright.operators.metrics import spear
 from tabwright.operators.models import ModelSpec, _estimator
 from tabwright.operators.profile import bottom_and_top
 from tabwright.operators.sample import Undersample
@@ -54,3 +60,84 @@ def test_every_test_row_is_explained(spark):
     explained = contract.queries()["shap_trees"](spark, SF).groupBy("id").count()
     assert explained.join(test, "id").count() == explained.count() == test.count()
     assert explained.select("count").distinct().count() == 1
+
+
+# --- random cuts and ranks -------------------------------------------------------------------------------
+
+
+def test_cuts_of_many_groups(spark):
+    """10^5 classes are cut at once, with a table of cuts and no list on the driver."""
+    df = spark.range(0, 400_000).select(F.col("id"), (F.col("id") % 100_000).alias("g"))
+    out = with_cut_code(df, "id", 3, hash_cuts(df, "id", 3, lambda n: [1, n - 1], "g"), "code").groupBy("g", "code").count()
+    got = {(r["code"], r["count"]): r["groups"] for r in out.groupBy("code", "count").agg(F.count(F.lit(1)).alias("groups")).collect()}
+    assert got == {(0, 1): 100_000, (1, 2): 100_000, (2, 1): 100_000}
+
+
+def test_cuts_with_null_group_and_skew(spark):
+    df = spark.range(0, 5_000).select("id", F.when(F.col("id") % 10 == 0, None).when(F.col("id") == 7, "small").otherwise("hot").alias("g"))
+    out = with_cut_code(df, "id", 3, hash_cuts(df, "id", 3, lambda n: [F.floor(n / 2)], "g"), "code")
+    got = {(r["g"], r["code"]): r["count"] for r in out.groupBy("g", "code").count().collect()}
+    assert got == {(None, 0): 250, (None, 1): 250, ("hot", 0): 2249, ("hot", 1): 2250, ("small", 1): 1}
+    assert hash_cuts(df.limit(0), "id", 3, lambda n: [1])[None] == []
+
+
+def test_equal_keys_cannot_be_cut(spark):
+    df = spark.range(0, 100).select((F.col("id") % 2).alias("id"))
+    assert with_cut_code(df, "id", 1, hash_cuts(df, "id", 1, lambda n: [50]), "code").groupBy("code").count().count() == 2
+    with pytest.raises(ValueError, match="unique"):
+        hash_cuts(df, "id", 1, lambda n: [30])
+
+
+def test_cuts_shuffle_counts_only(spark):
+    """The rows that are shuffled hold digits and counts; the key goes no further than its hash."""
+    df = frames.order_frame(spark, SF).select("id", "fold")
+    marked = with_cut_code(df, "id", 3, hash_cuts(df, "id", 3, lambda n: [10]), "code")
+    assert "_hash" not in marked._jdf.queryExecution().executedPlan().toString().split("Exchange")[-1]
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_ranks_of_hot_and_tied_values(spark, parts):
+    rng = np.random.default_rng(parts)
+    a = np.where(rng.random(6_000) < 0.4, 5.0, np.round(rng.normal(5, 3, 6_000), 2))
+    pdf = pd.DataFrame({"k": rng.choice(["x", "y"], 6_000, p=[0.99, 0.01]), "a": a, "b": np.round(a + rng.normal(0, 4, 6_000), 1)})
+    pdf.loc[::97, "b"] = None
+    df = spark.createDataFrame(pdf).repartition(parts).withColumn("b", F.when(~F.isnan("b"), F.col("b")))
+    ranked = with_centred_rank(df.select("k", "a"), "a", ["k"]).toPandas()
+    want = pdf.groupby("k")["a"].rank() - (pdf.groupby("k")["a"].transform("size") + 1) / 2
+    assert sorted(zip(ranked["k"], ranked["a"], ranked["_r"])) == sorted(zip(pdf["k"], pdf["a"], want))
+    whole = pdf.dropna()
+    for r in spear(df, "a", "b", ["k"]).collect():
+        part = whole[whole["k"] == r["k"]]
+        assert r["spear"] == pytest.approx(part["a"].rank().corr(part["b"].rank()), abs=1e-12)
+    assert spear(df.filter("k = 'none'"), "a", "b").first()["spear"] is None
+
+
+def test_importance_of_regression(spark):
+    """Metric and categorical features, with and without missing values, against pandas."""
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"m": np.round(rng.normal(size=900), 1), "c": rng.choice(list("abcdef"), 900), "target": np.round(rng.normal(size=900), 1)})
+    pdf["p"] = pdf["m"].where(rng.random(900) < 0.7)
+    pdf["d"] = pdf["c"].where(rng.random(900) < 0.7)
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "m double, c string, target double, p double, d string")
+    got = {r["feature"]: r["importance"] for r in univariate_importance(df, ["m", "c", "p", "d"], "target", "REGR", digits=None).collect()}
+    for f in ("m", "c", "p", "d"):
+        part = pdf[pdf[f].notna()]
+        score = part[f] if f in ("m", "p") else part.groupby(f)["target"].transform("mean")
+        assert got[f] == pytest.approx(abs(score.rank().corr(part["target"].rank())), abs=1e-12)
+
+
+def test_rank_matrix_of_many_columns(spark):
+    """200 columns from one Gram matrix; columns with missing values pair by pair."""
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(120, 200)) + rng.normal(size=(120, 1)), 1)
+    names = [f"x{i}" for i in range(200)]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names))
+    want = pd.DataFrame(x, columns=names).corr("spearman").abs().to_numpy()
+    got = {(r["var1"], r["var2"]): r["value"] for r in assoc.metric_matrix(df, names).collect()}
+    assert len(got) == 200 * 199
+    assert all(got[names[i], names[j]] == pytest.approx(want[i, j], abs=1e-12) for i in range(0, 200, 7) for j in range(200) if i != j)
+    few = names[:3] + ["gap"]
+    mixed = df.select(*names[:3], F.when(F.col("x3") > 0, F.col("x3")).alias("gap"))
+    own = mixed.toPandas().corr("spearman").abs()
+    for r in assoc.metric_matrix(mixed, few).collect():
+        assert r["value"] == pytest.approx(own.loc[r["var1"], r["var2"]], abs=1e-12)
