@@ -16,7 +16,7 @@ from tabwright.session import settle
 LEAST = 7  # code points of the shortest word
 BLOCK = 1_024  # words from which on an index is full; it ends at the next border of buckets
 BUCKET = 2_048  # words of a bucket that is not split further
-HELD_WORDS = 300_000  # distinct words a task counts before it hands them on
+HELD_WORDS = 100_000  # distinct words a task counts before it hands them on
 _ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
