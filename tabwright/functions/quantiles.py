@@ -1,107 +1,181 @@
-"""Exact quantiles with linear interpolation, for columns of any length.
+"""Exact quantiles with linear interpolation, for columns and groups of any length, by refinement of histograms.
 
-The built-in `percentile` keeps every distinct value of a group in one buffer. It is used while a
-group is known to be short. Longer groups are first bracketed with the bounded `percentile_approx`
-sketch; only the thin slice of rows inside a bracket is shuffled and ranked.
+A pass counts the values of each open interval in equal bins, with the smallest and the largest value of each bin. The
+bin that holds a wanted rank is the next interval of that rank, narrowed to the values it has. A rank is found when its
+bin has one distinct value, or when it is the first or the last of its bin. Only counts are shuffled, added up inside
+the tasks before; passes are few, as each divides an interval by BINS.
 """
 
 from collections.abc import Sequence
+from functools import reduce
+from math import ceil, floor
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabwright.functions.ranks import cumulate
+from tabwright.functions.lookup import broadcast_if_light
 from tabwright.operators.reshape import melt
 from tabwright.session import settle
 
-DIRECT_ROWS = 1_000_000  # longest group for the built-in aggregate
-SKETCH_ACCURACY = 10_000
-BROADCAST_ROWS = 100_000
+BINS = 4096
+INFINITE = float("inf")
 
 
-def _direct(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str], label: str) -> DataFrame:
-    grid = F.array(*[F.lit(float(p)) for p in probs])
-    wide = df.groupBy(*by).agg(*[F.percentile(F.col(c), grid).alias(c) for c in cols])
-    pairs = F.array(*[F.struct(F.lit(c).alias(label), F.col(c).alias("quantiles")) for c in cols])
-    return wide.select(*by, F.explode(pairs).alias("_p")).select(*by, f"_p.{label}", "_p.quantiles")
+def _finite(c: Column) -> Column:
+    return ~F.isnan(c) & (F.abs(c) < INFINITE)
 
 
-def _bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str], label: str) -> DataFrame:
-    by = list(by)
-    group = [*by, label]
-    long = melt(df, by, [(c, F.col(c).cast("double")) for c in cols], label).filter(F.col("value").isNotNull())
-    slack = 4.0 / SKETCH_ACCURACY
-    lows = F.array(*[F.lit(max(0.0, p - slack)) for p in probs])
-    highs = F.array(*[F.lit(min(1.0, p + slack)) for p in probs])
-    sketch = long.groupBy(*group).agg(
-        F.count("value").alias("_n"),
-        F.min("value").alias("_min"),
-        F.max("value").alias("_max"),
-        F.percentile_approx("value", lows, SKETCH_ACCURACY).alias("_low"),
-        F.percentile_approx("value", highs, SKETCH_ACCURACY).alias("_high"),
-    )
-    brackets = []
-    short = F.col("_n") * slack < 4  # the slack must span a few ranks; a short group is its own bracket
-    for i, p in enumerate(probs):
-        low = F.when(short | F.lit(p <= 2 * slack), F.col("_min")).otherwise(F.col("_low")[i])
-        high = F.when(short | F.lit(p >= 1 - 2 * slack), F.col("_max")).otherwise(F.col("_high")[i])
-        brackets.append(F.struct(F.lit(i).alias("i"), low.alias("low"), high.alias("high")))
-    sketch = settle(sketch.select(*group, "_n", F.array(*brackets).alias("_brackets")))
-    small = sketch.count() <= BROADCAST_ROWS
-    located = long.join(F.broadcast(sketch) if small else sketch, group)
-    below = located.groupBy(*group).agg(
-        F.max("_n").alias("_n"),
-        *[F.count_if(F.col("value") < F.col("_brackets")[i]["low"]).alias(f"_below{i}") for i in range(len(probs))],
-    )
-    hit = F.filter(
-        "_brackets", lambda b: (F.col("value") >= b["low"]) & (F.col("value") <= b["high"])
-    )
-    inside = located.select(*group, "value", F.explode(F.transform(hit, lambda b: b["i"])).alias("_i"))
-    counted = cumulate(inside, "value", {"_c": F.count(F.lit(1))}, [*group, "_i"])
-    start = F.col("_c_before") + F.array(*[F.col(f"_below{i}") for i in range(len(probs))])[F.col("_i")]
-    position = (F.col("_n") - 1) * F.array(*[F.lit(float(p)) for p in probs])[F.col("_i")]
-    ranked = (
-        counted.join(F.broadcast(below) if small else below, group)
-        .withColumn("_start", start)
-        .withColumn("_pos", position)
-    )
+def _bin(v: Column, lo: Column, hi: Column) -> Column:
+    """The bin of a value of the interval; it never falls while the value rises, and the ends are in different bins.
 
-    def at(rank):
-        return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_c")), F.col("value")))
+    Values outside all numbers have bins of their own: minus infinity -1, infinity BINS, not a number BINS + 1.
+    """
+    width = hi - lo
+    share = F.when(width < INFINITE, (v - lo) / width).otherwise((v / 2 - lo / 2) / (hi / 2 - lo / 2))  # the width may be too large for a double
+    inside = F.when(width > 0, F.least(F.floor(share * BINS), F.lit(BINS - 1))).otherwise(F.lit(0))
+    return F.when(F.isnan(v), BINS + 1).when(v == INFINITE, BINS).when(v == -INFINITE, -1).otherwise(inside).cast("int")
 
-    points = ranked.groupBy(*group, "_i").agg(
-        F.max("_pos").alias("_pos"),
-        at(F.floor("_pos")).alias("_v0"),
-        at(F.ceil("_pos")).alias("_v1"),
-    )
-    w1 = F.col("_pos") - F.floor("_pos")
-    value = (
-        F.when(F.col("_v0").isNull() | F.col("_v1").isNull(), F.raise_error(F.lit("quantile outside its bracket")))
-        .when(F.col("_v0") == F.col("_v1"), F.col("_v0"))
-        .otherwise((1 - w1) * F.col("_v0") + w1 * F.col("_v1"))
-    )
-    points = points.select(*group, "_i", value.alias("_q"))
-    return points.groupBy(*group).agg(
-        F.array(*[F.max(F.when(F.col("_i") == i, F.col("_q"))) for i in range(len(probs))]).alias("quantiles")
+
+def _same(a: Sequence[str], b: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(a, b)])
+
+
+def _bins(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """(group…, _from, _bin, _n, _lo, _hi, _seen) of rows that hold their interval (_from, _lo, _hi) and value _v."""
+    bins = rows.groupBy(*group, "_from", _bin(F.col("_v"), F.col("_lo"), F.col("_hi")).alias("_bin")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     )
+    before = W.partitionBy(*group, "_from").orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
+    return bins.withColumn("_seen", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+
+
+def _narrowed(open_: DataFrame, bins: DataFrame, group: Sequence[str]) -> DataFrame:
+    """(group…, _rank, _place, _lo, _hi, _value): each open rank in the bin that holds it, with its value if that is known."""
+    names = {c: f"_b{i}" for i, c in enumerate([*group, "_from"])}
+    here = _same(list(names), list(names.values())) & (F.col("_place") > F.col("_seen")) & (F.col("_place") <= F.col("_seen") + F.col("_n"))
+    place = F.col("_place") - F.col("_seen")
+    value = F.when((F.col("_lo") == F.col("_hi")) | (place == 1), F.col("_lo")).when(place == F.col("_n"), F.col("_hi"))
+    return open_.join(bins.withColumnsRenamed(names), here).select(*group, "_rank", place.alias("_place"), "_lo", "_hi", value.alias("_value"))
+
+
+def _ends(doubles: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
+    """(by…, _c, _n, _lo, _hi): per column number the count of values and the range of the finite ones."""
+    cells = [
+        F.struct(F.lit(i).alias("_c"), F.count(v).alias("_n"), F.min(F.when(_finite(v), v)).alias("_lo"), F.max(F.when(_finite(v), v)).alias("_hi"))
+        for i, v in ((i, F.col(f"_x{i}")) for i in range(n))
+    ]
+    return doubles.groupBy(*by).agg(F.array(*cells).alias("_e")).select(*by, F.inline("_e"))
+
+
+def _literal_intervals(c: int, parts: Sequence[tuple[float, float]], whole: bool) -> Column:
+    """(_c, _v, _from, _lo, _hi) of the intervals of column `c` that hold the row's value: at most one, or the whole range."""
+    v = F.col(f"_x{c}")
+    at = [(F.lit(i), F.lit(lo).cast("double"), F.lit(hi).cast("double")) for i, (lo, hi) in enumerate(parts)]
+
+    def row(i: Column, lo: Column, hi: Column) -> Column:
+        return F.struct(F.lit(c).alias("_c"), v.alias("_v"), i.alias("_from"), lo.alias("_lo"), hi.alias("_hi"))
+
+    if whole:
+        return F.array(row(*at[0]))
+    out = F.when(F.lit(False), F.array(row(*at[0])))
+    for i, lo, hi in at:
+        out = out.when((v >= lo) & (v <= hi), F.array(row(i, lo, hi)))
+    return out.otherwise(F.slice(F.array(row(*at[0])), 1, 0))
+
+
+def _interpolate(at: dict[int, float], n: int, p: float) -> float:
+    position = (n - 1) * p
+    low, high, w = at[floor(position)], at[ceil(position)], position - floor(position)
+    return low if low == high or (low != low and high != high) else (1 - w) * low + w * high
+
+
+def _doubles(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
+    return df.select(*by, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
+
+
+def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    """Exact quantiles of whole columns as driver values, all columns together; None for a column without values.
+
+    The driver holds the open intervals, at most two per quantile and column, and sends them as literals.
+    """
+    if not cols:
+        return {}
+    doubles = _doubles(df, cols, [])
+    spark = df.sparkSession
+    sizes, open_, intervals = {}, [], {}
+    for e in _ends(doubles, len(cols), []).collect():
+        c, n = e["_c"], e["_n"]
+        if n:
+            sizes[c] = n
+            intervals[c] = [(e["_lo"], e["_hi"])]
+            ranks = {f((n - 1) * p) for p in probs for f in (floor, ceil)}
+            open_ += [(c, 0, r, r + 1) for r in sorted(ranks)]
+    found: dict[int, dict[int, float]] = {c: {} for c in sizes}
+    first = True
+    while open_:
+        cells = [_literal_intervals(c, parts, first) for c, parts in intervals.items()]
+        rows = doubles.select(F.inline(F.concat(*cells))).filter(F.col("_v").isNotNull())
+        table = spark.createDataFrame(open_, "_c int, _from int, _rank long, _place long")
+        still: dict[int, list] = {}
+        for r in _narrowed(table, _bins(rows, ["_c"]), ["_c"]).collect():  # a row per open rank
+            if r["_value"] is not None:
+                found[r["_c"]][r["_rank"]] = r["_value"]
+            else:
+                still.setdefault(r["_c"], []).append(r)
+        intervals = {c: sorted({(r["_lo"], r["_hi"]) for r in rs}) for c, rs in still.items()}
+        open_ = [(c, intervals[c].index((r["_lo"], r["_hi"])), r["_rank"], r["_place"]) for c, rs in still.items() for r in rs]
+        first = False
+    return {name: [_interpolate(found[i], sizes[i], p) for p in probs] if i in sizes else [None] * len(probs) for i, name in enumerate(cols)}
 
 
 def quantile_frame(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), label: str = "variable"
 ) -> DataFrame:
-    """Exact quantiles per group and column: (by…, label, quantiles array in the order of `probs`)."""
+    """Exact quantiles per group and column: (by…, label, quantiles array in the order of `probs`).
+
+    Missing values take no part; a group without values in a column has null there. Not-a-number is the largest value.
+    All groups are refined together; their intervals are a table, sent to the rows by a join.
+    """
     by = list(by)
-    sizes = df.groupBy(*by).agg(*[F.count(c).alias(c) for c in cols])
-    longest = sizes.agg(F.max(F.greatest(*cols) if len(cols) > 1 else F.col(cols[0])).alias("n")).first()["n"]
-    if (longest or 0) <= DIRECT_ROWS:
-        return _direct(df, cols, probs, by, label)
-    return _bracketed(df, cols, probs, by, label)
+    if not by:
+        found = fit_quantiles(df, cols, probs)
+        rows = [(c, None if found[c][0] is None else found[c]) for c in cols]
+        return df.sparkSession.createDataFrame(rows, f"`{label}` string, quantiles array<double>")
+    group = [*by, "_c"]
+    mine = {c: f"_k{i}" for i, c in enumerate(group)}  # names of the group on the small side of joins
+    same = _same(group, list(mine.values()))
+    doubles = _doubles(df, cols, by)
+    ends = settle(_ends(doubles, len(cols), by))
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor((F.col("_n") - 1) * F.lit(float(p))), F.ceil((F.col("_n") - 1) * F.lit(float(p)))) for p in probs])))
+    open_ = ends.filter("_n > 0").select(*group, F.lit(0).alias("_from"), F.explode(ranks).alias("_rank")).withColumn("_place", F.col("_rank") + 1)
+    whole = F.array(F.struct(F.lit(0).alias("_from"), F.col("_lo"), F.col("_hi")))
+    intervals = ends.filter("_n > 0").select(*group, whole.alias("_intervals"))
+    values = melt(doubles, by, [(i, F.col(f"_x{i}")) for i in range(len(cols))], "_c", "_v").filter(F.col("_v").isNotNull())
+    v, done, first = F.col("_v"), [], True
+    while True:
+        met = values.join(broadcast_if_light(settle(intervals.withColumnsRenamed(mine))), same)
+        held = F.col("_intervals") if first else F.filter("_intervals", lambda i: (v >= i["_lo"]) & (v <= i["_hi"]))
+        found = settle(_narrowed(open_, _bins(met.select(*group, "_v", F.inline(held)), group), group))
+        done.append(found.filter("_value IS NOT NULL").select(*group, "_rank", "_value"))
+        still = found.filter("_value IS NULL")
+        if still.isEmpty():
+            break
+        # the intervals of a group are disjoint; they are numbered by their ends
+        cuts = still.groupBy(*group).agg(F.array_sort(F.collect_set(F.struct("_lo", "_hi"))).alias("_cuts"))
+        numbered = F.transform("_cuts", lambda c, i: F.struct(i.alias("_from"), c["_lo"].alias("_lo"), c["_hi"].alias("_hi")))
+        intervals = cuts.select(*group, numbered.alias("_intervals"))
+        own = intervals.withColumnsRenamed(mine).select(*mine.values(), F.inline("_intervals")).withColumnsRenamed({"_lo": "_l", "_hi": "_h"})
+        open_ = still.join(own, same & (F.col("_lo") == F.col("_l"))).select(*group, "_from", "_rank", "_place")
+        first = False
+    at = reduce(DataFrame.unionByName, done).groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at"))
 
+    def quantile(p: float) -> Column:
+        position = (F.col("_n") - 1) * F.lit(float(p))
+        low, high, w = F.try_element_at("_at", F.floor(position)), F.try_element_at("_at", F.ceil(position)), position - F.floor(position)
+        return F.when(low == high, low).otherwise((1 - w) * low + w * high)
 
-def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
-    """Exact quantiles of whole columns as driver values, one pass for all columns."""
-    if not cols:
-        return {}
-    rows = quantile_frame(df.select(*cols), cols, probs).collect()
-    found = {r["variable"]: list(r["quantiles"]) for r in rows if r["quantiles"] is not None}
-    return {c: found.get(c, [None] * len(probs)) for c in cols}
+    names = F.array(*[F.lit(c) for c in cols])
+    out = ends.join(at.withColumnsRenamed(mine), same, "left")
+    return out.select(*by, names[F.col("_c")].alias(label), F.when(F.col("_at").isNotNull(), F.array(*[quantile(p) for p in probs])).alias("quantiles"))

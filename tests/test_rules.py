@@ -63,23 +63,33 @@ def test_quantiles_skip_nulls_and_interpolate(spark):
     assert quantiles.fit_quantiles(df, ["x"], [0.0, 0.25, 0.5, 1.0])["x"] == [1.0, 1.5, 2.0, 4.0]
 
 
-def test_bracketed_quantiles_equal_the_direct_ones(spark, monkeypatch):
+def test_quantiles_equal_the_built_in_ones(spark, monkeypatch):
     df = spark.range(5000).select(
-        (F.col("id") % 3).alias("g"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"),
         F.when(F.col("id") % 3 == 0, 7.0).otherwise((F.col("id") * 7919 % 5003).cast("double")).alias("x"),
         F.when(F.col("id") % 11 != 0, F.sqrt("id")).alias("y"),
+        F.when(F.col("id") % 3 == 1, F.exp(F.col("id") / 500) * F.when(F.col("id") % 2 == 0, -1).otherwise(1)).alias("z"),
     )
     probs = [0.0, 0.02, 0.1, 0.5, 0.77, 0.98, 1.0]
-
-    def take():
-        got = quantiles.quantile_frame(df, ["x", "y"], probs, ["g"]).collect()
-        return sorted((r["g"], r["variable"], tuple(r["quantiles"])) for r in got)
-
-    direct = take()
-    monkeypatch.setattr(quantiles, "DIRECT_ROWS", 10)
-    for accuracy in (10_000, 100):  # groups as their own bracket, and narrow brackets
-        monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", accuracy)
-        assert take() == direct
+    grid = F.array(*[F.lit(p) for p in probs])
+    for by in ([], ["g"]):
+        want = {(r["g"] if by else None, c): r[c] for r in df.groupBy(*by).agg(*[F.percentile(c, grid).alias(c) for c in "xyz"]).collect() for c in "xyz"}
+        for bins in (4096, 16):  # a few passes, and many
+            monkeypatch.setattr(quantiles, "BINS", bins)
+            got = {(r["g"] if by else None, r["variable"]): r["quantiles"] for r in quantiles.quantile_frame(df, ["x", "y", "z"], probs, by).collect()}
+            assert got.keys() == want.keys()
+            assert all((got[k] is None and w is None) or got[k] == pytest.approx(w, rel=1e-13) for k, w in want.items())
+
+
+def test_quantiles_of_extreme_values(spark):
+    inf = float("inf")
+    x = [inf, -inf, 1.7e308, -1.7e308, 5e-324, 0.0, 1e-9, 3.0, float("nan")]
+    df = spark.createDataFrame([(v, "a") for v in x] + [(None, "b")], "x double, g string")
+    got = quantiles.fit_quantiles(df, ["x"], [i / 8 for i in range(9)])["x"]
+    assert got[:8] == [-inf, -1.7e308, 0.0, 5e-324, 1e-9, 3.0, 1.7e308, inf] and got[8] != got[8]
+    rows = {r["g"]: r["quantiles"] for r in quantiles.quantile_frame(df, ["x"], [0.125, 0.25], ["g"]).collect()}
+    assert rows == {"a": [-1.7e308, 0.0], "b": None}
+    assert quantiles.fit_quantiles(df.limit(0), ["x"], [0.5]) == {"x": [None]}
 
 
 # --- scalars -----------------------------------------------------------------------------------------------
