@@ -20,8 +20,8 @@ from tabwright.schema import union_names
 )
 def _(spark, sf):
     df = item_frame(spark, sf)
-    rates = df.groupBy("linenumber").agg(F.avg((F.col("target") == "R").cast("int")).alias("rate"), F.count(F.lit(1)).alias("_rows"))
-    out = attach(df, rates, ["linenumber"], weight="_rows", how="inner")
+    rates = df.groupBy("linenumber").agg(F.avg((F.col("target") == "R").cast("int")).alias("rate"))
+    out = attach(df, rates, ["linenumber"], how="inner")
     return out.groupBy("linenumber", "quantity", "rate").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -90,9 +90,9 @@ def _(spark, sf):
     return copies.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("lines").alias("lines"))
 
 
-DONOR_SQL = f"""SELECT r.*, d.qty AS dq, d.lines AS dl, d.tax AS dt FROM
-  (SELECT *, row_number() OVER (ORDER BY md5(id || ':999'), id) AS pos FROM ({ORDER_SQL}) AS a) AS r
-  JOIN (SELECT qty, lines, tax, row_number() OVER (ORDER BY md5(id || ':999-donor'), id) AS pos FROM ({ORDER_SQL}) AS b) AS d ON d.pos = r.pos"""
+# the donor is the next row of the random order, the first one for the last
+DONOR_SQL = f"""SELECT *, coalesce(lead(qty) OVER o, first_value(qty) OVER o) AS dq, coalesce(lead(lines) OVER o, first_value(lines) OVER o) AS dl,
+  coalesce(lead(tax) OVER o, first_value(tax) OVER o) AS dt FROM ({ORDER_SQL}) AS a WINDOW o AS (ORDER BY md5(id || ':999'), id)"""
 
 
 @query("permuted_rows", f"SELECT id, qty, lines, dq, dl FROM ({DONOR_SQL}) AS j")

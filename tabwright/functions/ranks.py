@@ -8,6 +8,7 @@ ranges to a window that runs inside each range.
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil, log
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,7 @@ from tabwright.functions.hashing import hash_hex
 from tabwright.functions.lookup import broadcast_if_light
 from tabwright.session import settle
 
-HEX_DIGITS = 3  # 4096 ranges of the hash space, and of each range again
+HEX_DIGITS = 3  # digits of a hash looked at together: 4096 ranges at least
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
@@ -87,9 +88,11 @@ def ordered_index(
     )
 
 
-def _hashed(df: DataFrame, key: str | Sequence[str], seed: int | str) -> DataFrame:
-    hashed = df.withColumn("_hash", hash_hex(key, seed))
-    return hashed.withColumn("_range", F.substring("_hash", 1, HEX_DIGITS))
+def hash_ranges(df: DataFrame, key: str | Sequence[str], seed: int | str) -> DataFrame:
+    """Add the seeded hash of the key, `_hash`, and its leading digits, `_range`: as many ranges as shuffle partitions at least."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    digits = max(HEX_DIGITS, ceil(log(max(parts, 2), 16)) + 1)
+    return df.withColumn("_hash", hash_hex(key, seed)).withColumn("_range", F.substring("_hash", 1, digits))
 
 
 def hashed_index(
@@ -103,7 +106,7 @@ def hashed_index(
     """
     by = list(by)
     keys = [key] if isinstance(key, str) else list(key)
-    hashed = _hashed(df, keys, seed)
+    hashed = hash_ranges(df, keys, seed)
     earlier = W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = hashed.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"))
     offsets = offsets.select(

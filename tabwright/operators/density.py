@@ -22,10 +22,10 @@ def _keys(by: str | Sequence[str] | None) -> list[str]:
     return [] if by is None else [by] if isinstance(by, str) else list(by)
 
 
-def _with_stats(data: DataFrame, stats: DataFrame, keys: list[str], weight: str | None = None) -> DataFrame:
+def _with_stats(data: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Add per-group statistics to the rows: as literals without groups, by lookup otherwise."""
     if keys:
-        return attach(data, stats, keys, weight=weight, how="inner")
+        return attach(data, stats, keys, how="inner")
     row = stats.first()
     return data.withColumns({c: F.lit(row[c]) for c in stats.columns})
 
@@ -35,7 +35,7 @@ def histogram(df: DataFrame, column: str, by: str | Sequence[str] | None = None,
     keys = _keys(by)
     data = df.select(*keys, F.col(column).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     ranges = data.groupBy(*keys).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    located = _with_stats(data, ranges, keys, "_n")
+    located = _with_stats(data, ranges, keys)
     width = (F.col("_hi") - F.col("_lo")) / bins
     cell = F.least(F.floor(F.try_divide(F.col("_x") - F.col("_lo"), width)), F.lit(bins - 1))
     counts = located.groupBy(*keys, F.coalesce(cell, F.lit(0)).cast("int").alias("bin")).agg(
@@ -117,7 +117,7 @@ def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 50, by: str | Sequence
         cell("_x", gridsize).alias("sx"), cell("_y", int(gridsize / 3**0.5)).alias("sy"),
         F.count(F.lit(1)).alias("_n"),
     )
-    rows = _with_stats(data, ranges, keys, "_n")
+    rows = _with_stats(data, ranges, keys)
     rows = rows.withColumns({"u": (F.col("_x") - F.col("x0")) / F.col("sx"), "v": (F.col("_y") - F.col("y0")) / F.col("sy")})
     i1, j1, i2, j2 = F.floor(F.col("u") + 0.5), F.floor(F.col("v") + 0.5), F.floor("u"), F.floor("v")
 

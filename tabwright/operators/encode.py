@@ -13,7 +13,7 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader,
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.lookup import BROADCAST_ROWS, attach
+from tabwright.functions.lookup import attach
 from tabwright.functions.ranks import ordered_index
 from tabwright.operators.prepare import _Stage
 from tabwright.operators.profile import level_table, most_frequent
@@ -63,10 +63,8 @@ class _LevelModel(_Stage, Model):
     def _level_join(self, df: DataFrame, feature: str, payload: str) -> DataFrame:
         """Left join the level table of one feature; `payload` becomes `_payload`."""
         table = self.levels.filter(F.col("variable") == feature)
-        table = table.select(F.col("value").alias(feature), F.col(payload).alias("_payload"), F.col("n").alias("_rows"))
-        if self.getOrDefault("sizes").get(feature, 0) <= BROADCAST_ROWS:
-            return df.join(F.broadcast(table.drop("_rows")), feature, "left")
-        return attach(df, table, [feature], weight="_rows").drop("_rows")
+        table = table.select(F.col("value").alias(feature), F.col(payload).alias("_payload"))
+        return attach(df, table, [feature], settled=True)
 
 
 # --- lumping -----------------------------------------------------------------------------------------

@@ -85,9 +85,9 @@ def group_transform(df: DataFrame, key: str, value: str, stat: str, name: str) -
     non-missing values. The groups are aggregated first, so a hot key is never gathered in one task.
     """
     groups = df.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.avg(value).alias("_mean"), F.count(value).alias("_count"), F.count(F.lit(1)).alias("_rows")
+        F.avg(value).alias("_mean"), F.count(value).alias("_count")
     )
-    out = attach(df, groups, [key], weight="_rows")
+    out = attach(df, groups, [key])
     result = F.col("_mean") if stat == "mean" else F.try_divide(F.col(value), F.col("_count"))
     return out.withColumn(name, result).select(*df.columns, name)
 

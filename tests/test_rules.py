@@ -206,14 +206,30 @@ def test_lookup_gives_the_same_rows_by_every_plan(spark, monkeypatch):
     df = spark.range(1000).select(F.when(F.col("id") % 10 != 9, F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50)).alias("k"), "id")
     table = df.filter("k IS NOT NULL AND k <> 7").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("s"))
     for how in ("left", "inner"):
-        small = rows(attach(df, table, ["k"], "n", how), F.coalesce("k", F.lit(-1)), "id", F.coalesce("s", F.lit(-1)))
-        monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
-        for hot in (10**9, 100):
-            monkeypatch.setattr(lookup, "HOT_ROWS", hot)
-            assert rows(attach(df, table, ["k"], "n", how), F.coalesce("k", F.lit(-1)), "id", F.coalesce("s", F.lit(-1))) == small
+        small = rows(attach(df, table, ["k"], how), F.coalesce("k", F.lit(-1)), "id", F.coalesce("s", F.lit(-1)))
+        monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+        assert rows(attach(df, table, ["k"], how), F.coalesce("k", F.lit(-1)), "id", F.coalesce("s", F.lit(-1))) == small
         monkeypatch.undo()
 
 
+def test_heavy_keys_spread_over_tasks(spark, monkeypatch):
+    """Half of the rows have one key and a fifth none: no task joins more than a part of them."""
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    df = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 5 != 1, F.col("id")).alias("k"), "id")
+    assert lookup.heavy_keys(df, F.xxhash64("k"), 8) != []
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = attach(df, df.filter("k IS NOT NULL").select("k").distinct().withColumn("v", F.col("k") + 1), ["k"])
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert joined.filter("v = k + 1").count() == df.filter("k IS NOT NULL").count() and joined.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(sizes) < 5_000
+
+
 # --- statistics --------------------------------------------------------------------------------------------
 
 
