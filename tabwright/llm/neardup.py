@@ -5,20 +5,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.texts import text_slices
+from tabwright.llm.texts import spare, text_slices
 from tabwright.session import settle
 
 WORDS = 5  # per shingle
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4  # a pair at 0.8 shares no band with probability (1 - 0.8 ** 4) ** 20 = 3e-5
-BUCKET = 16  # up to so many texts of a bucket are compared with each other, beyond that with leaders
-AGREE = 48  # samples that a pair of a larger bucket shares at least: a pair at 0.8 has fewer of its 80 with probability 1.2e-5
-LIMITS = (2, 32, None)  # partners per text and cell that are checked in the rounds over larger buckets
-CELL = 512  # texts of a bucket on each side of one comparison of samples
+CELL, CELL_BYTES = 512, 4_000_000  # texts of a family that are compared with each other in one place, and their bytes
+BLOCK_SIDE = 2_048  # texts on each side of a block in which candidates of different cells are looked for
+COLUMNS = 1_024  # shingles multiplied at once
 DF_BITS = 17  # document frequencies are counted per word hash of so many bits
 DRAWS = 1 << 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -197,24 +197,130 @@ def texts_of(contents: DataFrame, named: DataFrame, docs: DataFrame) -> DataFram
     return settle(texts.mapInArrow(right, "content binary, text string").dropDuplicates(["content"]))
 
 
-def verify(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
-    """Similarity of candidate pairs from their whole texts: a, b, similar."""
+def overlaps(owner: np.ndarray, code: np.ndarray, weight: np.ndarray, texts: int, left: int) -> np.ndarray:
+    """Shared weight of the first `left` texts (rows) with all others, or with each other if there are no others.
+
+    The smaller of two weights of a shingle is the sum of the steps between its distinct weights that both reach, so a
+    step is a column that the texts reaching it share, and the sums are matrix products over blocks of columns.
+    """
+    order = np.lexsort((weight, code))
+    owner, code, weight = owner[order], code[order], weight[order].astype(np.float64)
+    new_code = np.ones(len(code), bool)
+    new_code[1:] = code[1:] != code[:-1]
+    group = np.cumsum(new_code) - 1
+    shared = np.bincount(group)[group] > 1  # shingles of one text are in no overlap
+    owner, code, weight, new_code = owner[shared], code[shared], weight[shared], new_code[shared]
+    new_step = new_code.copy()
+    new_step[1:] |= weight[1:] != weight[:-1]
+    step = np.cumsum(new_step) - 1
+    height = weight[new_step]
+    height[1:] -= np.where(new_code[new_step][1:], 0.0, height[:-1].copy())
+    first = step[new_code][np.cumsum(new_code) - 1] if len(step) else step
+    reached = step - first + 1
+    column = np.repeat(first, reached) + np.arange(reached.sum()) - np.repeat(np.cumsum(reached) - reached, reached)
+    row = np.repeat(owner, reached)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    across = slice(left, None) if left < texts else slice(None)
+    out = np.zeros((left, texts - left if left < texts else texts))
+    for start in range(0, len(height), COLUMNS):
+        x, y = np.searchsorted(column, [start, start + COLUMNS])
+        block = np.zeros((texts, min(COLUMNS, len(height) - start)))
+        block[row[x:y], column[x:y] - start] = 1.0
+        out += (block[:left] * height[start : start + COLUMNS]) @ block[across].T
+    return out
+
+
+def similar(shared: np.ndarray, total_left: np.ndarray, total_right: np.ndarray) -> np.ndarray:
+    """Whether texts reach SIMILARITY, from shared and whole weights."""
+    union = total_left[:, None] + total_right[None, :] - shared
+    return (union > 0) & (shared >= SIMILARITY * union - 1e-12 * union)
+
+
+def spanning(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (i, j), one less than its texts for each connected part of a symmetric matrix of links."""
+    free, a, b = np.ones(len(linked), bool), [], []
+    for i in range(len(linked)):
+        if not free[i]:
+            continue
+        free[i] = False
+        border = [i]
+        while border:
+            at = border.pop()
+            new = np.flatnonzero(linked[at] & free)
+            free[new] = False
+            border += new.tolist()
+            a += [at] * len(new)
+            b += new.tolist()
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def in_groups(batches: Iterable[pa.RecordBatch], keys: list[str], limit: int = 400_000) -> Iterator[tuple[pa.Table, np.ndarray, list[str]]]:
+    """Whole runs of equal keys in sorted rows, together about `limit` bytes of text: (rows, starts of the runs, texts)."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def run() -> tuple[pa.Table, np.ndarray, list[str]]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        return table, np.flatnonzero(changes(table)), [t or "" for t in table.column("text").to_pylist()]
+
+    def changes(rows) -> np.ndarray:
+        new = np.zeros(rows.num_rows, bool)
+        new[:1] = True
+        for k in keys:
+            codes = rows.column(k).to_numpy(zero_copy_only=False) if not isinstance(rows, pa.Table) else rows.column(k).to_numpy()
+            new[1:] |= codes[1:] != codes[:-1]
+        return new
+
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        starts = [*np.flatnonzero(changes(batch)).tolist(), batch.num_rows]
+        for x, y in zip(starts, starts[1:]):
+            part = batch.slice(x, y - x)
+            key = tuple(part.column(k)[0].as_py() for k in keys)
+            if held and key != last and size >= limit:
+                yield run()
+                held, size = [], 0
+            held.append(part)
+            size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+            last = key
+    if held:
+        yield run()
+
+
+def verified(rows: DataFrame, keys: list[str], weights) -> DataFrame:
+    """Links (a, b) that connect the similar texts of each group of `rows` (keys…, side, content, text).
+
+    All texts of a group are compared exactly, each on side 0 with those on side 1, or with each other where there is
+    no side 1. At most one link less than texts leaves a group, whatever the number of similar pairs.
+    """
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, one in text_slices(batches, column="text_a"):
-            keys = [rows.column(c).to_pylist() for c in ("a", "b")]
-            known = dict(zip(keys[0] + keys[1], one + rows.column("text_b").to_pylist()))  # a leader is in many pairs
-            flat, sizes, _ = word_hashes([*known.values()])
+        for table, starts, texts in in_groups(batches, keys):
+            flat, sizes, _ = word_hashes(texts)
             owner, code, weight = shingles(flat, sizes, weights.value)
-            cut = np.searchsorted(owner, np.arange(len(sizes) + 1))
-            sets = {k: (code[x:y], weight[x:y]) for k, x, y in zip(known, cut, cut[1:])}
-            close = [similarity(sets[x], sets[y]) for x, y in zip(*keys)]
-            yield pa.RecordBatch.from_arrays([rows.column("a"), rows.column("b"), pa.array(close, pa.float64())], ["a", "b", "similarity"])
-
-    both = pairs.join(texts.select(F.col("content").alias("b"), F.col("text").alias("text_b")), "b")
-    both = both.join(texts.select(F.col("content").alias("a"), F.col("text").alias("text_a")), "a")
-    checked = both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a binary, b binary, similarity double")
-    return checked.select("a", "b", (F.col("similarity") >= SIMILARITY).alias("similar"))
+            cut = np.searchsorted(owner, np.arange(len(texts) + 1))
+            total = np.add.reduceat(np.r_[weight, 0.0].astype(np.float64), np.minimum(cut[:-1], len(weight))) * (np.diff(cut) > 0)
+            side = table.column("side").to_numpy()
+            content = table.column("content").combine_chunks()
+            for x, y in zip(starts, [*starts[1:], len(texts)]):
+                inside = slice(cut[x], cut[y])
+                left = int(y - x - side[x:y].sum())  # side 0 comes first
+                shared = overlaps(owner[inside] - x, code[inside], weight[inside], y - x, left)
+                if left < y - x:
+                    linked = np.zeros((y - x, y - x), bool)
+                    linked[:left, left:] = similar(shared, total[x : x + left], total[x + left : y])
+                    linked |= linked.T
+                else:
+                    linked = similar(shared, total[x:y], total[x:y])
+                a, b = spanning(linked)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([content.take(pa.array(a + x)), content.take(pa.array(b + x))], ["a", "b"])
+
+    dealt = rows.select(*keys, "side", "content", "text").repartition(*keys).sortWithinPartitions(*keys, "side")
+    return dealt.mapInArrow(compare, "a binary, b binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -238,97 +344,65 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, signed: DataFrame, weights) -> DataFrame:
-    """Pairs (a, b) of different contents that connect all texts linked by verified pairs of a shared bucket.
+    """Pairs (a, b) of different contents that connect all texts linked by similar pairs of a shared bucket.
 
-    A bucket of up to BUCKET contents has its pairs checked. In a larger one every content is checked against the
-    least one, its leader; then all pairs of the bucket that no links connect yet have their samples compared, and
-    those that share AGREE of them are checked, the closest first, as links found make further checks needless.
-    Matched contents stay partners of the others. After the last round every such pair is checked or connected.
+    A family is a content, the leader, with all contents of the buckets in which it is the least one. Its contents are
+    dealt to cells, each with the leader, and all pairs of a cell are compared exactly. Families of several cells
+    that are not connected then have the pairs between cells compared too: those that share a bucket and are not
+    connected yet, in blocks of (texts outside the largest connected part) x (all). Cells and blocks hold each text
+    once and send links that span what they found, so what moves grows with the texts and not with their pairs.
     """
     named = signed.filter(F.col("content").isNotNull()).groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.first("samples").alias("samples"))
-    named = settle(named)
-    keys = F.array(*[F.xxhash64(F.lit(b), F.slice("samples", b * ROWS + 1, ROWS)) for b in range(BANDS)])
-    banded = named.select("content", F.explode(keys).alias("key"))
-
-    def sized(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Rows of buckets that hold more than one content, with the size and the leader, small ones and large ones."""
-        counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("content").alias("leader")).filter("size > 1")
-        both = settle(rows.join(counts, "key"))
-        return both.filter(F.col("size") <= BUCKET), both.filter(F.col("size") > BUCKET)
-
-    def within(rows: DataFrame) -> DataFrame:
-        a, b = rows.select("key", F.col("content").alias("a")), rows.select("key", F.col("content").alias("b"))
-        return a.join(b, "key").filter("a < b").select("a", "b").distinct()
-
-    def led(rows: DataFrame) -> DataFrame:
-        return rows.filter("content != leader").select(F.col("leader").alias("a"), F.col("content").alias("b")).distinct()
-
-    small, large = sized(banded)
-    # all later pairs are of these contents too: the documents are moved once
-    texts = texts_of(small.unionByName(large).select("content").distinct(), named, docs)
-    checked = settle(verify(settle(within(small).unionByName(led(large)).distinct()), texts, weights))
-    if large.isEmpty():
-        return checked.filter("similar").select("a", "b")
-
-    total = settle(checked.filter("similar").select("a", "b"))
-    done = checked.select("a", "b")
-    hot = settle(large.select("key", "content").join(named.select("content", "samples"), "content"))
-    roots = components(total)
-    for limit in LIMITS:
-        found = settle(apart(hot, roots, limit))
-        pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        checked = settle(verify(settle(pairs.join(done, ["a", "b"], "left_anti")), texts, weights))
-        linked = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = components(linked.unionByName(checked.filter("similar").select("a", "b")))
-        if found.filter("more").isEmpty():
-            break
-        done = settle(done.unionByName(checked.select("a", "b")))
-    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-
-
-def apart(hot: DataFrame, roots: DataFrame, limit: int | None) -> DataFrame:
-    """Pairs of a bucket that `roots` does not connect and that share AGREE samples: a, b, more.
-
-    The texts outside the largest connected part of a bucket are compared with all texts of it, in cells of about
-    CELL x CELL texts. A text gets the `limit` closest partners of each cell; `more` says that it had others.
-    """
-
-    def compare(cell: pa.Table) -> pa.Table:
-        cell = cell.combine_chunks()
-        own = cell.column("own").to_numpy()
-        part = cell.column("part").combine_chunks().dictionary_encode().indices.to_numpy()
-        values = cell.column("samples").combine_chunks().flatten().to_numpy().reshape(len(own), -1)
-        x, y = np.flatnonzero(own), np.flatnonzero(~own)
-        shared = np.zeros((len(x), len(y)), np.uint8)
-        for one, other in zip(values[x].T, values[y].T):
-            shared += one[:, None] == other
-        shared[part[x][:, None] == part[y]] = 0
-        open_ = shared >= AGREE
-        more = np.zeros(len(x), bool)
-        if limit is not None and limit < len(y):
-            more = open_.sum(axis=1) > limit
-            closest = np.argpartition(shared, len(y) - limit, axis=1)[:, len(y) - limit :]
-            picked = np.zeros_like(open_)
-            np.put_along_axis(picked, closest, True, axis=1)
-            open_ &= picked
-        i, j = np.nonzero(open_)
-        content = cell.column("content").combine_chunks()
-        return pa.table({"a": content.take(pa.array(x[i])), "b": content.take(pa.array(y[j])), "more": pa.array(more[i])})
-
-    rows = hot.join(roots.withColumnRenamed("node", "content"), "content", "left")
-    rows = settle(rows.select("key", "content", "samples", F.coalesce("root", "content").alias("part")))
-    parts = rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
-    sizes = parts.groupBy("key").agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("part", F.struct("n", "part")).alias("main"))
-    rows = settle(rows.join(sizes.filter("most < all"), "key"))
-    cells = lambda size: F.ceil(size / CELL).cast("int")
+    bands = F.array(*[F.xxhash64(F.lit(b), F.slice("samples", b * ROWS + 1, ROWS)) for b in range(BANDS)])
+    named = settle(named.select("content", "doc_id", bands.alias("bands")))
+    banded = named.select("content", F.explode("bands").alias("key"))
+    leaders = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("content").alias("leader")).filter("size > 1")
+    family = settle(banded.join(leaders, "key").select("leader", "content").distinct())
+    texts = texts_of(family.select("content").distinct(), named, docs)
+    lengths = texts.select("content", F.octet_length("text").alias("bytes"))
+    sizes = family.join(lengths, "content").groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    cells = F.greatest(F.ceil(F.col("n") / CELL), F.ceil(F.col("bytes") / CELL_BYTES)).cast("int")
+    sizes = settle(sizes.select("leader", "n", cells.alias("cells")))
+    members = family.join(sizes, "leader")
+    own = F.when(F.col("content") == F.col("leader"), F.sequence(F.lit(0), F.col("cells") - 1)).otherwise(F.array(F.pmod(F.xxhash64("content"), F.col("cells")).cast("int")))
+    dealt = members.select("leader", "content", F.explode(own).alias("cell"), F.lit(0).alias("side")).join(texts, "content")
+    found = settle(verified(dealt.withColumn("leader", F.xxhash64("leader")), ["leader", "cell"], weights).distinct())
+    spread = members.filter("cells > 1").select("leader", "content")
+    if spread.isEmpty():
+        return found
+    return found.unionByName(between(spread, named.select("content", "bands"), components(found), texts, weights))
+
+
+def between(family: DataFrame, named: DataFrame, roots: DataFrame, texts: DataFrame, weights) -> DataFrame:
+    """Links (a, b) between texts of a family that share a bucket and that `roots` does not connect."""
+
+    def involved(block: pa.Table) -> pa.Table:
+        """The rows of a block with a candidate on the other side, found by their buckets alone."""
+        block = block.combine_chunks()
+        side, part = block.column("side").to_numpy(), block.column("part").to_numpy()
+        bands = block.column("bands").combine_chunks().flatten().to_numpy().reshape(len(side), -1)
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        open_ = np.zeros((len(x), len(y)), bool)
+        for one, other in zip(bands[x].T, bands[y].T):
+            open_ |= one[:, None] == other
+        open_ &= part[x][:, None] != part[y]
+        keep = np.r_[x[open_.any(axis=1)], y[open_.any(axis=0)]]
+        return block.select(["leader", "i", "j", "side", "content"]).take(pa.array(keep))
+
+    rows = family.join(named, "content").join(roots.withColumnRenamed("node", "content"), "content", "left")
+    rows = settle(rows.select(F.xxhash64("leader").alias("leader"), "content", "bands", F.xxhash64(F.coalesce("root", "content")).alias("part")))
+    parts = rows.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("leader").agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("part", F.struct("n", "part")).alias("main"))
+    rows = settle(rows.join(sizes.filter("most < all"), "leader"))
+    blocks = lambda size: F.ceil(size / BLOCK_SIDE).cast("int")
     place = lambda n: F.pmod(F.xxhash64("content"), n).cast("int")
-    across, down = cells(F.col("all")), cells(F.col("all") - F.col("most"))
-    names = ["key", "content", "samples", "part"]
     upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = rows.filter("part != main").select(*names, F.lit(True).alias("own"), place(down).alias("i"), upto(across).alias("j"))
-    right = rows.select(*names, F.lit(False).alias("own"), place(across).alias("j"), upto(down).alias("i"))
-    both = left.unionByName(right)
-    return both.groupBy("key", "i", "j").applyInArrow(compare, "a binary, b binary, more boolean")
+    across, down = blocks(F.col("all")), blocks(F.col("all") - F.col("most"))
+    names = ["leader", "content", "bands", "part"]
+    left = rows.filter("part != main").select(*names, F.lit(0).alias("side"), place(down).alias("i"), upto(across).alias("j"))
+    right = rows.select(*names, F.lit(1).alias("side"), place(across).alias("j"), upto(down).alias("i"))
+    both = left.unionByName(right).groupBy("leader", "i", "j").applyInArrow(involved, "leader long, i int, j int, side int, content binary")
+    return verified(settle(both).join(texts, "content"), ["leader", "i", "j"], weights).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -362,14 +436,15 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of `docs` less all but one document of each class, the one with the least doc_id.
 
     Of several rows of the class that have this doc_id one stays. Rows with a null doc_id go only if a row of their
-    class has one. Rows that share a doc_id with different texts are judged each by its own text.
+    class has one. Rows that share a doc_id with different texts are judged each by its own text. All columns of `docs`
+    stay as they are, whatever their names.
     """
+    of, at, root, stays = (spare(docs, c) for c in ("_member", "_mark", "_root", "_stays"))
     member = marked_classes(docs).filter("class_size > 1").select("doc_id", "mark", "root", "class_id").distinct()
-    stays = F.col("doc_id").eqNullSafe(F.col("class_id"))
-    named = settle(member.select(F.col("doc_id").alias("_member"), F.col("mark").alias("_of"), F.col("root").alias("_root"), stays.alias("_stays")))
-    marked = docs.withColumn("_mark", mark())
-    of = F.col("doc_id").eqNullSafe(F.col("_member")) & (F.col("_mark") == F.col("_of"))
-    alone = marked.join(named, of, "left_anti").select(docs.columns)
-    one = marked.join(named.filter(F.col("_stays") & F.col("_member").isNotNull()), of).dropDuplicates(["_root"]).select(docs.columns)
-    nameless = marked.join(named.filter(F.col("_stays") & F.col("_member").isNull()), of, "left_semi").select(docs.columns)
+    named = settle(member.select(F.col("doc_id").alias(of), F.col("mark").alias(f"{at}_of"), F.col("root").alias(root), F.col("doc_id").eqNullSafe(F.col("class_id")).alias(stays)))
+    marked = docs.withColumn(at, mark())
+    same = F.col("doc_id").eqNullSafe(F.col(of)) & (F.col(at) == F.col(f"{at}_of"))
+    alone = marked.join(named, same, "left_anti").select(docs.columns)
+    one = marked.join(named.filter(F.col(stays) & F.col(of).isNotNull()), same).dropDuplicates([root]).select(docs.columns)
+    nameless = marked.join(named.filter(F.col(stays) & F.col(of).isNull()), same, "left_semi").select(docs.columns)
     return alone.unionByName(one).unionByName(nameless)

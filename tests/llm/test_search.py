@@ -97,7 +97,7 @@ def test_links_in_a_hot_bucket(spark, monkeypatch):
         for j in range(2):
             docs.append((2 * i + j, " ".join([*own[:59], f"copy{j}", *passage])))
             want[2 * i + j] = 2 * i
-    monkeypatch.setattr(neardup, "BUCKET", 2)
+    monkeypatch.setattr(neardup, "CELL", 8)
     got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == want
 
@@ -111,7 +111,7 @@ def test_close_links_in_a_hot_bucket(spark, monkeypatch):
         for j in range(2):
             docs.append((2 * i + j, " ".join([*own, *words(rng, n), *passage])))
             want[2 * i + j] = 2 * i
-    monkeypatch.setattr(neardup, "BUCKET", 2)
+    monkeypatch.setattr(neardup, "CELL", 8)
     df = spark.createDataFrame(docs, "doc_id long, text string")
     sets = shingle_sets(df, [t for _, t in docs])
     pairs = [neardup.similarity(sets[2 * i], sets[2 * i + 1]) for i in range(150)]
@@ -163,6 +163,41 @@ def test_all_links_found(spark, some):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_overlaps_are_those_of_pairs():
+    """Shared weights by matrix products, with repeated shingles, equal weights and texts without words."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(list("abcd"), n)) for n in rng.integers(0, 60, 30)] + ["", "a b c", "a b c"]
+    flat, sizes, _ = neardup.word_hashes(texts)
+    weights = rng.uniform(0.5, 3, 1 << neardup.DF_BITS).astype(np.float32)
+    owner, code, weight = neardup.shingles(flat, sizes, weights)
+    cut = np.searchsorted(owner, np.arange(len(texts) + 1))
+    sets = [(code[a:b], weight[a:b]) for a, b in zip(cut, cut[1:])]
+    total = np.array([w.sum(dtype=float) for _, w in sets])
+    whole = neardup.overlaps(owner, code, weight, len(texts), len(texts))
+    for left in (10, len(texts)):
+        shared = neardup.overlaps(owner, code, weight, len(texts), left)
+        for i in range(left):
+            for j in range(left if left < len(texts) else 0, len(texts)):
+                m = shared[i, j - left if left < len(texts) else j]
+                assert m == pytest.approx(whole[i, j])
+                union = total[i] + total[j] - m
+                assert (m / union if union else 0.0) == pytest.approx(neardup.similarity(sets[i], sets[j]), abs=1e-6)
+
+
+def test_spanning_links():
+    linked = np.zeros((7, 7), bool)
+    for i, j in ((0, 3), (3, 5), (0, 5), (1, 2)):
+        linked[i, j] = linked[j, i] = True
+    a, b = neardup.spanning(linked)
+    assert len(a) == 3 and {frozenset(p) for p in zip(a.tolist(), b.tolist())} <= {frozenset(p) for p in ((0, 3), (3, 5), (0, 5), (1, 2))}
+
+
+def test_names_of_the_operator_in_the_input(spark, odd):
+    docs = odd.selectExpr("doc_id", "text", "7 AS _mark", "8 AS _root", "9 AS _member", "10 AS _stays")
+    kept = neardup.one_of_each(docs)
+    assert kept.columns == docs.columns and {tuple(r)[2:] for r in kept.collect()} == {(7, 8, 9, 10)}
+
+
 def test_samples_estimate_similarity():
     rng = np.random.default_rng(3)
     code = np.sort(rng.integers(0, 2**63, 400).astype(np.uint64))
