@@ -64,17 +64,25 @@ class Forest:
             low, high = np.where(enough, middle, low), np.where(enough, high, middle - 1)
         return low
 
+    def offered(self, low: np.ndarray, high: np.ndarray, query_id: int) -> np.ndarray:
+        """Distinct rows in the runs of all trees, less those of the query's own id."""
+        found = np.zeros(len(self.ids), bool)
+        for t in range(self.trees):
+            found[self.rows[t][low[t] : high[t]]] = True
+        return np.flatnonzero(found & (self.ids != query_id))
+
     def search(self, query_ids: np.ndarray, q: np.ndarray, wanted: int, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The k best of each query's candidates by exact cosine: (rows of the shard, scores)."""
         codes = hash_strings(q, self.trees, self.seed)
-        low, high = self.ranges(codes, self.depths(codes, wanted))
+        depth = self.depths(codes, wanted)
+        low, high = self.ranges(codes, depth)
         norm = np.sqrt((q * q).sum(axis=1))
         for i in range(len(q)):
-            found = np.zeros(len(self.ids), bool)
-            for t in range(self.trees):
-                found[self.rows[t][low[i, t] : high[i, t]]] = True
-            found &= self.ids != query_ids[i]
-            rows = np.flatnonzero(found)
+            rows = self.offered(low[i], high[i], query_ids[i])
+            while len(rows) < k and depth[i]:  # offers repeat over trees and hold the query itself: ascend until k others are found
+                depth[i] -= 1
+                a, b = self.ranges(codes[i : i + 1], depth[i : i + 1])
+                rows = self.offered(a[0], b[0], query_ids[i])
             if len(rows) > k:  # a first look by one product, then the same sum for every row near the k-th
                 rough = (self.x[rows] @ q[i]) / (self.norm[rows] * norm[i])
                 rows = rows[rough >= np.partition(rough, -k)[-k] - 1e-9]
@@ -120,7 +128,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, trees: int = TREES
     every shard, and a query's best k per shard are merged. Per query and shard the trees are ascended in step
     until enough candidates are on offer. How many are enough is measured: a pilot of at most PILOT queries (those
     with the smallest hash) is matched exactly against all rows, and the number is the smallest with which the
-    search reaches `recall` of their true neighbours. Scores are double-precision cosines of the original vectors;
+    search reaches `recall` of their true neighbours; a query ascends further until a shard offers it k other rows, or all
+    it has, so copies and repeated offers never leave it without neighbours. Scores are double-precision cosines of the original vectors;
     ties go to the smaller vec_id; a query with fewer than k other vectors gets all of them. Vectors that are null,
     empty, zero or not finite take no part; vectors of another dimension than the query's are no candidates.
     vec_ids are taken as unique; of rows with the same vec_id none is a candidate for another.
