@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.texts import held_out, text_slices
+from tabwright.llm.texts import held_out, least_rows, text_slices
 from tabwright.session import settle
 
 TRAIN_ROWS = 20_000  # labelled documents that the ranking is fitted on
@@ -79,7 +79,9 @@ class Ranking:
     """Bradley-Terry scores: the odds that one document is preferred to another are exp(score - score)."""
 
     def __init__(self, x: np.ndarray, label: np.ndarray, penalty: float = 1e-3, seed: int = 3):
-        self.centre, self.width = x.mean(axis=0), x.std(axis=0) + 1e-6
+        some = len(x) > 0
+        self.centre = x.mean(axis=0) if some else np.zeros(x.shape[1])
+        self.width = (x.std(axis=0) if some else np.ones(x.shape[1])) + 1e-6
         z = expanded(x, self.centre, self.width)
         self.weights = np.zeros(z.shape[1])
         good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
@@ -106,7 +108,7 @@ class Ranking:
 
 def fit(table: DataFrame, rows: int = TRAIN_ROWS) -> Ranking:
     """Fit on at most `rows` rows (x, quality), those with the smallest hash of doc_id."""
-    sample = table.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(rows).select("x", "quality").collect()
+    sample = least_rows(table, F.xxhash64(F.col("doc_id").cast("string")), rows, "doc_id").select("x", "quality").collect()
     x = np.array([r["x"] for r in sample], float).reshape(-1, len(FEATURES))
     return Ranking(x, np.array([r["quality"] for r in sample]))
 
@@ -115,8 +117,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     """Quality of every whole text: doc_id, held_out, score, predicted.
 
     Preference pairs are drawn between documents of label 1 and 0 among at most `rows` labelled documents that are
-    not held out. Labels that are null, or contradict each other for one doc_id, are not learned; with labels of one
-    kind only every score is THRESHOLD. A null or empty text has zeros for features and is scored like any other.
+    not held out. Labels that are null, or contradict each other for one doc_id, are not learned; without labels, or
+    with labels of one kind only, every score is THRESHOLD. A null or empty text has zeros for features and is scored like any other.
     Repeated rows are returned as often as they occur.
     """
     table = settle(described(docs))
