@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabwright.llm.encoding import word_encoder
-from tabwright.llm.texts import text_slices
+from tabwright.llm.texts import spare, text_slices
 from tabwright.session import settle
 
 CAPACITY = 4096
@@ -188,10 +188,12 @@ def pack(table: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, seed: i
 
     Rows are dealt to blocks at random by hash, packed block by block, and the rows of bins that are not nearly
     full are packed once more in blocks of their own, since every block leaves about one partly filled bin.
-    Equal lengths and repeated rows are packed like any others; an empty table gives an empty result.
+    Equal lengths and repeated rows are packed like any others; an empty table gives an empty result. Where the table
+    has columns of the new names, underscores are put before the new ones.
     """
-    table = settle(table.withColumn("_row", F.monotonically_increasing_id()))
-    rows = table.select(F.col("_row").alias("row"), "length")
+    row, sequence, offset = (spare(table, c) for c in ("_row", "sequence_id", "offset"))
+    table = settle(table.withColumn(row, F.monotonically_increasing_id()))
+    rows = table.select(F.col(row).alias("row"), "length")
     count = rows.count()
 
     def dealt(part: DataFrame, n: int, level: int) -> DataFrame:
@@ -202,11 +204,11 @@ def pack(table: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, seed: i
     loose = F.col("fill") < int(FULL * capacity)
     again = first.filter(loose).join(rows, "row").select("row", "length")
     second = _islands(dealt(again, first.filter(loose).count(), 1), capacity, seed + 1)
-    name = lambda level: (F.col("block") * 2 * (1 << 20) + F.col("bin") * 2 + level).alias("sequence_id")
+    name = lambda level: (F.col("block") * 2 * (1 << 20) + F.col("bin") * 2 + level).alias(sequence)
     placed = first.filter(~loose).select("row", name(0)).unionByName(second.select("row", name(1)))
-    order = W.partitionBy("sequence_id").orderBy(F.desc("length"), "_row")
-    joined = table.join(placed.withColumnRenamed("row", "_row"), "_row")
-    return joined.withColumn("offset", F.sum("length").over(order) - F.col("length")).drop("_row")
+    order = W.partitionBy(sequence).orderBy(F.desc("length"), row)
+    joined = table.join(placed.withColumnRenamed("row", row), row)
+    return joined.withColumn(offset, F.sum("length").over(order) - F.col("length")).drop(row)
 
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY, keep: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.llm.texts import spare
 from tabwright.session import settle
 
 WINDOW = 5
@@ -220,8 +221,9 @@ def judge(docs: DataFrame, *more: Column) -> DataFrame:
 
 
 def accept(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that are kept; rows that share a doc_id, or have none, each by its own verdict."""
+    """The rows of `docs` that are kept, with all their columns; rows that share a doc_id, or have none, each by its own verdict."""
     mark = F.xxhash64(group("text"), group("lang"), group("source"))  # all that a verdict depends on
-    bad = judge(docs, mark.alias("_of")).filter(~F.col("kept")).select(F.col("doc_id").alias("_bad"), "_of").distinct()
-    marked = docs.withColumn("_mark", mark)
-    return marked.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")) & (F.col("_mark") == F.col("_of")), "left_anti").select(docs.columns)
+    own, of, at = (spare(docs, c) for c in ("_bad", "_of", "_mark"))
+    bad = judge(docs, mark.alias(of)).filter(~F.col("kept")).select(F.col("doc_id").alias(own), of).distinct()
+    marked = docs.withColumn(at, mark)
+    return marked.join(bad, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(at) == F.col(of)), "left_anti").select(docs.columns)

@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from tabwright.llm import language, quality_rules, quality_scores, secrets
+from tabwright.llm import language, quality_rules, quality_scores, secrets, texts
 
 SF = "/root/testdata/sf0.01"
 
@@ -148,3 +148,22 @@ def test_forest_from_given_findings(spark, some):
     test = [(secrets.describe(k, v, b, a, p, known), float(y)) for k, v, b, a, p, y in secrets.labelled_examples(400, seed=6)]
     frame = spark.createDataFrame(test, "x array<double>, label double").select(array_to_vector("x").alias("features"), "label")
     assert model.transform(frame).filter("prediction = label").count() / len(test) > 0.95
+
+
+def test_names_of_the_operator_in_the_input(odd):
+    docs = odd.selectExpr("doc_id", "text", "lang", "source", "7 AS _mark", "8 AS _of", "9 AS _bad")
+    kept = quality_rules.accept(docs)
+    assert kept.columns == docs.columns and {tuple(r)[4:] for r in kept.collect()} == {(7, 8, 9)}
+
+
+def test_scores_without_labels(spark, odd):
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    rows = quality_scores.score_quality(odd, labels).collect()
+    assert len(rows) == odd.count() and {(r["score"], r["predicted"]) for r in rows} == {(quality_scores.THRESHOLD, 1)}
+
+
+def test_least_rows(spark):
+    table = spark.range(0, 5_000).withColumn("h", F.xxhash64("id"))
+    for n in (0, 1, 700, 6_000):
+        want = [r["id"] for r in table.orderBy("h", "id").limit(n).collect()]
+        assert [r["id"] for r in texts.least_rows(table, F.col("h"), n, "id").collect()] == want

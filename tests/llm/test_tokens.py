@@ -119,3 +119,25 @@ def test_crossover_keeps_items():
         child = packing.crossover(a, b, sizes, 4096, rng)
         assert (child >= 0).all() and packing.fills(child, sizes).max() <= 4096 and len(np.unique(child)) == child.max() + 1
         a, b = b, child
+
+
+def test_crossover_beats_best_fit(spark):
+    """Lengths of which two or three fill a sequence: islands end with fewer sequences than best fit by decreasing length."""
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(1000, 2100, 3000)
+    plain = np.full(len(sizes), -1, np.int32)
+    fitted = packing.best_fit(np.argsort(-sizes, kind="stable").tolist(), sizes, plain, [], 0, 4096)
+    population = packing.first_generation(sizes, 4096, packing.POPULATION, rng)
+    assert len(population) > 1
+    evolved = packing.evolve(population, sizes, 4096, packing.CROSSOVERS, packing.POPULATION, rng)
+    assert max(p.max() + 1 for p in evolved[:1]) < min(p.max() + 1 for p in population) <= fitted
+    packed = packing.pack(spark.createDataFrame([(int(s),) for s in sizes], "length long"))
+    assert packed.select("sequence_id").distinct().count() < fitted
+
+
+def test_names_of_packing_in_the_input(spark):
+    table = spark.createDataFrame([(100 + i, i, "x", "y") for i in range(50)], "length long, _row int, sequence_id string, offset string")
+    packed = packing.pack(table)
+    assert packed.columns[:4] == table.columns and packed.count() == 50
+    assert {tuple(r)[2:4] for r in packed.collect()} == {("x", "y")} and packed.select("_sequence_id").distinct().count() == 2
+    assert sorted(r["_row"] for r in packed.collect()) == list(range(50))
