@@ -336,8 +336,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     orders = table(spark, sf, "orders")
-    labels = P.label_codes(orders, "o_orderpriority")
-    return orders.select("o_orderkey", P.label_encode("o_orderpriority", labels).alias("code"))
+    return P.with_label_codes(orders, "o_orderpriority").select("o_orderkey", "code")
 
 
 @query(

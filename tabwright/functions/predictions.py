@@ -5,6 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.functions.lookup import attach
+from tabwright.functions.ranks import ordered_index
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -73,12 +76,18 @@ def with_residuals(df: DataFrame, y: str = "target", yhat: str = "yhat", target_
     return out
 
 
-def label_codes(df: DataFrame, column: str, max_labels: int = 10_000) -> list:
-    """Sorted labels of a class target; their positions are the codes."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(max_labels + 1).collect()
-    if len(rows) > max_labels:
-        raise ValueError(f"{column} has more than {max_labels} labels and is no class target")
-    return sorted(r[0] for r in rows)
+def label_codes(df: DataFrame, column: str) -> list:
+    """Sorted labels of a class target; their positions are the codes. A model has an output for each of them.
+
+    `with_label_codes` numbers any number of labels without a list.
+    """
+    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
+
+
+def with_label_codes(df: DataFrame, column: str, name: str = "code") -> DataFrame:
+    """Add the position of each label among the sorted ones; null for a null label. Labels are numbered in a table."""
+    table = ordered_index(df.select(column).filter(F.col(column).isNotNull()).distinct(), [column], name=name)
+    return attach(df, table.select(column, F.col(name).cast("int").alias(name)), [column])
 
 
 def label_encode(column: str | Column, labels: Sequence) -> Column:

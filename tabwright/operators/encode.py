@@ -4,16 +4,17 @@ Level tables can be as long as the data has levels, so the fitted state of targe
 unseen-level rule is a DataFrame (saved as parquet), never a dictionary on the driver.
 """
 
+from bisect import bisect_right
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.param import Param, Params
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.lookup import attach
+from tabwright.functions.lookup import attach, broadcast_if_light
 from tabwright.functions.ranks import ordered_index
 from tabwright.operators.prepare import _Stage
 from tabwright.operators.profile import level_table, most_frequent
@@ -21,9 +22,6 @@ from tabwright.operators.reshape import melt
 from tabwright.schema import ENCODED, OTHER
 from tabwright.session import settle
 
-MAX_ONE_HOT_LEVELS = 1_000_000  # levels of all columns together; the design matrix needs them on the driver
-
-
 class _StateWriter(MLWriter):
     def __init__(self, instance):
         super().__init__()
@@ -52,6 +50,7 @@ class _LevelModel(_Stage, Model):
     """Model whose state is a level table `levels`."""
 
     levels: DataFrame | None = None
+    _marked: dict = {}  # the table of each feature, measured once
 
     def write(self):
         return _StateWriter(self)
@@ -64,7 +63,10 @@ class _LevelModel(_Stage, Model):
         """Left join the level table of one feature; `payload` becomes `_payload`."""
         table = self.levels.filter(F.col("variable") == feature)
         table = table.select(F.col("value").alias(feature), F.col(payload).alias("_payload"))
-        return attach(df, table, [feature], settled=True)
+        if feature not in self._marked:
+            self._marked = {**self._marked, feature: (table, broadcast_if_light(table))}
+        table, light = self._marked[feature]
+        return df.join(light, feature, "left") if light is not table else attach(df, table, [feature], settled=True)
 
 
 # --- lumping -----------------------------------------------------------------------------------------
@@ -229,7 +231,8 @@ class MapUnseenModel(_LevelModel):
 class DesignMatrix(_Stage, Estimator):
     """Metric columns followed by one indicator per category seen when fitting, as one sparse vector.
 
-    A category that was not seen is an error, as is a missing metric value.
+    A category that was not seen is an error, as is a missing metric value. Categories are numbered in a table, however
+    many there are; the driver holds their number per column.
     """
 
     cate = Param(Params._dummy(), "cate", "categorical columns")
@@ -240,25 +243,25 @@ class DesignMatrix(_Stage, Estimator):
         self._store(features=list(metr), cate=list(cate), output=output)
 
     def _fit(self, dataset: DataFrame) -> "DesignMatrixModel":
-        cate = list(self._value("cate"))
-        levels: dict[str, list[str]] = {c: [] for c in cate}
+        cate, spark = list(self._value("cate")), dataset.sparkSession
+        sizes = dict.fromkeys(cate, 0)
         if cate:
             found = melt(dataset, [], cate).filter(F.col("value").isNotNull()).distinct()
-            rows = found.limit(MAX_ONE_HOT_LEVELS + 1).collect()
-            if len(rows) > MAX_ONE_HOT_LEVELS:
-                raise ValueError(f"more than {MAX_ONE_HOT_LEVELS} categories; lump or encode them first")
-            for r in rows:
-                levels[r["variable"]].append(r["value"])
-        return DesignMatrixModel(self._names(), {c: sorted(v) for c, v in levels.items()}, self._value("output"))
+            levels = settle(ordered_index(found, ["value"], keys=["variable"]).select("variable", "value", "idx"))
+            sizes |= {r["variable"]: r["n"] for r in levels.groupBy("variable").agg(F.count(F.lit(1)).alias("n")).collect()}
+        else:
+            levels = spark.createDataFrame([], "variable string, value string, idx long")
+        return DesignMatrixModel(self._names(), levels, sizes, self._value("output"))
 
 
-class DesignMatrixModel(_Stage, Model):
-    levels = Param(Params._dummy(), "levels", "categories per categorical column")
+class DesignMatrixModel(_LevelModel):
+    sizes = Param(Params._dummy(), "sizes", "number of categories per categorical column")
     output = Param(Params._dummy(), "output", "vector column")
 
-    def __init__(self, metr: Sequence[str] = (), levels: dict | None = None, output: str = "features"):
+    def __init__(self, metr: Sequence[str] = (), levels: DataFrame | None = None, sizes: dict | None = None, output: str = "features"):
         super().__init__()
-        self._store(features=list(metr), levels=levels, output=output)
+        self._store(features=list(metr), sizes=sizes, output=output)
+        self.levels = levels
 
     @property
     def metr(self) -> list[str]:
@@ -266,43 +269,72 @@ class DesignMatrixModel(_Stage, Model):
 
     @property
     def cate(self) -> list[str]:
-        return list(self._value("levels"))
+        return list(self._value("sizes"))
 
-    def positions(self) -> list[tuple[int, str, str | None]]:
-        """(position, variable, value) of every slot of the vector."""
-        slots = [(m, None) for m in self.metr] + [(c, v) for c, vs in self._value("levels").items() for v in vs]
-        return [(i, variable, value) for i, (variable, value) in enumerate(slots)]
+    def spans(self) -> dict[str, range]:
+        """The positions of each variable."""
+        out, start = {m: range(i, i + 1) for i, m in enumerate(self.metr)}, len(self.metr)
+        for c, n in self._value("sizes").items():
+            out[c] = range(start, start + n)
+            start += n
+        return out
 
-    def map_frame(self, df: DataFrame) -> DataFrame:
-        """`positions` as a DataFrame."""
-        return df.sparkSession.createDataFrame(self.positions(), "position int, variable string, value string")
+    @property
+    def width(self) -> int:
+        return len(self.metr) + sum(self._value("sizes").values())
+
+    def owner(self, positions: Sequence[int]) -> dict[int, str]:
+        """The variable of each of the positions."""
+        names, ends, out = list(self.spans()), [r.stop for r in self.spans().values()], {}
+        for p in positions:
+            out[p] = names[bisect_right(ends, p)]
+        return out
+
+    def map_frame(self, df: DataFrame | None = None) -> DataFrame:
+        """Position, variable and value (null for a metric column) of every slot of the vector."""
+        spark, spans = self.levels.sparkSession, self.spans()
+        own = spark.createDataFrame([(i, m, None) for i, m in enumerate(self.metr)], "position int, variable string, value string")
+        start = F.lit(0)
+        for c in self.cate:
+            start = F.when(F.col("variable") == c, spans[c].start).otherwise(start)
+        hot = self.levels.select((start + F.col("idx")).cast("int").alias("position"), "variable", F.col("value").cast("string").alias("value"))
+        return own.unionByName(hot)
+
+    def positions(self, only: Sequence[int] | None = None) -> list[tuple[int, str, str | None]]:
+        """`map_frame` as a list, of all slots or of some."""
+        found = self.map_frame() if only is None else self.map_frame().filter(F.col("position").isin([int(p) for p in only]))
+        return sorted((tuple(r) for r in found.collect()), key=lambda r: r[0])
+
+    def _indexed(self, df: DataFrame) -> DataFrame:
+        """Add the number of each category among those of its column, `_c_index`; null for one not seen."""
+        for c in self.cate:
+            df = self._level_join(df, c, "idx").withColumnRenamed("_payload", f"_{c}_index")
+        return df
 
     def long(self, df: DataFrame, key: str) -> DataFrame:
         """The matrix in long form (key, position, value), zeros left out."""
-        start, cells = len(self.metr), []
+        cells, spans = [], self.spans()
         for i, m in enumerate(self.metr):
             cells.append(F.struct(F.lit(i).alias("position"), F.col(m).cast("double").alias("value")))
-        for c, values in self._value("levels").items():
-            slot = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(c)) - 1 + start
-            cells.append(F.struct(slot.cast("int").alias("position"), F.lit(1.0).alias("value")))
-            start += len(values)
-        out = df.select(key, F.inline(F.array(*cells)))
+        for c in self.cate:
+            slot = (F.col(f"_{c}_index") + spans[c].start).cast("int")
+            cells.append(F.struct(slot.alias("position"), F.lit(1.0).alias("value")))
+        out = self._indexed(df).select(key, F.inline(F.array(*cells)))
         return out.filter((F.col("value") != 0) & (F.col("position").isNotNull()))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        levels, output = self._value("levels"), self._value("output")
-        df, columns, parts = dataset, dataset.columns, list(self.metr)
-        many = {c: v for c, v in levels.items() if len(v) > 1}
+        sizes, output = self._value("sizes"), self._value("output")
+        df, columns, parts = self._indexed(dataset), dataset.columns, list(self.metr)
+        for c in sizes:
+            error = F.raise_error(F.concat(F.lit(f"unseen label of {c}: "), F.coalesce(F.col(c).cast("string"), F.lit("null"))))
+            df = df.withColumn(f"_{c}_index", F.when(F.col(f"_{c}_index").isNotNull(), F.col(f"_{c}_index").cast("double")).otherwise(error))
+        many = {c: n for c, n in sizes.items() if n > 1}
         if many:
-            index, hot = [f"_{c}_index" for c in many], [f"_{c}_hot" for c in many]
-            for c, v in many.items():
-                df = StringIndexerModel.from_labels(v, c, f"_{c}_index", "error").transform(df)
-            df = _one_hot_model(df, index, hot, [len(v) for v in many.values()]).transform(df)
-        for c, v in levels.items():
-            if len(v) <= 1:
-                error = F.raise_error(F.concat(F.lit(f"unseen label of {c}: "), F.coalesce(F.col(c), F.lit("null"))))
-                df = df.withColumn(f"_{c}_hot", F.when(F.col(c).isin(*v), 1.0).otherwise(error) if v else error)
-        parts += [f"_{c}_hot" for c in levels]
+            df = _one_hot_model(df, [f"_{c}_index" for c in many], [f"_{c}_hot" for c in many], list(many.values())).transform(df)
+        for c, n in sizes.items():
+            if n <= 1:
+                df = df.withColumn(f"_{c}_hot", F.col(f"_{c}_index") + 1.0)
+        parts += [f"_{c}_hot" for c in sizes]
         df = VectorAssembler(inputCols=parts, outputCol=output, handleInvalid="error").transform(df)
         return df.select(*[c for c in columns if c != output], output)
 

@@ -5,13 +5,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.predictions import label_codes
 from tabwright.functions.ranks import cumulate, summed_rank_products, with_centred_rank
 from tabwright.functions.scalars import columns_with_missing
 from tabwright.operators.metrics import auc_from_counts
 from tabwright.operators.prepare import Binning
 from tabwright.operators.reshape import melt
 from tabwright.schema import BINNED, MISSING
+from tabwright.session import settle
 
 
 def _leveled(df: DataFrame, features: Sequence[str], target: str, n_bins: int) -> DataFrame:
@@ -34,12 +34,15 @@ def _importance_class(df, features, target, n_bins) -> DataFrame:
 
 
 def _importance_multiclass(df, features, target, n_bins) -> DataFrame:
-    labels = label_codes(df, target)
-    levels = _leveled(df, features, target, n_bins).groupBy("feature", "level").agg(
-        F.count(F.lit(1)).alias("n"), F.array(*[F.count_if(F.col(target) == x) for x in labels]).alias("counts")
-    )
-    per_class = levels.select("feature", "n", F.posexplode("counts").alias("class", "pos"))
-    per_class = per_class.withColumn("score", F.col("pos") / F.col("n"))
+    """Mean one-versus-rest AUC over any number of classes: only levels that hold rows of a class are listed for it."""
+    cells = settle(_leveled(df, features, target, n_bins).groupBy("feature", "level", F.col(target).alias("class")).agg(F.count(F.lit(1)).alias("pos")))
+    sizes = cells.groupBy("feature", "level").agg(F.sum("pos").alias("n"))
+    totals = cells.groupBy("feature").agg(F.sum("pos").alias("_rows"))
+    listed = cells.join(sizes, ["feature", "level"]).select("feature", "class", "pos", "n", (F.col("pos") / F.col("n")).alias("score"))
+    # the levels without a row of the class share score 0
+    rest = listed.groupBy("feature", "class").agg(F.sum("n").alias("_held")).join(F.broadcast(totals), "feature")
+    rest = rest.select("feature", "class", F.lit(0).cast("long").alias("pos"), (F.col("_rows") - F.col("_held")).alias("n"), F.lit(0.0).alias("score"))
+    per_class = listed.unionByName(rest.filter("n > 0"))
     table = cumulate(per_class, "score", {"pos": F.sum("pos"), "neg": F.sum(F.col("n") - F.col("pos"))}, ["feature", "class"])
     aucs = auc_from_counts(table, ["feature", "class"])
     return aucs.groupBy("feature").agg(F.avg("auc").alias("importance"))

@@ -23,9 +23,6 @@ from tabwright.session import settle
 
 Scorer = Callable[[DataFrame], DataFrame]
 
-MAX_GRID = 10_000  # values of one categorical feature in a partial dependence
-
-
 # --- permutation importance ------------------------------------------------------------------------------
 
 
@@ -123,19 +120,23 @@ def train_versus_test(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def dependence_grid(df_ref: DataFrame, metr: Sequence[str], cate: Sequence[str], n: int = 10) -> dict[str, list]:
-    """Grid per feature: quantiles 0, 1/n … 1 of a metric one, all categories of a categorical one."""
+    """Grid per feature: quantiles 0, 1/n … 1 of a metric one, all categories of a categorical one.
+
+    The lists become columns of copied rows; for trees and any number of categories see `fitted_dependence`.
+    """
     grid: dict[str, list] = {}
     if metr:
         grid |= fit_quantiles(df_ref, list(metr), [i / n for i in range(n + 1)])
-    if cate:
-        rows = melt(df_ref, [], list(cate)).filter(F.col("value").isNotNull()).distinct().limit(MAX_GRID * len(cate) + 1).collect()
-        for c in cate:
-            grid[c] = sorted(r["value"] for r in rows if r["variable"] == c)
-            if len(grid[c]) > MAX_GRID or len(rows) > MAX_GRID * len(cate):
-                raise ValueError(f"{c} has too many categories for a partial dependence; lump it first")
+    for r in category_grid(df_ref, cate).orderBy("feature", "value").collect() if cate else []:
+        grid.setdefault(r["feature"], []).append(r["value"])
     return grid
 
 
+def category_grid(df_ref: DataFrame, cate: Sequence[str]) -> DataFrame:
+    """All categories as a table (feature, value)."""
+    return melt(df_ref, [], list(cate), "feature").filter(F.col("value").isNotNull()).distinct()
+
+
 def with_grid(df: DataFrame, grid: dict[str, list], metr: Sequence[str]) -> DataFrame:
     """One copy of each row per (feature, grid value) in which the feature holds that value."""
     cells = [
@@ -206,10 +207,12 @@ def fitted_dependence(
     """`partial_dependence` of a fitted model. Trees are read once per row for all grid values; other models score copies."""
     if fitted.kind not in ("random_forest", "boosted_trees"):
         return partial_dependence(df, lambda d: fitted.score(d, b_sample, b_all), metr, cate, df_ref, fitted.target_type, labels, n)
-    grid = dependence_grid(df if df_ref is None else df_ref, metr, cate, n)
+    df_ref = df if df_ref is None else df_ref
+    grid = dependence_grid(df_ref, metr, [], n)
     names = list(labels) if fitted.target_type == MULTICLASS else ["target"]
     kind = F.when(F.col("feature").isin(*metr), "metr").otherwise("cate") if metr else F.lit("cate")
-    return tree_dependence(fitted, df, grid, names, b_sample, b_all).withColumn("type", kind)
+    levels = category_grid(df_ref, cate) if cate else None
+    return tree_dependence(fitted, df, grid, names, levels, b_sample, b_all).withColumn("type", kind)
 
 
 def dependence_band(dependence: DataFrame, over_runs: DataFrame, ci: str = "std") -> DataFrame:

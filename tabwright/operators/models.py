@@ -176,7 +176,7 @@ def fit_model(
     ready = ready.select(features, F.col(target).cast("double").alias("_label"))
     n_rows = ready.count() if spec.kind == "l1_logistic" else 0
     args = (target_type, features)
-    n_inputs = len(design.positions())
+    n_inputs = design.width
     if spec.kind == "boosted_trees" and target_type == MULTICLASS:
         models = []
         ready = settle(ready)  # every ensemble reads it
@@ -192,8 +192,10 @@ def gain_importance(fitted: Fitted) -> DataFrame:
     """Share of the split gain per variable, one-hot positions summed; multi-class boosters are averaged."""
     sums: dict[str, float] = {}
     for m in fitted.models:
-        for position, variable, _ in fitted.design.positions():
-            sums[variable] = sums.get(variable, 0.0) + float(m.featureImportances[position]) / len(fitted.models)
+        gains = m.featureImportances
+        for variable, span in fitted.design.spans().items():
+            inside = (gains.indices >= span.start) & (gains.indices < span.stop)
+            sums[variable] = sums.get(variable, 0.0) + float(gains.values[inside].sum()) / len(fitted.models)
     rows = sorted(sums.items(), key=lambda r: (-r[1], r[0]))
     return SparkSession.active().createDataFrame(rows, "feature string, gain double")
 

@@ -47,9 +47,7 @@ def linear_model_contributions(fitted: Fitted, df: DataFrame, df_ref: DataFrame,
     betas = [model.coefficients.toArray()] if regression else list(model.coefficientMatrix.toArray())
     base = [float(model.intercept)] if regression else [float(b) for b in model.interceptVector]
     means = ready(df_ref).select(Summarizer.mean(F.col(fitted.features))).first()[0].toArray()
-    spans: dict[str, list[int]] = {}
-    for position, variable, _ in fitted.design.positions():
-        spans.setdefault(variable, []).append(position)
+    spans = {v: list(span) for v, span in fitted.design.spans().items()}
     x = vector_to_array(fitted.features)
 
     def part(beta, at: list[int]) -> Column:

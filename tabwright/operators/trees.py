@@ -230,11 +230,10 @@ def tree_contributions(fitted: Fitted, df: DataFrame, keep: str | Sequence[str])
     intercepts = np.zeros(outputs)
     for t in trees:
         intercepts[t.outputs] += t.mean
-    variables = list(dict.fromkeys(variable for _, variable, _ in fitted.design.positions()))
-    owner = {position: variables.index(variable) for position, variable, _ in fitted.design.positions()}
+    variables = list(fitted.design.spans())
     to_variable = np.zeros((len(used), len(variables)))
-    for i, f in enumerate(used):
-        to_variable[i, owner[f]] = 1.0
+    for i, v in enumerate(fitted.design.owner(used).values()):
+        to_variable[i, variables.index(v)] = 1.0
 
     def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -294,6 +293,7 @@ def tree_dependence(
     df: DataFrame,
     grid: dict[str, list],
     labels: Sequence[str] = ("target",),
+    levels: DataFrame | None = None,
     b_sample: Sequence[float] | None = None,
     b_all: Sequence[float] | None = None,
 ) -> DataFrame:
@@ -302,20 +302,21 @@ def tree_dependence(
     No row is copied. A row reaches a leaf for some values of a variable if it satisfies the path's conditions on
     all others; with the leaves each value can reach, known beforehand, one reading of a tree gives the row's outputs
     for all values of all variables. Values are handled in cells that no split tells apart, so the work depends on
-    the trees and not on the length of the grid. Tasks send one sum per variable, cell and class.
+    the trees and not on the length of the grid. Tasks send one sum per variable, cell and class. `grid` lists values;
+    `levels`, a table (feature, value) of categorical variables, may hold any number of them.
     """
-    variables = list(grid)
-    number = {v: i for i, v in enumerate(variables)}
-    owner = {position: number.get(variable, len(variables)) for position, variable, _ in fitted.design.positions()}
-    trees, used, outputs = prepare_trees(fitted, checkpoint_dir(df.sparkSession), owner.__getitem__)
-    values = {v: list(dict.fromkeys(vs)) for v, vs in grid.items()}
+    names = list(dict.fromkeys([*grid, *(() if levels is None else fitted.design.cate)]))
+    own = lambda f: fitted.design.owner([f])[f]
+    trees, used, outputs = prepare_trees(fitted, checkpoint_dir(df.sparkSession), lambda f: names.index(own(f)) if own(f) in names else len(names))
+    variables, told_apart = names, fitted.design.positions(used)
+    values = {v: list(dict.fromkeys(grid[v])) if v in grid else [None, *(g for _, w, g in told_apart if w == v)] for v in variables}
     slots = {f: i for i, f in enumerate(used)}
     points = []
     for v in variables:
         inputs = np.zeros((len(values[v]), max(len(used), 1)))
         place = {g: i for i, g in enumerate(values[v])}
-        for position, variable, level in fitted.design.positions():
-            if variable != v or position not in slots:
+        for position, variable, level in told_apart:
+            if variable != v:
                 continue
             if level is None:
                 inputs[:, slots[position]] = [float(g) for g in values[v]]
@@ -376,7 +377,14 @@ def tree_dependence(
     ready, inputs = used_inputs(fitted, df, used)
     parts = ready.select(inputs.alias("_x")).mapInArrow(run, "_v int, _cell int, _k int, _sum double, _n long")
     means = parts.groupBy("_v", "_cell", "_k").agg((F.sum("_sum") / F.sum("_n")).alias("yhat_mean"))
-    rows = [(v, name, str(g), int(c)) for v, name in enumerate(variables) for g, c in zip(values[name], cells[v])]
-    table = df.sparkSession.createDataFrame(rows, "_v int, feature string, value string, _cell int")
-    names = F.array(*[F.lit(x) for x in labels])
-    return table.join(means, ["_v", "_cell"]).select("feature", "value", names[F.col("_k")].alias("target"), "yhat_mean")
+    spark = df.sparkSession
+    rows = [(v, name, str(g), int(c)) for v, name in enumerate(variables) if name in grid for g, c in zip(values[name], cells[v])]
+    table = spark.createDataFrame(rows, "_v int, feature string, value string, _cell int")
+    if levels is not None:  # a level that no split mentions has the cell of them all
+        known = [(v, name, g, int(c)) for v, name in enumerate(variables) if name not in grid for g, c in zip(values[name], cells[v])]
+        known = spark.createDataFrame(known, "_v int, feature string, value string, _cell int")
+        others = known.filter("value IS NULL").select("feature", "_v", F.col("_cell").alias("_other"))
+        open_ = levels.select("feature", "value").join(F.broadcast(others), "feature")
+        table = table.unionByName(open_.join(F.broadcast(known.drop("_v")), ["feature", "value"], "left").select("_v", "feature", "value", F.coalesce("_cell", "_other").alias("_cell")))
+    classes = F.array(*[F.lit(x) for x in labels])
+    return table.join(means, ["_v", "_cell"]).select("feature", "value", classes[F.col("_k")].alias("target"), "yhat_mean")

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from common import SF
 from tabwright.catalog import frames
+from tabwright.functions.predictions import with_label_codes
 from tabwright.functions.ranks import hash_cuts, with_centred_rank, with_cut_code
-from tabwright.operators import assoc
+from tabwright.operators import assoc, encode
 from tabwright.operators.encode import TargetEncoding
 from tabwright.operators.importance import univariate_importance
 from tabwright.operators.metrics import spear
-from tabwright.operators.models import ModelSpec, _estimator
+from tabwright.operators.interpret import fitted_dependence
+from tabwright.operators.models import ModelSpec, _estimator, fit_model
 from tabwright.operators.profile import bottom_and_top
 from tabwright.operators.sample import Undersample
 from tabwright.plans.compare import tuning_table
@@ -141,3 +143,53 @@ def test_rank_matrix_of_many_columns(spark):
     own = mixed.toPandas().corr("spearman").abs()
     for r in assoc.metric_matrix(mixed, few).collect():
         assert r["value"] == pytest.approx(own.loc[r["var1"], r["var2"]], abs=1e-12)
+
+
+# --- any number of levels --------------------------------------------------------------------------------
+
+
+def test_design_matrix_of_two_million_levels(spark, tmp_path):
+    df = spark.range(0, 2_000_000, numPartitions=8).select(
+        F.col("id").cast("string").alias("c"), (F.col("id") % 3).cast("string").alias("d"), F.col("id").cast("double").alias("m")
+    )
+    model = encode.DesignMatrix(["m"], ["c", "d"]).fit(df)
+    assert model.width == 2_000_004 and model.owner([0, 1, 2_000_000, 2_000_001]) == {0: "m", 1: "c", 2_000_000: "c", 2_000_001: "d"}
+    few = df.filter("m IN (0, 7, 1999999)")
+    got = {int(r["m"]): r["features"] for r in model.transform(few).collect()}
+    ranks = {str(n): i for i, n in enumerate(sorted(map(str, range(2_000_000))))}
+    for n, v in got.items():
+        want = {0: float(n), 1 + ranks[str(n)]: 1.0, 2_000_001 + n % 3: 1.0}
+        assert v.size == 2_000_004 and dict(zip(v.indices.tolist(), v.values.tolist())) == {k: x for k, x in want.items() if x}
+    path = str(tmp_path / "design")
+    model.write().save(path)
+    again = encode.DesignMatrixModel.load(path)
+    assert again.width == model.width and again.spans() == model.spans()
+    assert sorted(map(tuple, again.long(few, "m").filter("m = 7").collect())) == [(7.0, 0, 7.0), (7.0, 1 + ranks["7"], 1.0), (7.0, 2_000_002, 1.0)]
+
+
+def test_labels_without_a_cap(spark):
+    df = spark.range(0, 30_000).select(F.when(F.col("id") > 0, F.col("id") * 2).alias("y"))
+    got = with_label_codes(df, "y")
+    assert got.filter("y IS NOT NULL AND code <> y / 2 - 1").isEmpty() and got.filter("y IS NULL AND code IS NULL").count() == 1
+
+
+def test_importance_of_many_classes(spark):
+    """A class for every third row; against a plain one-versus-rest AUC of the level shares."""
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"x": rng.choice(list("abcdefgh"), 600), "y": rng.integers(0, 200, 600)})
+    got = univariate_importance(spark.createDataFrame(pdf), ["x"], "y", "MULTICLASS", digits=None).first()["importance"]
+    aucs = []
+    for k in pdf["y"].unique():
+        p = pdf.groupby("x")["y"].transform(lambda v, k=k: (v == k).mean())
+        r, pos = p.rank(), pdf["y"] == k
+        aucs.append((r[pos].sum() - pos.sum() * (pos.sum() + 1) / 2) / (pos.sum() * (~pos).sum()))
+    assert got == pytest.approx(np.mean(aucs), abs=1e-9)
+
+
+def test_dependence_on_twenty_thousand_categories(spark):
+    df = spark.range(0, 20_000).select("id", F.concat(F.lit("c"), F.col("id").cast("string")).alias("c"), (F.col("id") % 50).cast("double").alias("m"))
+    few = df.withColumn("c", F.when(F.col("id") % 2 == 0, "even").otherwise("odd")).withColumn("t", F.col("m") + 10 * (F.col("id") % 2))
+    fitted = fit_model(ModelSpec("random_forest", {"n_estimators": 3, "max_depth": 4, "seed": 1}), few, encode.DesignMatrix(["m"], ["c"]).fit(few), "t", "REGR")
+    out = fitted_dependence(few, fitted, [], ["c"], df_ref=df.unionByName(few.select("id", "c", "m")))
+    got = {r["value"]: r["yhat_mean"] for r in out.collect()}
+    assert len(got) == 20_002 and len({v for k, v in got.items() if k not in ("even", "odd")}) == 1 and got["odd"] > got["even"] + 5
