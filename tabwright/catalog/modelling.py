@@ -11,7 +11,7 @@ from tabwright.catalog.projections import scratch
 from tabwright.catalog.registry import query
 from tabwright.catalog.reshaping import DONOR_SQL, SUMMARY_SQL
 from tabwright.catalog.statistics import auc_sql, box_sql
-from tabwright.operators import interpret, search, shap, stability
+from tabwright.operators import interpret, optimality, search, shap, stability
 from tabwright.operators.encode import DesignMatrix
 from tabwright.operators.metrics import score
 from tabwright.operators.models import ModelSpec, coefficients, fit_model, gain_importance
@@ -100,6 +100,41 @@ def _(spark, sf):
     return fitted_scores(spark, sf, ModelSpec("network", {"size": "6", "epochs": 20}))
 
 
+SLOTS_SQL = f"(SELECT 4 + count(DISTINCT flag) + count(DISTINCT status) + 1 FROM ({ORDER_SQL}) AS o)"
+LINEAR = {
+    "regression": (ModelSpec("elastic_net", {"alpha": 500.0, "l1_ratio": 1.0}), "y", "REGR", 2, 500.0, 1.0),
+    "ridge": (ModelSpec("elastic_net", {"alpha": 500.0, "l1_ratio": 0.0}), "y", "REGR", 2, 500.0, 0.0),
+    "class": (ModelSpec("elastic_net", {"alpha": 0.02, "l1_ratio": 0.5, "max_iter": 500}), "target", "CLASS", 2, 0.02, 0.5),
+    "multiclass": (ModelSpec("elastic_net", {"alpha": 0.01, "l1_ratio": 1.0, "max_iter": 500}), "target3", "MULTICLASS", 3, 0.01, 1.0),
+}
+for _name, (_spec, _target, _type, _n, _alpha, _l1) in LINEAR.items():
+    # every coefficient and intercept of every class: its optimality condition holds to a thousandth of the residual's deviation
+
+    @query(
+        f"optimality_linear_{_name}",
+        f"SELECT {_n if _type == 'MULTICLASS' else 1} * {SLOTS_SQL} AS conditions, {_n if _type == 'MULTICLASS' else 1} * {SLOTS_SQL} AS satisfied",
+    )
+    def _(spark, sf, spec=_spec, target=_target, target_type=_type, n=_n, alpha=_alpha, l1_ratio=_l1):
+        df = order_frame(spark, sf)
+        fitted = fit_model(spec, df, DesignMatrix(METR, CATE).fit(df), target, target_type, n)
+        found = optimality.linear_conditions(fitted, df, alpha, l1_ratio, target)
+        return found.agg(F.count(F.lit(1)).alias("conditions"), F.count_if(F.col("violation") < 1e-3).alias("satisfied"))
+
+
+for _name, (_target, _type, _n, _where) in {
+    "regression": ("y", "REGR", 2, 0), "class": ("target", "CLASS", 2, 0), "multiclass": ("target3", "MULTICLASS", 3, 2)
+}.items():
+    # all training rows lie in leaves of the first tree that predict their mean and were counted in training
+
+    @query(f"optimality_leaves_{_name}", f"SELECT count(*) AS n, count(*) AS n_close FROM ({ORDER_SQL}) AS o")
+    def _(spark, sf, target=_target, target_type=_type, n=_n, ensemble=_where):
+        df = order_frame(spark, sf)
+        fitted = fit_model(TREES.with_params(n_estimators=2), df, DesignMatrix(METR, CATE).fit(df), target, target_type, n)
+        leaves = optimality.first_tree_leaves(fitted, df, target, ensemble)
+        close = (F.abs(F.col("mean") - F.col("prediction")) <= 1e-9 * F.greatest(F.lit(1.0), F.abs("mean"))) & (F.col("n") == F.col("training_rows"))
+        return leaves.agg(F.sum("n").alias("n"), F.sum(F.when(close, F.col("n")).otherwise(0)).alias("n_close"))
+
+
 @query("gain_importance")
 def _(spark, sf):
     p = problem(spark, sf)

@@ -24,12 +24,17 @@ def local_session(cores: int | str = 8, name: str = "tabwright", checkpoints: st
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints: the one the cluster names, else one below the warehouse, which all executors share too."""
+    """Folder for checkpoints: the one the cluster names, else one below the warehouse, if that is set and so shared.
+
+    Without either only a local session has a folder that its tasks share: one below its working folder.
+    """
     sc = spark.sparkContext
     folder = sc.getCheckpointDir()
     if folder is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
+            if not sc.master.startswith("local") and sc.getConf().get("spark.sql.warehouse.dir") is None:
+                raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
             folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
         sc.setCheckpointDir(folder)
         folder = sc.getCheckpointDir()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from common import SF
 from tabwright.catalog.frames import order_frame
-from tabwright.operators import encode, interpret, models, shap, trees
+from tabwright.operators import encode, interpret, models, optimality, shap, trees
 from tabwright.session import checkpoint_dir
 
 METR, CATE = ["qty", "lines", "tax"], ["flag", "status"]
@@ -152,3 +152,15 @@ def test_waterfall_closes(orders, fits):
         )
         assert bars.filter("abs(sum - p) > 1e-9").isEmpty()
         assert bars.select("n").distinct().collect()[0][0] == 7 if topn in (None, 50) else topn + 3
+
+
+def test_conditions_tell_a_wrong_fit(orders, fits):
+    """The conditions hold for the penalty of the fit and fail for another one; leaves fit their own target only."""
+    fitted = fits["linear", "CLASS"]
+    assert optimality.linear_conditions(fitted, orders, 0.001).filter("violation > 1e-3").isEmpty()
+    wrong = optimality.linear_conditions(fitted, orders, 0.02).filter("violation > 1e-3")
+    assert wrong.count() >= 3
+    booster = models.fit_model(SPECS["booster"], orders, fitted.design, "y", "REGR")
+    leaves = optimality.first_tree_leaves(booster, orders, "y")
+    assert leaves.filter("abs(mean - prediction) > 1e-6 OR n <> training_rows").isEmpty() and leaves.count() > 4
+    assert not optimality.first_tree_leaves(booster, orders, "qty").filter("abs(mean - prediction) > 1e-6").isEmpty()
