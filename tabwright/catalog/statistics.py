@@ -20,7 +20,7 @@ from tabwright.catalog.frames import (
     table,
 )
 from tabwright.catalog.preparation import bin_sql
-from tabwright.catalog.registry import query
+from tabwright.catalog.registry import ORACLE, query
 from tabwright.functions.predictions import argmax, top_classes
 from tabwright.functions.ranks import mean_rank
 from tabwright.operators import assoc, curves, density, metrics
@@ -570,3 +570,68 @@ def _(spark, sf):
         item("calibration", F.col("bin"), F.col("y_mean")),
         item("residual", F.concat_ws("/", "lattice", "i", "j"), F.col("n")),
     )
+
+
+def registered(name: str, columns: str) -> str:
+    """Items of a registered query's SQL, as (frame, item, value)."""
+    return f"SELECT '{name}' AS frame, {columns} FROM ({ORACLE[name]}) AS q"
+
+
+@query(
+    "performance_report_multiclass",
+    " UNION ALL ".join(
+        [
+            registered("auc_one_vs_rest", "'auc' AS item, auc AS value"),
+            registered("auc_one_vs_rest", "'auc_weighted', auc_weighted"),
+            registered("confusion_matrix", "true_label || '/' || pred_label, CAST(n AS DOUBLE)"),
+            registered("calibration_per_class", "class || '/' || bin, y_mean"),
+            registered("class_table", "label, f1"),
+            f"SELECT 'roc', CAST(class AS VARCHAR), CAST(count(DISTINCT p) AS DOUBLE) FROM ({CLASSES_SQL}) AS c GROUP BY class",
+        ]
+    ),
+    num="value",
+    digits=9,
+)
+def _(spark, sf):
+    found = curves.performance_report(scored3_frame(spark, sf), "MULTICLASS", labels=["A", "N", "R"])
+
+    def item(name, frame, key, value):
+        return frame.select(F.lit(name).alias("frame"), key.alias("item"), value.cast("double").alias("value"))
+
+    return union_rows(
+        item("auc_one_vs_rest", found["auc"], F.lit("auc"), F.col("auc")),
+        item("auc_one_vs_rest", found["auc"], F.lit("auc_weighted"), F.col("auc_weighted")),
+        item("confusion_matrix", found["confusion"], F.concat_ws("/", "true_label", "pred_label"), F.col("n")),
+        item("calibration_per_class", found["calibration"], F.concat_ws("/", "class", "bin"), F.col("y_mean")),
+        item("class_table", found["classes"], F.col("label"), F.col("f1")),
+        item("roc", found["roc"].groupBy("class").agg(F.count_distinct("threshold").alias("n")), F.col("class").cast("string"), F.col("n")),
+    )
+
+
+SHARE_ITEMS_SQL = " UNION ALL ".join(
+    f"SELECT 'levels', 'linestatus', linestatus || '/{x}', avg(CASE WHEN target = '{x}' THEN 1.0 ELSE 0.0 END) FROM ({ITEM_SQL}) AS l GROUP BY linestatus"
+    for x in "ANR"
+)
+
+
+@query(
+    "distribution_profile_multiclass",
+    f"""SELECT 'histogram' AS frame, 'quantity' AS variable, target || '/' || bin AS item, density AS value FROM ({histogram_sql(ITEM_SQL, 'quantity', 'target')}) AS h
+    UNION ALL SELECT 'box', 'quantity', target, median FROM ({box_sql(ITEM_SQL, 'quantity', 'target')}) AS b
+    UNION ALL SELECT 'box', 'discount', target, median FROM ({box_sql(ITEM_SQL, 'discount', 'target')}) AS b
+    UNION ALL {SHARE_ITEMS_SQL}""",
+    num="value",
+    digits=9,
+)
+def _(spark, sf):
+    found = density.distribution_profile(item_frame(spark, sf), ["quantity", "discount", "linestatus"], "target", "MULTICLASS", ["A", "N", "R"])
+
+    def item(name, frame, key, value):
+        return frame.select(F.lit(name).alias("frame"), "variable", key.alias("item"), value.cast("double").alias("value"))
+
+    shares = [item("levels", found["levels"], F.concat("level", F.lit(f"/{x}")), F.col(f"share_{x}")) for x in "ANR"]
+    return union_rows(
+        item("histogram", found["histogram"].filter("variable = 'quantity'"), F.concat_ws("/", "target", "bin"), F.col("density")),
+        item("box", found["box"], F.col("target"), F.col("median")),
+        *shares,
+    )
