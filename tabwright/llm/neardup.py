@@ -17,8 +17,8 @@ WORDS = 5  # per shingle
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4  # a pair at 0.8 shares no band with probability (1 - 0.8 ** 4) ** 20 = 3e-5
 CELL, CELL_BYTES = 512, 4_000_000  # texts of a family that are compared with each other in one place, and their bytes
-BLOCK_SIDE = 2_048  # texts on each side of a block in which candidates of different cells are looked for
-COLUMNS = 1_024  # shingles multiplied at once
+BLOCK_SIDE = 1_024  # texts on each side of a block in which candidates of different cells are looked for
+COLUMNS = 512  # shingles multiplied at once
 DF_BITS = 17  # document frequencies are counted per word hash of so many bits
 DRAWS = 1 << 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
