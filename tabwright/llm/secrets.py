@@ -184,7 +184,7 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> frozenset:
         for _, texts in text_slices(batches):
             for t in texts:
                 total.update(_WORD.findall(t.lower()))
-            if len(total) > 500_000:
+            if len(total) > 100_000:
                 yield flush()
                 total.clear()
         yield flush()
