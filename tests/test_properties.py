@@ -1,5 +1,7 @@
 """Properties that hold for any data, and plan checks."""
 
+from hashlib import md5
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,6 +190,15 @@ def test_unused_feature_has_no_importance_and_linear_dependence_is_linear(orders
     assert all(r["yhat_mean"] == pytest.approx(float(r["value"]) / 400) for r in pd_)
 
 
+def test_donors_follow_a_random_order_of_their_own(spark):
+    def order(seed):
+        return sorted(range(300), key=lambda i: md5(f"{i}:{seed}".encode()).hexdigest())
+
+    df = spark.range(300).select("id", (F.col("id") * 2).cast("double").alias("x"))
+    got = {r["id"]: r["_donor_x"] for r in interpret.with_donor(df, "id", ["x"]).collect()}
+    assert got == {i: 2.0 * donor for i, donor in zip(order("999"), order("999-donor"))}
+
+
 def test_batches_do_not_change_importance(orders):
     def scorer(df):
         p = F.col("qty") / 400 + F.col("lines") / 40
