@@ -199,6 +199,21 @@ def test_donors_follow_a_random_order_of_their_own(spark):
     assert got == {i: 2.0 * donor for i, donor in zip(order("999"), order("999-donor"))}
 
 
+def test_importance_is_the_drop_under_donors_of_an_order_of_their_own(spark):
+    def order(seed):
+        return sorted(range(40), key=lambda i: md5(f"{i}:{seed}".encode()).hexdigest())
+
+    def auc(p):
+        wins = [(p[i] > p[j]) + (p[i] == p[j]) / 2 for i in range(40) for j in range(40) if i >= 25 > j]
+        return sum(wins) / len(wins)
+
+    df = spark.range(40).select("id", (F.col("id") >= 25).cast("int").alias("target"), (F.col("id") % 32 / 40).alias("x"))
+    got = interpret.permutation_importance(df, lambda d: d.withColumn("yhat", F.array(1 - F.col("x"), F.col("x"))), ["x"]).first()
+    donor = dict(zip(order("999"), order("999-donor")))
+    x = {i: i % 32 / 40 for i in range(40)}
+    assert got["perf_diff"] == pytest.approx(max(auc(x) - auc({i: x[donor[i]] for i in x}), 0))
+
+
 def test_batches_do_not_change_importance(orders):
     def scorer(df):
         p = F.col("qty") / 400 + F.col("lines") / 40
