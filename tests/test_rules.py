@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwright.functions import predictions as P
-from tabwright.functions import quantiles, scalars
+from tabwright.functions import quantiles, ranks, scalars
 from tabwright.functions.lookup import attach
 from tabwright.functions import lookup
 from tabwright.operators import assoc, encode, metrics, prepare, profile, sample, split
@@ -280,3 +280,14 @@ def test_metric_directions():
 def test_chunk_sizes_follow_the_first_longer_rule(spark):
     chunks = lambda n, k: spark.range(1).select(F.array(*split.chunk_counts(F.lit(n), k))).first()[0]
     assert chunks(11, 3) == [4, 8] and chunks(2, 4) == [1, 2, 2]
+
+
+def test_ranks_take_more_tasks_for_more_rows(spark, monkeypatch):
+    """Rows of a task are bounded whatever the number of shuffle partitions, also where one value fills many ranges."""
+    monkeypatch.setattr(ranks, "PART_ROWS", 1000)
+    df = spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, 7.0).otherwise(F.col("id") % 501).cast("double").alias("x"))
+    out = ranks.with_centred_rank(df, "x")
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) <= 4000
+    want = ranks.mean_rank(df, "x").select("x", F.col("centred").alias("_want"))
+    assert out.join(want, "x").filter("_r <> _want").count() == 0
