@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabwright.functions.ranks import with_centred_rank
+from tabwright.functions.ranks import parts_for, with_centred_rank
 from tabwright.functions.scalars import columns_with_missing
 from tabwright.operators.metrics import spear
 from tabwright.operators.profile import level_counts, missing_share
@@ -114,12 +114,14 @@ def _complete_spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """All pairs of columns without missing values, from the Gram matrix of the rows of ranks.
 
     Every value travels three times whatever the number of columns: into the range that ranks it, into its window and
-    back to its row. Each task adds up X'X of its rows; the matrices are summed cell by cell.
+    back to its row, in tasks whose number grows with the values. Each task adds up X'X of its rows; the matrices are
+    summed cell by cell.
     """
     names, p = list(columns), len(columns)
     rows = settle(df.select(F.monotonically_increasing_id().alias("_row"), *[F.col(c).cast("double").alias(c) for c in names]))
     cells = F.array(*[F.struct(F.lit(i).alias("_column"), F.col(c).alias("_value")) for i, c in enumerate(names)])
     ranked = with_centred_rank(rows.select("_row", F.inline(cells)), "_value", ["_column"])
+    ranked = ranked.repartition(parts_for(df.sparkSession, rows.count() * p), "_row")
     whole = ranked.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_column", "_r"))).alias("_x"))  # p values of one row
 
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
