@@ -23,6 +23,7 @@ from tabwright.operators.profile import (
 )
 from tabwright.operators.sample import assign_fold, fold_flags, random_impute, remove_burned
 from tabwright.schema import BINNED, CLASS, LOG, MISS, MISSING, MULTICLASS, rename_derived, setdiff
+from tabwright.session import settle
 from tabwright.sources.handoff import FeatureSets, save_stage
 
 
@@ -56,12 +57,13 @@ def explore(
 ) -> Explored:
     """Prepare a table. A `fold` column (util, train, test) is kept if there is one, otherwise drawn.
 
-    All steps up to the random imputation are narrow projections with fitted constants, so the report frames
-    read the source again instead of a stored copy.
+    The source is settled once: every fit and report reads it, and a join in it would be sent to the driver and
+    broadcast anew by each of them. All steps up to the random imputation are narrow projections with fitted constants.
     """
     metr, cate = setdiff(metr, remove), setdiff(cate, remove)
     reports: dict[str, DataFrame] = {}
     labels: list = []
+    df = settle(df)
     df = fold_flags(df if "fold" in df.columns else assign_fold(df, key, seed))
     df = Convert(cate, "str").transform(Convert(metr, "float").transform(df))
     if zero_is_missing:

@@ -10,6 +10,7 @@ from tabwright.catalog.frames import class_frame, order_frame, scored_frame
 from tabwright.functions.predictions import scale_binary, scale_predictions
 from tabwright.functions.ranks import cumulate, hash_cuts, ordered_index
 from tabwright.operators import encode, interpret, metrics, models, prepare, sample, search, shap, split, trees
+from tabwright.plans.explore import explore
 from tabwright.plans.production import score_saved, train_and_save
 from tabwright.sources.handoff import FeatureSets, load_stage, save_stage
 
@@ -264,3 +265,35 @@ def test_only_needed_columns_are_read(spark):
     li = spark.read.parquet(f"{SF}/lineitem.parquet")
     text = plan(describe_numeric(li, ["l_tax"]))
     assert "ReadSchema: struct<l_tax:double>" in text and "l_quantity" not in text
+
+
+def counted_source(spark, n):
+    """Rows with a counter of how often one was made."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    made = spark.range(n, numPartitions=2).mapInArrow(rows, "id long")
+    x = (F.col("id") * 7919) % 101
+    return seen, made.select(
+        "id", x.cast("double").alias("qty"), (F.col("id") % 13).cast("double").alias("tax"), (F.col("id") % 3).cast("string").alias("flag"),
+        F.when(x > 60, 1).otherwise(0).alias("target"), (F.col("id") % 3).cast("int").alias("target3"),
+    )
+
+
+@pytest.mark.parametrize("kind,target,target_type,n", [("boosted_trees", "target", "CLASS", 2), ("random_forest", "target3", "MULTICLASS", 3)])
+def test_tree_learners_read_their_source_once(spark, kind, target, target_type, n):
+    seen, df = counted_source(spark, 200)
+    design = encode.DesignMatrix(["qty", "tax"]).fit(df)
+    before = seen.value
+    models.fit_model(models.ModelSpec(kind, {"n_estimators": 2, "max_depth": 2, "seed": 1}), df, design, target, target_type, n)
+    assert seen.value - before == 200
+
+
+def test_exploration_reads_its_source_once(spark):
+    seen, df = counted_source(spark, 200)
+    done = explore(df.drop("target3"), ["qty", "tax"], ["flag"])
+    assert done.table.count() > 100 and seen.value == 200
