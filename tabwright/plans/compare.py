@@ -14,6 +14,7 @@ from tabwright.operators.models import ModelSpec
 from tabwright.operators.reshape import union_rows
 from tabwright.operators.sample import Undersample
 from tabwright.schema import REGR
+from tabwright.session import settle
 from tabwright.sources.handoff import FeatureSets
 
 # Which feature set each family works on.
@@ -59,7 +60,7 @@ def compare(
     `n_max` bounds the rows per class that classifiers are fitted on; regressions and all test rows are used whole.
     """
     metric = SCORERS[target_type][0]
-    df = tuning_table(min_max_scale(table, sets.metr_encoded), target_type, key, target, n_max)
+    df = settle(tuning_table(min_max_scale(table, sets.metr_encoded), target_type, key, target, n_max))  # every candidate reads it
     out: dict[str, DataFrame] = {}
     comparisons = []
     for name, (spec, grid) in candidates.items():
