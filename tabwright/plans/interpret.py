@@ -51,6 +51,7 @@ def interpret(
     or test part concerned. `n_select` rows are explained from the worst, the best and at random.
     """
     metr, cate, frames = list(metr), list(cate), {}
+    table = settle(table)  # every fit, score and importance reads it
     train, test = table.filter(F.col("fold") == "train"), table.filter(F.col("fold") == "test")
     b_sample = b_all = None
     if target_type != REGR:
