@@ -142,36 +142,45 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, trees: int = TREES
     queries = good.filter("q")
     merge = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
-    def met(blocks: DataFrame, wanted: int) -> DataFrame:
-        """Blocks of queries against all shards, `k` rows per query and shard."""
+    def met(block_count: int, asking: DataFrame, salt: int, wanted: int) -> DataFrame:
+        """Blocks of queries against all shards, `k` rows per query and shard.
+
+        A cell is a shard and a run of blocks; a run has about as many queries as a shard has vectors, or fewer where
+        tasks would be left without a cell. Both sides go to the task of their cell in one exchange: no join, whose
+        broadcast would send every block through the driver once per shard. A cell's forest is built once.
+        """
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             built: tuple = (None, None)
-            for batch in batches:
-                for row in batch.to_pylist():
-                    dim = row["dim"]
-                    if built[0] != (row["shard"], dim):
-                        ids, x = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["data"], "<f8").reshape(-1, dim)
-                        built = ((row["shard"], dim), Forest(ids, x, trees, seed))
+            for row in (r for batch in batches for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
+                dim = row["dim"]
+                ids, x = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["data"], "<f8").reshape(-1, dim)
+                if row["block"] < 0:  # the shard comes first
+                    built = ((row["cell"], dim), Forest(ids, x, trees, seed))
+                elif built[0] == (row["cell"], dim):  # else the shard has no vector of this dimension
                     forest = built[1]
-                    q_ids, q = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["q_data"], "<f8").reshape(-1, dim)
                     out = {"query_id": [], "vec_id": [], "score": [], "needed": []}
-                    for i, (rows, score) in enumerate(forest.search(q_ids, q, wanted, k)):
-                        out["query_id"] += [int(q_ids[i])] * len(rows)
+                    for i, (rows, score) in enumerate(forest.search(ids, x, wanted, k)):
+                        out["query_id"] += [int(ids[i])] * len(rows)
                         out["vec_id"] += forest.ids[rows].tolist()
                         out["score"] += score.tolist()
-                        out["needed"] += forest.needed(q[i], rows).tolist() if wanted >= 1 << 60 else [0] * len(rows)
+                        out["needed"] += forest.needed(x[i], rows).tolist() if wanted >= 1 << 60 else [0] * len(rows)
                     yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("needed", pa.int64())]))
 
-        pairs = blocks.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"))
-        pairs = pairs.join(shards, ["shard", "dim"]).repartition("shard", "q_ids").select("shard", "dim", "ids", "data", "q_ids", "q_data")
-        return pairs.mapInArrow(run, "query_id long, vec_id long, score double, needed long")
+        tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        runs = min(block_count, max(math.ceil(block_count * QUERY_BLOCK / shard), math.ceil(tasks / n_shards)))
+        each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+        held = shards.select("shard", each(runs).alias("run"), "dim", F.lit(-1).alias("block"), "ids", "data")
+        asked = _pack(asking, "block", block_count, salt).select(each(n_shards).alias("shard"), (F.col("block") % runs).alias("run"), "dim", "block", "ids", "data")
+        cells = held.unionByName(asked).select((F.col("shard") * runs + F.col("run")).alias("cell"), "dim", "block", "ids", "data")
+        n = min(tasks, n_shards * runs)
+        cells = cells.repartitionById(n, (F.col("cell") % n).cast("int")).sortWithinPartitions("cell", "dim", "block")
+        return cells.mapInArrow(run, "query_id long, vec_id long, score double, needed long")
 
     pilot = queries.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(PILOT)
-    truth = met(_pack(pilot, "block", 1, seed), 1 << 60).withColumn("rank", F.row_number().over(merge)).filter(F.col("rank") <= k)
+    truth = met(1, pilot, seed, 1 << 60).withColumn("rank", F.row_number().over(merge)).filter(F.col("rank") <= k)
     need = sorted(r["needed"] for r in truth.select("needed").collect())  # at most PILOT * k numbers
     wanted = need[min(len(need) - 1, math.ceil(recall * len(need)))] if need else 1
 
-    blocks = _pack(queries, "block", max(1, math.ceil(sizes["q"] / QUERY_BLOCK)), seed + 1)
-    found = met(blocks, max(wanted, k + 1)).withColumn("rank", F.row_number().over(merge)).filter(F.col("rank") <= k)
+    found = met(max(1, math.ceil(sizes["q"] / QUERY_BLOCK)), queries, seed + 1, max(wanted, k + 1)).withColumn("rank", F.row_number().over(merge)).filter(F.col("rank") <= k)
     return found.select("query_id", "rank", "vec_id", "score")

@@ -57,6 +57,30 @@ def test_lone_queries_among_copies(spark):
     assert all(len(v) == len(set(v)) == 5 and q not in v for q, v in got.items())
 
 
+def test_no_block_is_broadcast(spark, monkeypatch):
+    """Blocks meet shards in an exchange: a broadcast would hold every block once per shard. Rows are the same however blocks are run together."""
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((600, 8))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    met, map_in_arrow = [], type(table).mapInArrow
+    monkeypatch.setattr(type(table), "mapInArrow", lambda df, *args: met.append(df) or map_in_arrow(df, *args))
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 16)
+    parts, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (1, 8, 50):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(sorted(tuple(r) for r in ann.nearest(table, F.col("vec_id") % 10 == 0, shard=100).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert got[0] == got[1] == got[2] and len(got[0]) == 5 * 60
+    want = exact(np.arange(600), x, range(0, 600, 10))
+    assert sum(v in {j for j, _ in want[q]} for q, _, v, _ in got[0]) >= 0.9 * 5 * 60
+    assert len(met) == 6  # the pilot and all queries, three times
+    for df in met:
+        df.collect()  # from then on the plan is the one that ran
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def words(rng, n):
     return ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(n)]
 
